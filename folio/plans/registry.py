@@ -91,3 +91,47 @@ CLEAN_CTE = (
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ", ".join(ctes) + " "
+
+# ---------------------------------------------------------------------------
+# Enrichment oracle: metadata facts, one row per key, two-tier lookup.
+# ---------------------------------------------------------------------------
+_IDS = "from_json(info_json->'$.industryIdentifiers', '[{\"type\":\"VARCHAR\",\"identifier\":\"VARCHAR\"}]')"
+
+META_FACTS_CTE = (
+    "meta_facts AS (SELECT meta_pos, isbn_key, title_key, "
+    f"{d_clean_ws(chr(40) + 'info_json->>' + chr(39) + '$.title' + chr(39) + chr(41))} AS m_title, "
+    "from_json(info_json->'$.authors', '[\"VARCHAR\"]') AS m_authors, "
+    f"list_filter({_IDS}, lambda x: x.type IN ('ISBN_13', 'ISBN_10'))[1].identifier AS m_isbn, "
+    "info_json->>'$.publishedDate' AS m_year, "
+    "from_json(info_json->'$.categories', '[\"VARCHAR\"]') AS m_subjects, "
+    f"{d_clean_ws(chr(40) + 'info_json->>' + chr(39) + '$.description' + chr(39) + chr(41))} AS m_summary, "
+    "info_json->>'$.publisher' AS m_publisher FROM catalog_meta), "
+    "by_isbn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY isbn_key ORDER BY meta_pos) AS rn "
+    "FROM meta_facts WHERE isbn_key IS NOT NULL) x WHERE rn = 1), "
+    "by_title AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title_key ORDER BY meta_pos) AS rn "
+    "FROM meta_facts WHERE title_key IS NOT NULL) x WHERE rn = 1)"
+)
+
+
+def _pick(field: str, own: str | None) -> str:
+    tail = f" ELSE {own}" if own else ""
+    return (
+        f"CASE WHEN i.meta_pos IS NOT NULL THEN i.m_{field} "
+        f"WHEN t.meta_pos IS NOT NULL THEN t.m_{field}{tail} END AS {field}"
+    )
+
+
+ENRICHED_CTE = (
+    "catalog_enriched AS (SELECT c.row_pos, c.record_id, "
+    f"{d_book_key().replace('isbn', 'c.isbn').replace('title', 'c.title')} AS book_key, "
+    "CASE WHEN i.meta_pos IS NOT NULL OR t.meta_pos IS NOT NULL THEN 'FOUND' ELSE 'MISSING' END AS status, "
+    "c.accession_no, c.class_no_book_no, c.pages, "
+    f"{_pick('title', 'c.title')}, {_pick('authors', None)}, {_pick('isbn', 'c.isbn')}, "
+    f"{_pick('year', None)}, {_pick('subjects', None)}, {_pick('summary', None)}, "
+    f"{_pick('publisher', None)}, "
+    "CASE WHEN i.meta_pos IS NOT NULL THEN 'isbn' WHEN t.meta_pos IS NOT NULL THEN 'title' END AS match_tier "
+    "FROM catalog_clean c LEFT JOIN by_isbn i ON c.isbn = i.isbn_key "
+    "LEFT JOIN by_title t ON i.meta_pos IS NULL AND c.title = t.title_key)"
+)
+
+ENRICH_CTES = (CATALOG_CTE, NORMALIZED_CTE, CLEAN_CTE, META_CTE, META_FACTS_CTE, ENRICHED_CTE)
