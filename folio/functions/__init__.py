@@ -21,7 +21,7 @@ from folio.functions.text import (
     null_tokens,
     stringify,
 )
-from folio.functions.vectors import dot, l2_norm, l2_normalize, squared_norm
+from folio.functions.vectors import dot, l2_norm, l2_normalize, round_vector, squared_norm
 
 __all__ = [
     "book_key",
@@ -44,6 +44,7 @@ __all__ = [
     "null_out_of_range",
     "null_tokens",
     "record_id",
+    "round_vector",
     "squared_norm",
     "stringify",
 ]

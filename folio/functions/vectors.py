@@ -33,3 +33,8 @@ def l2_normalize(v: Column | str) -> Column:
     return F.when(norm > 0, F.transform(col, lambda x: x.cast("double") / norm)).otherwise(
         F.transform(col, lambda x: x.cast("double") * 0.0)
     )
+
+
+def round_vector(v: Column | str, digits: int) -> Column:
+    """Round every element (for stable comparison of double vectors)."""
+    return F.transform(_col(v), lambda x: F.round(x, digits))

@@ -1,6 +1,6 @@
 """Query plans: compositions of operators, registered by name."""
 
-from folio.plans import cleaning_queries, enrichment_queries  # noqa: F401  (register queries)
+from folio.plans import cleaning_queries, enrichment_queries, retrieval_queries  # noqa: F401
 from folio.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
