@@ -20,6 +20,7 @@ from folio.functions.text import (
     null_out_of_range,
     null_tokens,
     stringify,
+    strip,
 )
 from folio.functions.vectors import dot, l2_norm, l2_normalize, round_vector, squared_norm
 
@@ -47,4 +48,5 @@ __all__ = [
     "round_vector",
     "squared_norm",
     "stringify",
+    "strip",
 ]

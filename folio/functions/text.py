@@ -30,6 +30,12 @@ def collapse_whitespace(c: ColumnOrName) -> Column:
     return F.trim(F.regexp_replace(_col(c), WHITESPACE_CLASS + "+", " "))
 
 
+def strip(c: ColumnOrName) -> Column:
+    """Python ``str.strip()``: remove leading and trailing whitespace only."""
+    ws = WHITESPACE_CLASS
+    return F.regexp_replace(_col(c), f"^{ws}+|{ws}+$", "")
+
+
 def normalize_text(c: ColumnOrName) -> Column:
     """Strip, lower-case and collapse whitespace; NULL stays NULL."""
     return collapse_whitespace(F.lower(_col(c).cast("string")))
@@ -62,8 +68,8 @@ def normalize_isbn(c: ColumnOrName) -> Column:
 
 
 def stringify(c: ColumnOrName) -> Column:
-    """Render as trimmed text."""
-    return collapse_whitespace(_col(c).cast("string"))
+    """Render as text with surrounding whitespace stripped."""
+    return strip(_col(c).cast("string"))
 
 
 def coerce_numeric(c: ColumnOrName, dtype: str | None = None) -> Column:

@@ -30,7 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
-from folio.constants import EMBED_COLUMNS, HASH_BUCKETS, TOKEN_SPLIT_PATTERN, WHITESPACE_CLASS
+from folio.constants import EMBED_COLUMNS, HASH_BUCKETS, TOKEN_SPLIT_PATTERN
+from folio.functions import strip
 
 SCORE_DIGITS = 6
 
@@ -40,12 +41,6 @@ SCORE_DIGITS = 6
 # ---------------------------------------------------------------------------
 
 
-def strip_text(c: Column) -> Column:
-    """Python ``str.strip()``: remove leading/trailing whitespace only."""
-    ws = WHITESPACE_CLASS
-    return F.regexp_replace(c, f"^{ws}+|{ws}+$", "")
-
-
 def semantic_text(df: DataFrame, cols: Sequence[str] = EMBED_COLUMNS, out: str = "semantic_text") -> DataFrame:
     """V1: stripped, non-blank text of ``cols`` in priority order, space-joined.
 
@@ -58,7 +53,7 @@ def semantic_text(df: DataFrame, cols: Sequence[str] = EMBED_COLUMNS, out: str =
         v = F.col(c)
         if df.schema[c].dataType.typeName() == "array":
             v = F.array_join(v, ", ")
-        parts.append(F.nullif(strip_text(v.cast("string")), F.lit("")))
+        parts.append(F.nullif(strip(v.cast("string")), F.lit("")))
     return df.withColumn(out, F.concat_ws(" ", *parts))
 
 
