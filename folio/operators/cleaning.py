@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.constants import TEXT_COLUMNS, YEAR_MAX, YEAR_MIN
@@ -59,10 +59,6 @@ def split_on_null(df: DataFrame, column: str = "isbn") -> tuple[DataFrame, DataF
     return df.where(F.col(column).isNotNull()), df.where(F.col(column).isNull())
 
 
-def _order_cols(order: Sequence[str | Column]) -> list[Column]:
-    return [F.col(o) if isinstance(o, str) else o for o in order]
-
-
 def keep_first(
     df: DataFrame,
     keys: Sequence[str],
@@ -71,13 +67,16 @@ def keep_first(
 ) -> DataFrame:
     """Keep the first row (by ``order``) of every key group.
 
+    ``order`` must be unique per row (a position), so "first" is exact.
     ``null_keys='group'`` treats NULL keys as equal to each other (pandas
     semantics); ``'keep'`` lets every row with a NULL key through (unique-index
     semantics, where NULLs never conflict).
 
-    Plan: ``row_number() = 1`` is planned as a partial ``WindowGroupLimit`` before
-    the shuffle, so each map task sends at most one row per key; a key holding
-    a third of the data costs one row per task, not one giant group.
+    Plan: ``groupBy(keys).agg(min_by(struct(row), struct(order)))``.  The
+    partial aggregate runs before the shuffle, so each map task sends at most
+    one row per key: a key holding a third of all rows costs one row per task,
+    never one giant group in one task.  (Measured faster than the equivalent
+    ``row_number() = 1`` window, which needs a full sort on both sides.)
     """
     keys = list(keys)
     if null_keys == "keep":
@@ -87,8 +86,13 @@ def keep_first(
         bypass = df.where(any_null)
         grouped = df.where(~any_null)
         return keep_first(grouped, keys, order, "group").unionByName(bypass)
-    w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.dropDuplicates(keys)
+    ordering = F.struct(*[o.alias(f"_o{i}") if isinstance(o, Column) else F.col(o).alias(f"_o{i}")
+                          for i, o in enumerate(order)])
+    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), ordering).alias("_first"))
+    return first.select(*[F.col(k) for k in keys], *[F.col("_first")[c].alias(c) for c in rest]).select(*df.columns)
 
 
 def dedupe_catalog(df: DataFrame, order: Sequence[str | Column] = DEFAULT_ORDER) -> DataFrame:

@@ -58,7 +58,7 @@ def q_normalize_catalog(spark, sf_dir):
 )
 def q_normalize_documents(spark, sf_dir):
     """P3 over whole document texts (all Unicode whitespace), hashed for compact output."""
-    norm = read_table(spark, sf_dir, "documents").select("doc_id", normalize_text("text").alias("t"))
+    norm = read_table(spark, sf_dir, "documents", spread=True).select("doc_id", normalize_text("text").alias("t"))
     return norm.select(
         "doc_id", F.md5("t").alias("text_md5"), F.length("t").cast("bigint").alias("n_norm_chars")
     )

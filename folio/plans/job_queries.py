@@ -159,5 +159,5 @@ def projection_encoder(dim: int = 64, buckets: int = HASH_BUCKETS, seed: int = 7
 def q_dense_encoder(spark, sf_dir):
     """V2(b): every document's full text through a pluggable encoder
     (mapInPandas, model built once per task); rows-only check."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = read_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     return encode(docs, "doc_id", "text", projection_encoder())

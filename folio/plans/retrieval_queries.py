@@ -237,7 +237,7 @@ def q_dense_top_k(spark, sf_dir):
 )
 def q_hashed_bag_of_words(spark, sf_dir):
     """V2(a): sparse term-frequency table of every document's full text."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = read_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     return hashed_bag_of_words(docs, "doc_id", "text")
 
 
@@ -249,7 +249,7 @@ def q_hashed_bag_of_words(spark, sf_dir):
 )
 def q_sparse_top_k(spark, sf_dir):
     """V4s: top 5 documents for every benchmark text on hashed term vectors (cosine)."""
-    docs = term_vectors(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    docs = term_vectors(read_table(spark, sf_dir, "documents", spread=True), "doc_id", "text")
     bench = term_vectors(read_table(spark, sf_dir, "benchmark"), "item_id", "text").withColumnRenamed("item_id", "qid")
     return top_k_similar(bench, docs, 5, query_id="qid", item_id="doc_id", min_score=0.0)
 
