@@ -20,6 +20,8 @@ broadcast at run time.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,7 @@ from folio.constants import (
 )
 from folio.functions import book_key, clean_whitespace, normalize_text
 from folio.operators.cleaning import keep_first, split_on_null
+from folio.session import reliable_checkpoint
 
 META_FIELDS = ["title", "authors", "isbn", "year", "subjects", "summary", "publisher"]
 
@@ -113,9 +116,71 @@ def _shape(df: DataFrame, meta_col: str, tier: Column, carry: list[str]) -> Data
     )
 
 
+@dataclass
+class MetadataLookup:
+    """The metadata table reduced to one row per lookup key.
+
+    Build it once with :func:`build_lookup` and reuse it for many record
+    batches (the incremental job does); :meth:`materialize` checkpoints the
+    three small tables so later batches never re-parse the JSON.
+    """
+
+    by_isbn: DataFrame
+    by_title: DataFrame
+    by_title_author: DataFrame
+    isbn_key: str
+    title_key: str
+
+    def materialize(self) -> "MetadataLookup":
+        """Write the three reductions as one table to the checkpoint folder
+        (one job, one JSON parse) and serve each as a filter of it."""
+        m = "_m"
+        tagged = (
+            self.by_isbn.select(F.lit("i").alias("_kind"), F.col(f"_i_{self.isbn_key}").alias("_k1"),
+                                F.lit(None).cast("string").alias("_k2"), F.col("_i").alias(m))
+            .unionByName(self.by_title.select(F.lit("t").alias("_kind"), F.col(f"_t_{self.title_key}").alias("_k1"),
+                                              F.lit(None).cast("string").alias("_k2"), F.col("_t").alias(m)))
+            .unionByName(self.by_title_author.select(F.lit("a").alias("_kind"), F.col(f"_a_{self.title_key}").alias("_k1"),
+                                                     F.col("_a_author_key").alias("_k2"), F.col("_a").alias(m)))
+        )
+        tagged = reliable_checkpoint(tagged)
+        return MetadataLookup(
+            by_isbn=tagged.where("_kind = 'i'").select(F.col("_k1").alias(f"_i_{self.isbn_key}"), F.col(m).alias("_i")),
+            by_title=tagged.where("_kind = 't'").select(F.col("_k1").alias(f"_t_{self.title_key}"), F.col(m).alias("_t")),
+            by_title_author=tagged.where("_kind = 'a'").select(
+                F.col("_k1").alias(f"_a_{self.title_key}"), F.col("_k2").alias("_a_author_key"), F.col(m).alias("_a")
+            ),
+            isbn_key=self.isbn_key,
+            title_key=self.title_key,
+        )
+
+
+def build_lookup(
+    meta: DataFrame,
+    json_col: str = "info_json",
+    isbn_key: str = "isbn_key",
+    title_key: str = "title_key",
+    order: str = "meta_pos",
+) -> MetadataLookup:
+    """Parse the metadata documents and keep the first (lowest ``order``) per
+    ISBN key, per title key and per (title key, normalised author)."""
+    facts = _meta_facts(meta, json_col)
+    authored = facts.select(
+        title_key, order, *[f"meta_{f}" for f in META_FIELDS],
+        F.explode_outer("meta_authors").alias("_author"),
+    ).withColumn("author_key", normalize_text("_author"))
+    return MetadataLookup(
+        by_isbn=_reduce(facts, [isbn_key], order, "i"),
+        by_title=_reduce(facts, [title_key], order, "t"),
+        by_title_author=_reduce(authored, [title_key, "author_key"], order, "a"),
+        isbn_key=isbn_key,
+        title_key=title_key,
+    )
+
+
 def enrich(
     records: DataFrame,
-    meta: DataFrame,
+    meta: DataFrame | MetadataLookup,
     json_col: str = "info_json",
     isbn_key: str = "isbn_key",
     title_key: str = "title_key",
@@ -126,9 +191,10 @@ def enrich(
     """Two-tier lookup of clean records against a metadata table.
 
     ``records`` needs record_id, title, isbn, accession_no, class_no_book_no,
-    pages (and author_editor when ``use_author``).  ``meta`` needs the two
-    pre-normalised keys, an order column and the metadata JSON.  The output has
-    the enriched columns plus ``match_tier`` ('isbn', 'title' or NULL).
+    pages (and author_editor when ``use_author``).  ``meta`` is the metadata
+    table (pre-normalised keys, an order column, the JSON document) or a
+    prepared :class:`MetadataLookup`.  The output has the enriched columns
+    plus ``match_tier`` ('isbn', 'title', 'title_author' or NULL).
 
     ``carry`` names extra record columns to keep (e.g. an order key).
 
@@ -137,9 +203,9 @@ def enrich(
     match on the title alone.
     """
     carry = list(carry)
-    facts = _meta_facts(meta, json_col)
-    by_isbn = _reduce(facts, [isbn_key], order, "i")
-    by_title = _reduce(facts, [title_key], order, "t")
+    lookup = meta if isinstance(meta, MetadataLookup) else build_lookup(meta, json_col, isbn_key, title_key, order)
+    by_isbn, by_title = lookup.by_isbn, lookup.by_title
+    isbn_key, title_key = lookup.isbn_key, lookup.title_key
 
     base = records.withColumn("book_key", book_key())
     has_isbn, no_isbn = split_on_null(base, "isbn")
@@ -154,12 +220,7 @@ def enrich(
         tier2 = candidates.join(by_title, candidates["title"] == by_title[f"_t_{title_key}"], "left")
         return found1.unionByName(_shape(tier2, "_t", F.lit("title"), carry))
 
-    # title + author: explode the authors of each metadata document.
-    authored = facts.select(
-        title_key, order, *[f"meta_{f}" for f in META_FIELDS],
-        F.explode_outer("meta_authors").alias("_author"),
-    ).withColumn("author_key", normalize_text("_author"))
-    by_title_author = _reduce(authored, [title_key, "author_key"], order, "a")
+    by_title_author = lookup.by_title_author
     with_author, without_author = split_on_null(candidates, "author_editor")
     t2a = with_author.join(
         by_title_author,

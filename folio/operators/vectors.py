@@ -261,9 +261,9 @@ def top_k_similar(
     out_schema = f"{query_id} {q_type}, {item_id} {i_type}, score double"
     items_slim = items.select(item_id, item_vec)
 
-    n_probe = queries.limit(max_broadcast_queries + 1).count()
-    if n_probe <= max_broadcast_queries:
-        rows = queries.select(query_id, query_vec).collect()  # bounded by the check above
+    # One bounded probe: at most max_broadcast_queries + 1 rows reach the driver.
+    rows = queries.select(query_id, query_vec).limit(max_broadcast_queries + 1).collect()
+    if len(rows) <= max_broadcast_queries:
         qids = np.array([r[0] for r in rows], dtype=object)
         qmat = _stack(pd.Series([r[1] for r in rows])) if rows else np.zeros((0, 0))
         qnorm = np.sqrt(np.einsum("ij,ij->i", qmat, qmat)) if rows else np.zeros(0)

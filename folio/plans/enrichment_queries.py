@@ -28,6 +28,7 @@ from folio.operators.quality import (
 )
 from folio.operators.store import insert_or_ignore, to_store_rows
 from folio.plans.cleaning_queries import clean_catalog_df
+from folio.session import reliable_checkpoint
 from folio.plans.registry import (
     CATALOG_CTE,
     CLEAN_CTE,
@@ -50,6 +51,13 @@ def enriched_df(spark, sf_dir):
     return enrich(clean_catalog_df(spark, sf_dir), catalog_meta(spark, sf_dir), carry=("row_pos",))
 
 
+def enriched_table(spark, sf_dir):
+    """The enriched records written once to the shared checkpoint folder, for
+    queries that read them more than once (a stage table: later branches read
+    it instead of re-running the enrichment, and lineage is cut there)."""
+    return reliable_checkpoint(enriched_df(spark, sf_dir))
+
+
 # "Already stored / already processed" in the store and resume queries: the
 # English-language records, loaded by an earlier run.
 EARLIER_RUN = "class_no_book_no = 'en'"
@@ -122,7 +130,7 @@ def q_resume_remaining(spark, sf_dir):
     from folio.functions import book_key
 
     clean = clean_catalog_df(spark, sf_dir).withColumn("book_key", book_key())
-    done = enriched_df(spark, sf_dir).where(EARLIER_RUN)
+    done = enriched_df(spark, sf_dir).where(EARLIER_RUN).select("book_key")
     return remaining(clean, done).select("row_pos", "record_id", "book_key")
 
 
@@ -147,7 +155,7 @@ STORED = (
 def q_store_insert_or_ignore(spark, sf_dir):
     """The stored table after inserting all records into
     a store that already holds the English ones."""
-    enriched = enriched_df(spark, sf_dir)
+    enriched = enriched_table(spark, sf_dir)
     existing = to_store_rows(keep_first(enriched.where(EARLIER_RUN), ["book_key"]), keep=["row_pos"])
     accepted = insert_or_ignore(to_store_rows(enriched, keep=["row_pos"]), existing)
     return existing.withColumn("origin", F.lit("existing")).unionByName(
@@ -334,11 +342,11 @@ def q_rows_removed(spark, sf_dir):
 )
 def q_stage_summary(spark, sf_dir):
     """Rows per stage."""
-    enriched = enriched_df(spark, sf_dir)
+    enriched = enriched_table(spark, sf_dir)
     return stage_summary(
         {
             "raw": catalog_raw(spark, sf_dir),
-            "cleaned": clean_catalog_df(spark, sf_dir),
+            "cleaned": enriched,  # enrichment keeps one row per clean record
             "enriched": enriched,
             "found": enriched.where("status = 'FOUND'"),
         }

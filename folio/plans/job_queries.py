@@ -14,6 +14,7 @@ from folio.constants import ENRICHED_COLUMNS, HASH_BUCKETS, NA_TOKENS, NUMERIC_P
 from folio.functions import book_key
 from folio.operators.vectors import encode
 from folio.plans.cleaning_queries import clean_catalog_df
+from folio.plans.enrichment_queries import enriched_df
 from folio.plans.jobs import run_catalog
 from folio.plans.registry import (
     CATALOG_CTE,
@@ -24,7 +25,7 @@ from folio.plans.registry import (
 from folio.session import scratch_path
 from folio.sources.catalog_csv import ingest
 from folio.sources.catalog_views import catalog_meta, catalog_raw
-from folio.sources.sinks import write_csv
+from folio.sources.sinks import export_flat, read_flat, read_latest, save_enriched, write_csv
 from folio.sources.tables import read_table
 from folio.streaming.incremental import enrich_stream
 
@@ -161,3 +162,42 @@ def q_dense_encoder(spark, sf_dir):
     (mapInPandas, model built once per task); rows-only check."""
     docs = read_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     return encode(docs, "doc_id", "text", projection_encoder())
+
+
+ENRICHED_ONLY = ", ".join(ENRICHED_COLUMNS)
+
+
+@register(
+    "enriched_json_round_trip",
+    with_ctes(*ENRICH_CTES) + f"SELECT {ENRICHED_ONLY} FROM catalog_enriched",
+)
+def q_enriched_json_round_trip(spark, sf_dir):
+    """S9 + S8: save the enriched records twice as new JSON-Lines versions
+    (never overwriting what readers may be reading) and read the latest back
+    with the fixed enriched schema."""
+    base = scratch_path(spark, "enriched-versions")
+    records = enriched_df(spark, sf_dir).select(*ENRICHED_COLUMNS)
+    save_enriched(spark, records, base)
+    save_enriched(spark, records, base)
+    return read_latest(spark, base)
+
+
+@register(
+    "flat_export",
+    with_ctes(*ENRICH_CTES)
+    + "SELECT record_id, book_key, status, nullif(title, '') AS title, "
+    "nullif(array_to_string(authors, ', '), '') AS authors, nullif(isbn, '') AS isbn, nullif(year, '') AS year, "
+    "nullif(array_to_string(subjects, ', '), '') AS subjects, nullif(summary, '') AS summary, "
+    "nullif(publisher, '') AS publisher FROM catalog_enriched",
+)
+def q_flat_export(spark, sf_dir):
+    """Flat CSV snapshot of the enriched records (lists joined), read back.
+
+    As in a pandas CSV snapshot, a missing value is an empty field, so an
+    empty text and a missing one read back the same (NULL).
+    """
+    path = scratch_path(spark, "flat-export")
+    export_flat(enriched_df(spark, sf_dir).select(*ENRICHED_COLUMNS), path)
+    return read_flat(spark, path).select(
+        "record_id", "book_key", "status", "title", "authors", "isbn", "year", "subjects", "summary", "publisher"
+    )

@@ -21,7 +21,7 @@ from folio.operators.vectors import (
     validate_embeddings,
 )
 from folio.plans.cleaning_queries import clean_catalog_df
-from folio.plans.enrichment_queries import enriched_df
+from folio.plans.enrichment_queries import enriched_df, enriched_table
 from folio.plans.registry import (
     CATALOG_CTE,
     CLEAN_CTE,
@@ -84,9 +84,10 @@ def q_search_title(spark, sf_dir):
     return search(enriched_df(spark, sf_dir).select("record_id", "title"), "title", "Title 1")
 
 
-def stored_books(spark, sf_dir):
+def stored_books(spark, sf_dir, enriched=None):
     """The stored table: enriched records, unique book_key (first wins)."""
-    return to_store_rows(keep_first(enriched_df(spark, sf_dir), ["book_key"]), keep=["row_pos"])
+    enriched = enriched if enriched is not None else enriched_df(spark, sf_dir)
+    return to_store_rows(keep_first(enriched, ["book_key"]), keep=["row_pos"])
 
 
 STORE_CTE = (
@@ -303,11 +304,11 @@ def q_recommend_books(spark, sf_dir):
     """V5: benchmark texts as queries -> hashed encoding -> top 5 over all enriched
     records -> fetch stored books (ids missing from the store drop out) ->
     display shaping; best score first."""
-    enriched = enriched_df(spark, sf_dir)
+    enriched = enriched_table(spark, sf_dir)
     items = term_vectors(semantic_text(enriched), "record_id", "semantic_text")
     queries = term_vectors(read_table(spark, sf_dir, "benchmark"), "item_id", "text").withColumnRenamed("item_id", "qid")
     results = top_k_similar(queries, items, 5, query_id="qid", item_id="record_id", min_score=0.0)
-    books = stored_books(spark, sf_dir)
+    books = stored_books(spark, sf_dir, enriched)
     rows = fetch_with_scores(books, results)
     return rows.select(
         "qid",

@@ -87,3 +87,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def reliable_checkpoint(df):
+    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+
+    A reliable checkpoint survives executor loss (the data is on the shared
+    file system, not on an executor's local disk).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -86,7 +86,7 @@ def latest_version(spark: SparkSession, base: str) -> int | None:
     return max(versions) if versions else None
 
 
-def save_enriched(spark: SparkSession, df: DataFrame, base: str, fmt: str = "parquet") -> str:
+def save_enriched(spark: SparkSession, df: DataFrame, base: str, fmt: str = "json") -> str:
     """Write a new version directory; readers of older versions are never
     disturbed and a failed write leaves the previous version as the latest."""
     current = latest_version(spark, base)
@@ -95,11 +95,12 @@ def save_enriched(spark: SparkSession, df: DataFrame, base: str, fmt: str = "par
     return target
 
 
-def read_latest(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame | None:
+def read_latest(spark: SparkSession, base: str, fmt: str = "json") -> DataFrame | None:
+    """The newest committed version of an enriched dataset (S8 on S9's output)."""
     v = latest_version(spark, base)
     if v is None:
         return None
-    return spark.read.format(fmt).load(f"{base.rstrip('/')}/version={v}")
+    return read_enriched(spark, f"{base.rstrip('/')}/version={v}", fmt)
 
 
 def export_flat(df: DataFrame, path: str) -> None:
@@ -126,3 +127,14 @@ def write_embeddings(df: DataFrame, path: str, id_col: str = "record_id", vec: s
 
 def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EMBEDDING_SCHEMA).parquet(path)
+
+
+def read_flat(spark: SparkSession, path: str) -> DataFrame:
+    """Read a flat CSV snapshot written by :func:`export_flat` / :func:`write_csv`."""
+    return (
+        spark.read.option("header", True)
+        .option("multiLine", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .csv(path)
+    )

@@ -8,6 +8,8 @@ finished keys on restart.  Here:
 * each micro-batch (``foreachBatch``) drops keys already in the output table
   (J1, reading only the key column), keeps the first row per key inside the
   batch (D4), enriches the rest (X4) and appends them (one atomic commit);
+* the metadata side is reduced to one row per key once, before the stream
+  starts, and reused by every micro-batch;
 * progress lives in the streaming checkpoint; ``trigger(availableNow=True)``
   drains everything present and stops, so the job can be re-run on a schedule.
 
@@ -25,7 +27,7 @@ from pyspark.sql.types import StructType
 
 from folio.functions import book_key
 from folio.operators.cleaning import keep_first
-from folio.operators.enrichment import enrich, remaining
+from folio.operators.enrichment import build_lookup, enrich, remaining
 from folio.operators.store import read_store
 
 
@@ -45,13 +47,16 @@ def enrich_stream(
     """
     order = list(order)
     batches = {"n": 0}
+    # The metadata is parsed and reduced to one row per key once, written to
+    # the checkpoint folder, and shared by every micro-batch.
+    lookup = build_lookup(meta).materialize()
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         keyed = batch.withColumn("book_key", book_key())
         done = read_store(spark, out_dir)
         todo = remaining(keyed, done) if done is not None else keyed
         todo = keep_first(todo, ["book_key"], order, null_keys="keep")
-        enriched = enrich(todo, meta, carry=tuple(order))
+        enriched = enrich(todo, lookup, carry=tuple(order))
         enriched.write.mode("append").parquet(out_dir)
         batches["n"] += 1
 
