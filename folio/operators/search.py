@@ -68,6 +68,11 @@ def lookup_isbn(df: DataFrame, isbn: str, column: str = "isbn") -> DataFrame:
     return df.where(F.col(column) == normalize_isbn(F.lit(isbn)))
 
 
+# Beyond this offset a page is cut from globally numbered rows instead of a
+# per-task top-(skip + limit), which would make every task keep skip rows.
+DEEP_OFFSET = 100_000
+
+
 def browse(
     df: DataFrame,
     order: Sequence[str],
@@ -76,17 +81,30 @@ def browse(
     field: str | None = None,
     query: str | None = None,
     allowed: Sequence[str] = SEARCHABLE_FIELDS,
+    deep_offset: int = DEEP_OFFSET,
 ) -> DataFrame:
     """L1 + A8: one page of matching rows plus the total number of matches.
 
-    ``order`` must be a unique key so pages are stable.  The page is planned
-    as ``TakeOrderedAndProject``: each task keeps only skip + limit rows.  The
+    ``order`` must be a unique key so pages are stable.  A shallow page is
+    planned as ``TakeOrderedAndProject``: each task keeps only skip + limit
+    rows.  A deep page (skip > ``deep_offset``) is cut from the distributed
+    row numbering of :func:`with_pages`, so no task holds skip rows.  The
     total is a scalar subquery (a separate global count), never a window over
     all rows.
     """
     matches = search(df, field, query, allowed)
     total = matches.agg(F.count(F.lit(1))).scalar()
-    page = matches.orderBy(*order).offset(skip).limit(limit) if skip else matches.orderBy(*order).limit(limit)
+    if skip > deep_offset:
+        numbered = with_pages(matches, order, max(limit, 1))
+        page = (
+            numbered.where((F.col("row_number") > skip) & (F.col("row_number") <= skip + limit))
+            .orderBy("row_number")
+            .select(*matches.columns)
+        )
+    elif skip:
+        page = matches.orderBy(*order).offset(skip).limit(limit)
+    else:
+        page = matches.orderBy(*order).limit(limit)
     return page.withColumn("total", total)
 
 
@@ -100,7 +118,10 @@ def with_pages(df: DataFrame, order: Sequence[str], size: int = DEFAULT_PAGE_SIZ
     partition count), and the position inside a partition comes from
     ``monotonically_increasing_id``.  ``order`` must be a unique key.
     """
-    sorted_df = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns(
+    # An explicit partition count: adaptive execution never coalesces it, so
+    # every reader of this shuffle sees the same partition ids.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_df = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumns(
         {"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}
     )
     counts = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

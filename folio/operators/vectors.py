@@ -69,9 +69,12 @@ def token_buckets(text: Column | str, buckets: int = HASH_BUCKETS) -> Column:
     """
     t = F.col(text) if isinstance(text, str) else text
     tokens = F.filter(F.split(F.lower(t), TOKEN_SPLIT_PATTERN), lambda x: x != "")
-    return F.transform(
-        tokens, lambda tok: F.pmod(F.conv(F.substring(F.md5(tok), 1, 4), 16, 10).cast("bigint"), F.lit(buckets))
-    )
+    return F.transform(tokens, lambda tok: bucket_of(tok, buckets))
+
+
+def bucket_of(token: Column, buckets: int = HASH_BUCKETS) -> Column:
+    """Bucket id of one token: first 16 bits of its MD5, modulo ``buckets``."""
+    return F.pmod(F.conv(F.substring(F.md5(token), 1, 4), 16, 10).cast("bigint"), F.lit(buckets))
 
 
 def hashed_bag_of_words(
@@ -81,10 +84,13 @@ def hashed_bag_of_words(
 
     Every document's tokens come from one input row, so the partial aggregate
     before the shuffle already reduces them to at most ``buckets`` rows per
-    document; only those move.
+    document; only those move.  Tokens are exploded before hashing so the MD5
+    runs in generated code rather than inside a lambda.
     """
+    tokens = df.select(id_col, F.explode(F.split(F.lower(text_col), TOKEN_SPLIT_PATTERN)).alias("_tok"))
     return (
-        df.select(id_col, F.explode(token_buckets(text_col, buckets)).alias("bucket"))
+        tokens.where(F.col("_tok") != "")
+        .select(id_col, bucket_of(F.col("_tok"), buckets).alias("bucket"))
         .groupBy(id_col, "bucket")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -204,8 +210,26 @@ def centroids(df: DataFrame, group: str, vec: str = "embedding", out: str = "vec
 # ---------------------------------------------------------------------------
 
 
+# Upper bound on the score-matrix entries one Python worker holds at a time
+# (4M doubles = 32 MB); item batches are scored in chunks under it.
+SCORE_CELLS = 4_000_000
+
+
 def _block_top_k(qids, qmat, qnorm, ids, emat, k, normalize, min_score):
-    """Scores of one item batch against a query block; the rows that can still
+    """Candidates of one item batch against a query block, scored in chunks
+    of at most ``SCORE_CELLS`` entries."""
+    step = max(1, SCORE_CELLS // max(1, qmat.shape[0]))
+    parts = [
+        _chunk_top_k(qids, qmat, qnorm, ids[i:i + step], emat[i:i + step], k, normalize, min_score)
+        for i in range(0, emat.shape[0], step)
+    ]
+    if len(parts) == 1:
+        return parts[0]
+    return tuple(np.concatenate([p[j] for p in parts]) for j in range(3))
+
+
+def _chunk_top_k(qids, qmat, qnorm, ids, emat, k, normalize, min_score):
+    """Scores of one item chunk against a query block; the rows that can still
     make a query's top k.
 
     The cut keeps everything within one rounding step (1e-6) of the k-th best

@@ -55,3 +55,10 @@ def test_lookup_isbn_pushdown(spark, tmp_dir):
     df = lookup_isbn(spark.read.parquet(path), "0-306-40615-2")
     assert [r["t"] for r in df.collect()] == ["a"]
     assert "PushedFilters: [IsNotNull(isbn), EqualTo(isbn,0306406152)]" in plan_text(df, "simple")
+
+
+def test_deep_page_matches_shallow_path(spark):
+    df = spark.range(500).select((F.col("id") * 3 % 500).alias("k"))
+    deep = [r["k"] for r in browse(df, ["k"], skip=230, limit=7, deep_offset=10).collect()]
+    shallow = [r["k"] for r in browse(df, ["k"], skip=230, limit=7).collect()]
+    assert deep == shallow == list(range(230, 237))

@@ -82,3 +82,12 @@ def test_validate_embeddings(spark):
     r = validate_embeddings(ids, emb, "id").first()
     assert (r["n_ids"], r["n_vectors"], r["n_matched"], r["n_ids_without_vector"], r["n_vectors_without_id"],
             r["n_dimensions"], r["valid"]) == (3, 3, 2, 1, 1, 2, False)
+
+
+def test_chunked_scoring_equals_unchunked(spark, vectors, monkeypatch):
+    import folio.operators.vectors as V
+
+    q, e, queries, items = vectors
+    monkeypatch.setattr(V, "SCORE_CELLS", 20)  # forces many tiny chunks
+    got = {(r["qid"], r["id"], r["rank"]) for r in top_k_similar(queries, items, 5).collect()}
+    assert got == brute_force(q, e, 5, list(range(len(q))), list(range(len(e))))
