@@ -187,6 +187,7 @@ def enrich(
     order: str = "meta_pos",
     use_author: bool = False,
     carry: tuple[str, ...] = (),
+    skew_salt: int = 0,
 ) -> DataFrame:
     """Two-tier lookup of clean records against a metadata table.
 
@@ -201,6 +202,13 @@ def enrich(
     ``use_author=True`` makes tier 2 match title and author (any listed
     author, normalised) for records that have an author; records without one
     match on the title alone.
+
+    ``skew_salt=S`` (S > 1) salts the title join: records are spread over S
+    sub-keys by a hash of their record id and the one-row-per-title side is
+    copied S times, so one title holding a large share of the records is
+    split over S tasks even where adaptive skew handling is off.  The default
+    (0) relies on adaptive execution, which splits only partitions measured
+    as skewed and copies nothing otherwise.
     """
     carry = list(carry)
     lookup = meta if isinstance(meta, MetadataLookup) else build_lookup(meta, json_col, isbn_key, title_key, order)
@@ -217,7 +225,7 @@ def enrich(
     candidates = missed1.unionByName(no_isbn)
 
     if not use_author:
-        tier2 = candidates.join(by_title, candidates["title"] == by_title[f"_t_{title_key}"], "left")
+        tier2 = _title_join(candidates, by_title, f"_t_{title_key}", skew_salt)
         return found1.unionByName(_shape(tier2, "_t", F.lit("title"), carry))
 
     by_title_author = lookup.by_title_author
@@ -228,13 +236,25 @@ def enrich(
         & (with_author["author_editor"] == by_title_author["_a_author_key"]),
         "left",
     )
-    t2b = without_author.join(by_title, without_author["title"] == by_title[f"_t_{title_key}"], "left")
+    t2b = _title_join(without_author, by_title, f"_t_{title_key}", skew_salt)
     return (
         found1.unionByName(_shape(t2a, "_a", F.lit("title_author"), carry))
         .unionByName(_shape(t2b, "_t", F.lit("title"), carry))
     )
 
 
+def _title_join(records: DataFrame, by_title: DataFrame, key: str, salt: int) -> DataFrame:
+    """Left join of records to the one-row-per-title lookup, optionally salted."""
+    if salt <= 1:
+        return records.join(by_title, records["title"] == by_title[key], "left")
+    salted = records.withColumn("_salt", F.pmod(F.xxhash64("record_id"), F.lit(salt)))
+    copies = by_title.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    joined = salted.join(
+        copies, (salted["title"] == copies[key]) & (salted["_salt"] == copies["_salt"]), "left"
+    )
+    return joined.drop(salted["_salt"]).drop(copies["_salt"])
+
+
 def enriched_columns(df: DataFrame) -> DataFrame:
     """Project to the 13 enriched record columns, in contract order."""
     return df.select(*ENRICHED_COLUMNS)
