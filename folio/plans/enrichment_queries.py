@@ -36,6 +36,8 @@ from folio.plans.registry import (
     META_CTE,
     META_FACTS_CTE,
     NORMALIZED_CTE,
+    BY_TITLE_AUTHOR_CTE,
+    ENRICHED_AUTHOR_CTE,
     d_book_key,
     register,
     with_ctes,
@@ -93,6 +95,18 @@ def q_tiered_enrichment(spark, sf_dir):
     return enriched_df(spark, sf_dir)
 
 
+@register(
+    "tiered_enrichment_by_author",
+    with_ctes(CATALOG_CTE, NORMALIZED_CTE, CLEAN_CTE, META_CTE, META_FACTS_CTE, BY_TITLE_AUTHOR_CTE, ENRICHED_AUTHOR_CTE)
+    + f"SELECT {ENRICHED} FROM catalog_enriched_author",
+)
+def q_tiered_enrichment_by_author(spark, sf_dir):
+    """J3 with title + author: records with an author must match a listed
+    (normalised) author of a same-title document; records without one fall
+    back to the title alone."""
+    return enrich(clean_catalog_df(spark, sf_dir), catalog_meta(spark, sf_dir), carry=("row_pos",), use_author=True)
+
+
 @register(
     "enrichment_stats",
     with_ctes(*ENRICH_CTES)

@@ -135,3 +135,37 @@ ENRICHED_CTE = (
 )
 
 ENRICH_CTES = (CATALOG_CTE, NORMALIZED_CTE, CLEAN_CTE, META_CTE, META_FACTS_CTE, ENRICHED_CTE)
+
+# Title + author tier (use_author=True): authors of each document, normalised.
+BY_TITLE_AUTHOR_CTE = (
+    "by_title_author AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title_key, author_key "
+    "ORDER BY meta_pos) AS rn FROM (SELECT *, "
+    f"{d_norm_text('author')} AS author_key FROM (SELECT *, unnest(m_authors) AS author FROM meta_facts) u) y "
+    "WHERE title_key IS NOT NULL AND author_key IS NOT NULL) x WHERE rn = 1)"
+)
+
+
+def _pick3(field: str, own: str | None) -> str:
+    tail = f" ELSE {own}" if own else ""
+    return (
+        f"CASE WHEN i.meta_pos IS NOT NULL THEN i.m_{field} WHEN a.meta_pos IS NOT NULL THEN a.m_{field} "
+        f"WHEN t.meta_pos IS NOT NULL THEN t.m_{field}{tail} END AS {field}"
+    )
+
+
+ENRICHED_AUTHOR_CTE = (
+    "catalog_enriched_author AS (SELECT c.row_pos, c.record_id, "
+    f"{d_book_key().replace('isbn', 'c.isbn').replace('title', 'c.title')} AS book_key, "
+    "CASE WHEN i.meta_pos IS NOT NULL OR a.meta_pos IS NOT NULL OR t.meta_pos IS NOT NULL "
+    "THEN 'FOUND' ELSE 'MISSING' END AS status, "
+    "c.accession_no, c.class_no_book_no, c.pages, "
+    f"{_pick3('title', 'c.title')}, {_pick3('authors', None)}, {_pick3('isbn', 'c.isbn')}, "
+    f"{_pick3('year', None)}, {_pick3('subjects', None)}, {_pick3('summary', None)}, "
+    f"{_pick3('publisher', None)}, "
+    "CASE WHEN i.meta_pos IS NOT NULL THEN 'isbn' WHEN a.meta_pos IS NOT NULL THEN 'title_author' "
+    "WHEN t.meta_pos IS NOT NULL THEN 'title' END AS match_tier "
+    "FROM catalog_clean c LEFT JOIN by_isbn i ON c.isbn = i.isbn_key "
+    "LEFT JOIN by_title_author a ON i.meta_pos IS NULL AND c.author_editor IS NOT NULL "
+    "AND c.title = a.title_key AND c.author_editor = a.author_key "
+    "LEFT JOIN by_title t ON i.meta_pos IS NULL AND c.author_editor IS NULL AND c.title = t.title_key)"
+)

@@ -41,6 +41,7 @@ CATALOG_META_COLUMNS = [
     "lpad(CAST(doc_id % 400 AS STRING), 13, '9780000000000') AS isbn_key",
     "lower(concat(lang, ' ', CAST(n_chars % 97 AS STRING), ' volume')) AS title_key",
     "concat('{\"title\":\"  ', lang, '   title ', CAST(doc_id AS STRING), '\",\"authors\":[\"', source, '\",\"', lang, "
+    "'\",\"', upper(source), ' Editor', "
     "'\"],\"industryIdentifiers\":[{\"type\":\"OTHER\",\"identifier\":\"o', CAST(doc_id AS STRING), '\"}', "
     "CASE WHEN doc_id % 2 = 0 THEN concat(',{\"type\":\"ISBN_13\",\"identifier\":\"978', lpad(CAST(doc_id AS STRING), 10, '0'), '\"}') ELSE '' END, "
     "'],\"publishedDate\":\"', CAST(1900 + doc_id % 120 AS STRING), '-05\"', "
