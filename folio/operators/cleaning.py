@@ -97,12 +97,22 @@ def keep_first(
 
 def dedupe_catalog(df: DataFrame, order: Sequence[str | Column] = DEFAULT_ORDER) -> DataFrame:
     """D3: keep first per ISBN among rows with one, first per (title, author)
-    among rows without; NULL ISBNs are split off first so they never form one
-    giant NULL-key group."""
-    with_isbn, without_isbn = split_on_null(df, "isbn")
-    return keep_first(with_isbn, ["isbn"], order).unionByName(
-        keep_first(without_isbn, ["title", "author_editor"], order)
+    among rows without.
+
+    One aggregation does both tiers: the group key is (isbn, NULL, NULL) for a
+    row with an ISBN and (NULL, title, author) for a row without, so the input
+    is scanned and shuffled once, and rows without an ISBN are spread by
+    title/author hash instead of forming one giant NULL-ISBN group.
+    """
+    no_isbn = F.col("isbn").isNull()
+    keyed = df.withColumns(
+        {
+            "_d_isbn": F.col("isbn"),
+            "_d_title": F.when(no_isbn, F.col("title")),
+            "_d_author": F.when(no_isbn, F.col("author_editor")),
+        }
     )
+    return keep_first(keyed, ["_d_isbn", "_d_title", "_d_author"], order).drop("_d_isbn", "_d_title", "_d_author")
 
 
 def duplicates(df: DataFrame, column: str, order: Sequence[str] = DEFAULT_ORDER) -> DataFrame:

@@ -33,7 +33,7 @@ from folio.constants import (
     STATUS_MISSING,
 )
 from folio.functions import book_key, clean_whitespace, normalize_text
-from folio.operators.cleaning import keep_first, split_on_null
+from folio.operators.cleaning import keep_first
 from folio.session import reliable_checkpoint
 
 META_FIELDS = ["title", "authors", "isbn", "year", "subjects", "summary", "publisher"]
@@ -83,16 +83,6 @@ def _meta_facts(meta: DataFrame, json_col: str) -> DataFrame:
     return extract_metadata(parsed).drop("info", json_col)
 
 
-def _reduce(facts: DataFrame, keys: list[str], order: str, tag: str) -> DataFrame:
-    """One metadata row per key: the lowest ``order`` wins."""
-    fields = F.struct(*[F.col(f"meta_{f}").alias(f) for f in META_FIELDS])
-    slim = facts.select(*keys, order, fields.alias("m"))
-    for k in keys:
-        slim = slim.where(F.col(k).isNotNull())
-    first = keep_first(slim, keys, [order])
-    return first.select(*[F.col(k).alias(f"_{tag}_{k}") for k in keys], F.col("m").alias(f"_{tag}"))
-
-
 def _shape(df: DataFrame, meta_col: str, tier: Column, carry: list[str]) -> DataFrame:
     """P20: FOUND rows take the metadata fields, MISSING rows keep their own."""
     m = F.col(meta_col)
@@ -116,44 +106,44 @@ def _shape(df: DataFrame, meta_col: str, tier: Column, carry: list[str]) -> Data
     )
 
 
+# Prefix of keys that never match a lookup key: rows that must not match a
+# tier (no ISBN, or already matched) get this plus their record id, so they
+# spread over all partitions instead of forming one NULL-key group.
+NO_MATCH = "\u0000"
+AUTHOR_SEP = "\u0001"
+
+
 @dataclass
 class MetadataLookup:
     """The metadata table reduced to one row per lookup key.
 
+    All three reductions (per ISBN key, per title key, per title key and
+    normalised author) come from one tagged aggregation, so the metadata
+    table is scanned and shuffled once; the three lookups are filters of it.
     Build it once with :func:`build_lookup` and reuse it for many record
-    batches (the incremental job does); :meth:`materialize` checkpoints the
-    three small tables so later batches never re-parse the JSON.
+    batches (the incremental job does); :meth:`materialize` writes it to the
+    checkpoint folder so later batches never re-parse the JSON.
     """
 
-    by_isbn: DataFrame
-    by_title: DataFrame
-    by_title_author: DataFrame
-    isbn_key: str
-    title_key: str
+    tagged: DataFrame
 
-    def materialize(self) -> "MetadataLookup":
-        """Write the three reductions as one table to the checkpoint folder
-        (one job, one JSON parse) and serve each as a filter of it."""
-        m = "_m"
-        tagged = (
-            self.by_isbn.select(F.lit("i").alias("_kind"), F.col(f"_i_{self.isbn_key}").alias("_k1"),
-                                F.lit(None).cast("string").alias("_k2"), F.col("_i").alias(m))
-            .unionByName(self.by_title.select(F.lit("t").alias("_kind"), F.col(f"_t_{self.title_key}").alias("_k1"),
-                                              F.lit(None).cast("string").alias("_k2"), F.col("_t").alias(m)))
-            .unionByName(self.by_title_author.select(F.lit("a").alias("_kind"), F.col(f"_a_{self.title_key}").alias("_k1"),
-                                                     F.col("_a_author_key").alias("_k2"), F.col("_a").alias(m)))
-        )
-        tagged = reliable_checkpoint(tagged)
-        return MetadataLookup(
-            by_isbn=tagged.where("_kind = 'i'").select(F.col("_k1").alias(f"_i_{self.isbn_key}"), F.col(m).alias("_i")),
-            by_title=tagged.where("_kind = 't'").select(F.col("_k1").alias(f"_t_{self.title_key}"), F.col(m).alias("_t")),
-            by_title_author=tagged.where("_kind = 'a'").select(
-                F.col("_k1").alias(f"_a_{self.title_key}"), F.col("_k2").alias("_a_author_key"), F.col(m).alias("_a")
-            ),
-            isbn_key=self.isbn_key,
-            title_key=self.title_key,
+    @property
+    def by_isbn(self) -> DataFrame:
+        return self.tagged.where("_kind = 'i'").select(F.col("_k1").alias("_ik"), F.col("_m").alias("_i"))
+
+    @property
+    def by_title(self) -> DataFrame:
+        return self.tagged.where("_kind = 't'").select(F.col("_k1").alias("_tk"), F.col("_m").alias("_m2"))
+
+    @property
+    def by_title_author(self) -> DataFrame:
+        return self.tagged.where("_kind = 'a'").select(
+            F.concat(F.col("_k1"), F.lit(AUTHOR_SEP), F.col("_k2")).alias("_tk"), F.col("_m").alias("_m2")
         )
 
+    def materialize(self) -> "MetadataLookup":
+        return MetadataLookup(reliable_checkpoint(self.tagged))
+
 
 def build_lookup(
     meta: DataFrame,
@@ -165,17 +155,23 @@ def build_lookup(
     """Parse the metadata documents and keep the first (lowest ``order``) per
     ISBN key, per title key and per (title key, normalised author)."""
     facts = _meta_facts(meta, json_col)
-    authored = facts.select(
-        title_key, order, *[f"meta_{f}" for f in META_FIELDS],
-        F.explode_outer("meta_authors").alias("_author"),
-    ).withColumn("author_key", normalize_text("_author"))
-    return MetadataLookup(
-        by_isbn=_reduce(facts, [isbn_key], order, "i"),
-        by_title=_reduce(facts, [title_key], order, "t"),
-        by_title_author=_reduce(authored, [title_key, "author_key"], order, "a"),
-        isbn_key=isbn_key,
-        title_key=title_key,
+    fields = F.struct(*[F.col(f"meta_{f}").alias(f) for f in META_FIELDS])
+    null = F.lit(None).cast("string")
+    keys = F.array(
+        F.struct(F.lit("i").alias("kind"), F.col(isbn_key).cast("string").alias("k1"), null.alias("k2")),
+        F.struct(F.lit("t").alias("kind"), F.col(title_key).cast("string").alias("k1"), null.alias("k2")),
     )
+    by_author = F.transform(
+        F.coalesce(F.col("meta_authors"), F.array().cast("array<string>")),
+        lambda a: F.struct(F.lit("a").alias("kind"), F.col(title_key).cast("string").alias("k1"),
+                           normalize_text(a).alias("k2")),
+    )
+    exploded = facts.select(order, fields.alias("_m"), F.explode(F.concat(keys, by_author)).alias("_key"))
+    slim = exploded.select(
+        F.col("_key.kind").alias("_kind"), F.col("_key.k1").alias("_k1"), F.col("_key.k2").alias("_k2"), order, "_m"
+    ).where(F.col("_k1").isNotNull() & ((F.col("_kind") != "a") | F.col("_k2").isNotNull()))
+    tagged = keep_first(slim, ["_kind", "_k1", "_k2"], [order]).drop(order)
+    return MetadataLookup(tagged)
 
 
 def enrich(
@@ -203,8 +199,13 @@ def enrich(
     author, normalised) for records that have an author; records without one
     match on the title alone.
 
+    Plan: one linear chain, records -> left join ISBN lookup -> left join
+    title lookup -> shape; the records are read once.  A record without an
+    ISBN, or already matched by ISBN, joins with a unique never-matching key
+    instead of NULL, so no partition collects all of them.
+
     ``skew_salt=S`` (S > 1) salts the title join: records are spread over S
-    sub-keys by a hash of their record id and the one-row-per-title side is
+    sub-keys by a hash of their record id and the one-row-per-key side is
     copied S times, so one title holding a large share of the records is
     split over S tasks even where adaptive skew handling is off.  The default
     (0) relies on adaptive execution, which splits only partitions measured
@@ -212,47 +213,39 @@ def enrich(
     """
     carry = list(carry)
     lookup = meta if isinstance(meta, MetadataLookup) else build_lookup(meta, json_col, isbn_key, title_key, order)
-    by_isbn, by_title = lookup.by_isbn, lookup.by_title
-    isbn_key, title_key = lookup.isbn_key, lookup.title_key
-
-    base = records.withColumn("book_key", book_key())
-    has_isbn, no_isbn = split_on_null(base, "isbn")
-
-    tier1 = has_isbn.join(by_isbn, has_isbn["isbn"] == by_isbn[f"_i_{isbn_key}"], "left")
-    found1 = _shape(tier1, "_i", F.lit("isbn"), carry)
-    found1 = found1.where(F.col("status") == STATUS_FOUND)
-    missed1 = tier1.where(F.col("_i").isNull()).select(*base.columns)
-    candidates = missed1.unionByName(no_isbn)
-
-    if not use_author:
-        tier2 = _title_join(candidates, by_title, f"_t_{title_key}", skew_salt)
-        return found1.unionByName(_shape(tier2, "_t", F.lit("title"), carry))
-
-    by_title_author = lookup.by_title_author
-    with_author, without_author = split_on_null(candidates, "author_editor")
-    t2a = with_author.join(
-        by_title_author,
-        (with_author["title"] == by_title_author[f"_a_{title_key}"])
-        & (with_author["author_editor"] == by_title_author["_a_author_key"]),
-        "left",
-    )
-    t2b = _title_join(without_author, by_title, f"_t_{title_key}", skew_salt)
-    return (
-        found1.unionByName(_shape(t2a, "_a", F.lit("title_author"), carry))
-        .unionByName(_shape(t2b, "_t", F.lit("title"), carry))
-    )
-
-
-def _title_join(records: DataFrame, by_title: DataFrame, key: str, salt: int) -> DataFrame:
-    """Left join of records to the one-row-per-title lookup, optionally salted."""
+    by_isbn = lookup.by_isbn
+    title_side = lookup.by_title.withColumn("_tier2", F.lit("title"))
+    if use_author:
+        title_side = title_side.unionByName(lookup.by_title_author.withColumn("_tier2", F.lit("title_author")))
+
+    never = F.concat(F.lit(NO_MATCH), F.coalesce(F.col("record_id").cast("string"), F.lit("")))
+    base = records.withColumn("book_key", book_key()).withColumn("_k1", F.coalesce(F.col("isbn"), never))
+    tier1 = base.join(by_isbn, F.col("_k1") == F.col("_ik"), "left")
+
+    title_key_expr = F.coalesce(F.col("title"), never)
+    if use_author:
+        title_key_expr = F.when(
+            F.col("author_editor").isNotNull(),
+            F.concat(title_key_expr, F.lit(AUTHOR_SEP), F.col("author_editor")),
+        ).otherwise(title_key_expr)
+    k2 = F.when(F.col("_i").isNotNull(), never).otherwise(title_key_expr)
+    tier2 = _title_join(tier1.withColumn("_k2", k2), title_side, skew_salt)
+
+    tier = F.when(F.col("_i").isNotNull(), F.lit("isbn")).otherwise(F.col("_tier2"))
+    return _shape(tier2.withColumn("_m", F.coalesce("_i", "_m2")), "_m", tier, carry)
+
+
+def _title_join(records: DataFrame, side: DataFrame, salt: int) -> DataFrame:
+    """Left join on ``_k2 = _tk`` against the one-row-per-key title side,
+    optionally salted."""
     if salt <= 1:
-        return records.join(by_title, records["title"] == by_title[key], "left")
+        return records.join(side, F.col("_k2") == F.col("_tk"), "left")
     salted = records.withColumn("_salt", F.pmod(F.xxhash64("record_id"), F.lit(salt)))
-    copies = by_title.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    copies = side.withColumn("_salt2", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     joined = salted.join(
-        copies, (salted["title"] == copies[key]) & (salted["_salt"] == copies["_salt"]), "left"
+        copies, (F.col("_k2") == F.col("_tk")) & (F.col("_salt") == F.col("_salt2")), "left"
     )
-    return joined.drop(salted["_salt"]).drop(copies["_salt"])
+    return joined.drop("_salt", "_salt2")
 
 
 def enriched_columns(df: DataFrame) -> DataFrame:
