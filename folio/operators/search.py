@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.constants import DEFAULT_PAGE_SIZE, SEARCHABLE_FIELDS
+from folio.constants import DEFAULT_PAGE_SIZE, RECOMMEND_PAGE_SIZE, SEARCHABLE_FIELDS
 from folio.functions import normalize_isbn
 
 # The lower 33 bits of monotonically_increasing_id() are the row's position
@@ -161,3 +161,24 @@ def fetch_with_scores(books: DataFrame, results: DataFrame, key: str = "record_i
     from ``books`` are dropped by the inner join.
     """
     return books.join(F.broadcast(results), on=key, how="inner")
+
+
+def page_results(
+    results: DataFrame, group: str = "qid", rank: str = "rank", size: int = RECOMMEND_PAGE_SIZE
+) -> DataFrame:
+    """L2 for result lists: page of each ranked result within its query.
+
+    The page size is ``min(size, results of the query)`` and the page count
+    ``ceil(n / page size)``.  The per-query count is a window over one query's
+    results, which a top-k result bounds by k rows.
+    """
+    from pyspark.sql import Window
+
+    n = F.count(F.lit(1)).over(Window.partitionBy(group))
+    page_size = F.least(F.lit(size).cast("bigint"), n)
+    return (
+        results.withColumn("_ps", page_size)
+        .withColumn("page", (F.floor((F.col(rank) - 1) / F.col("_ps")) + 1).cast("bigint"))
+        .withColumn("total_pages", F.ceil(n / F.col("_ps")).cast("bigint"))
+        .drop("_ps")
+    )

@@ -8,7 +8,7 @@ from folio.constants import HASH_BUCKETS, TOKEN_SPLIT_PATTERN, UI_PAGE_SIZE, WHI
 from folio.functions import clean_sentinel, display_list, round_vector
 from folio.operators.cleaning import keep_first
 from folio.operators.quality import index_metadata
-from folio.operators.search import browse, fetch_with_scores, lookup_isbn, search, search_any, with_pages
+from folio.operators.search import browse, fetch_with_scores, lookup_isbn, page_results, search, search_any, with_pages
 from folio.operators.store import to_store_rows
 from folio.operators.vectors import (
     align_embeddings,
@@ -297,19 +297,21 @@ def _d_sentinel(c: str) -> str:
     + f"{_d_sentinel('b.title')} AS title, {_d_display('b.authors')} AS authors, "
     + f"{_d_sentinel('b.publisher')} AS publisher, {_d_sentinel('b.year')} AS year, "
     + f"{_d_display('b.subjects')} AS subjects, {_d_sentinel('b.summary')} AS summary, "
-    + f"{_d_sentinel('b.pages')} AS pages, {_d_sentinel('b.isbn')} AS isbn "
+    + f"{_d_sentinel('b.pages')} AS pages, {_d_sentinel('b.isbn')} AS isbn, "
+    + "CAST(floor((r.rank - 1) / least(10, count(*) OVER (PARTITION BY r.qid))) + 1 AS BIGINT) AS page, "
+    + "CAST(ceil(count(*) OVER (PARTITION BY r.qid) / least(10, count(*) OVER (PARTITION BY r.qid))) AS BIGINT) AS total_pages "
     + "FROM ranked r JOIN books b ON r.record_id = b.record_id WHERE r.rank <= 5",
 )
 def q_recommend_books(spark, sf_dir):
     """V5: benchmark texts as queries -> hashed encoding -> top 5 over all enriched
     records -> fetch stored books (ids missing from the store drop out) ->
-    display shaping; best score first."""
+    display shaping, result pages (L2); best score first."""
     enriched = enriched_table(spark, sf_dir)
     items = term_vectors(semantic_text(enriched), "record_id", "semantic_text")
     queries = term_vectors(read_table(spark, sf_dir, "benchmark"), "item_id", "text").withColumnRenamed("item_id", "qid")
     results = top_k_similar(queries, items, 5, query_id="qid", item_id="record_id", min_score=0.0)
     books = stored_books(spark, sf_dir, enriched)
-    rows = fetch_with_scores(books, results)
+    rows = page_results(fetch_with_scores(books, results))
     return rows.select(
         "qid",
         "rank",
@@ -323,4 +325,6 @@ def q_recommend_books(spark, sf_dir):
         clean_sentinel("summary").alias("summary"),
         clean_sentinel("pages").alias("pages"),
         clean_sentinel("isbn").alias("isbn"),
+        "page",
+        "total_pages",
     ).orderBy("qid", F.col("score").desc(), "record_id")

@@ -76,16 +76,30 @@ def sniff_headers(spark: SparkSession, files: Sequence[str], encoding: str = CSV
                 {"path": pdf["path"], "header": [json.dumps(_read_header(u, encoding)) for u in pdf["path"]]}
             )
 
-    grouped = (
-        paths.repartition(n)
-        .mapInPandas(read, "path string, header string")
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .collect()
-    )
+    try:
+        grouped = (
+            paths.repartition(n)
+            .mapInPandas(read, "path string, header string")
+            .groupBy("header")
+            .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+            .collect()
+        )
+    except Exception:  # a file system the executors' Arrow layer cannot open
+        return _headers_via_spark(spark, files, encoding)
     return {tuple(json.loads(r["header"])): list(r["paths"]) for r in grouped}
 
 
+def _headers_via_spark(spark: SparkSession, files: Sequence[str], encoding: str) -> dict[tuple, list[str]]:
+    """Fallback: let Spark's own CSV reader take each file's header line."""
+    groups: dict[tuple, list[str]] = {}
+    for f in files:
+        header = tuple(
+            spark.read.option("header", True).option("encoding", encoding).option("multiLine", True).csv(f).columns
+        )
+        groups.setdefault(header, []).append(f)
+    return groups
+
+
 def _unique_names(header: Sequence[str]) -> list[str]:
     """pandas-style names: blanks -> 'Unnamed: i', repeats -> 'name.1', ..."""
     seen: dict[str, int] = {}

@@ -56,3 +56,11 @@ def test_empty_dir_gives_empty_result(spark, tmp_dir):
     d = os.path.join(tmp_dir, "empty")
     os.makedirs(d)
     assert ingest(spark, d).count() == 0
+
+
+def test_header_fallback_matches_sniffer(spark, csv_dir):
+    from folio.sources.catalog_csv import _headers_via_spark, list_files, sniff_headers
+
+    files = list_files(spark, csv_dir)
+    assert {k: sorted(v) for k, v in _headers_via_spark(spark, files, "ISO-8859-1").items()} == {
+        k: sorted(v) for k, v in sniff_headers(spark, files).items()}

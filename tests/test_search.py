@@ -62,3 +62,13 @@ def test_deep_page_matches_shallow_path(spark):
     deep = [r["k"] for r in browse(df, ["k"], skip=230, limit=7, deep_offset=10).collect()]
     shallow = [r["k"] for r in browse(df, ["k"], skip=230, limit=7).collect()]
     assert deep == shallow == list(range(230, 237))
+
+
+def test_page_results_per_query(spark):
+    from folio.operators.search import page_results
+
+    rows = [(1, r) for r in range(1, 24)] + [(2, r) for r in range(1, 4)]
+    df = spark.createDataFrame(rows, "qid int, rank int")
+    out = {(r["qid"], r["rank"]): (r["page"], r["total_pages"]) for r in page_results(df, size=10).collect()}
+    assert out[(1, 1)] == (1, 3) and out[(1, 11)] == (2, 3) and out[(1, 23)] == (3, 3)
+    assert out[(2, 3)] == (1, 1)  # page size shrinks to the result count
