@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from folio.constants import COVER_URL_PREFIX, COVER_URL_SUFFIX, SENTINEL_TOKENS
+from folio.functions.text import strip
 
 
 def _col(c: Column | str) -> Column:
@@ -13,8 +14,8 @@ def _col(c: Column | str) -> Column:
 
 
 def clean_sentinel(c: Column | str) -> Column:
-    """Trim; '', 'null', 'none' (any case) -> NULL."""
-    t = F.trim(_col(c).cast("string"))
+    """Strip surrounding whitespace; '', 'null', 'none' (any case) -> NULL."""
+    t = strip(_col(c).cast("string"))
     return F.when(~F.lower(t).isin(*SENTINEL_TOKENS), t)
 
 

@@ -39,6 +39,7 @@ from folio.plans.registry import (
     BY_TITLE_AUTHOR_CTE,
     ENRICHED_AUTHOR_CTE,
     d_book_key,
+    d_strip,
     register,
     with_ctes,
 )
@@ -225,10 +226,12 @@ def _legacy_list(c: str):
     with_ctes(*ENRICH_CTES)
     + "SELECT record_id, "
     + ", ".join(
-        "CASE WHEN {v} IS NULL OR lower(trim({v})) IN ('', 'null', 'none') THEN NULL "
-        "WHEN trim({v}) LIKE '[%]' AND json_valid(trim({v})) "
-        "THEN array_to_string(from_json(trim({v}), '[\"VARCHAR\"]'), ', ') "
-        "ELSE trim({v}) END AS {c}_display".format(v="(" + _LEGACY_LIST.format(c=c) + ")", c=c)
+        "CASE WHEN {v} IS NULL OR lower({s}) IN ('', 'null', 'none') THEN NULL "
+        "WHEN {s} LIKE '[%]' AND json_valid({s}) "
+        "THEN array_to_string(from_json({s}, '[\"VARCHAR\"]'), ', ') "
+        "ELSE {s} END AS {c}_display".format(
+            v="(" + _LEGACY_LIST.format(c=c) + ")", s=d_strip("(" + _LEGACY_LIST.format(c=c) + ")"), c=c
+        )
         for c in LIST_COLUMNS
     )
     + " FROM catalog_enriched",
@@ -247,8 +250,8 @@ def q_display_list(spark, sf_dir):
     with_ctes(*ENRICH_CTES)
     + "SELECT record_id, "
     + ", ".join(
-        "CASE WHEN lower(trim({v})) IN ('', 'null', 'none') THEN NULL ELSE trim({v}) END AS {c}".format(
-            v=f"CAST({c} AS VARCHAR)", c=c
+        "CASE WHEN lower({s}) IN ('', 'null', 'none') THEN NULL ELSE {s} END AS {c}".format(
+            s=d_strip(f"CAST({c} AS VARCHAR)"), c=c
         )
         for c in ("title", "year", "publisher", "summary", "isbn")
     )

@@ -169,3 +169,8 @@ ENRICHED_AUTHOR_CTE = (
     "AND c.title = a.title_key AND c.author_editor = a.author_key "
     "LEFT JOIN by_title t ON i.meta_pos IS NULL AND c.author_editor IS NULL AND c.title = t.title_key)"
 )
+
+
+def d_strip(c: str) -> str:
+    """DuckDB spelling of Python's ``str.strip()``."""
+    return f"regexp_replace({c}, '^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$', '', 'g')"

@@ -27,6 +27,7 @@ from folio.plans.registry import (
     CLEAN_CTE,
     ENRICH_CTES,
     NORMALIZED_CTE,
+    d_strip,
     register,
     with_ctes,
 )
@@ -274,7 +275,7 @@ def q_semantic_text(spark, sf_dir):
 
 
 def _d_display(c: str) -> str:
-    v = f"trim(CAST({c} AS VARCHAR))"
+    v = d_strip(f"CAST({c} AS VARCHAR)")
     return (
         f"CASE WHEN {c} IS NULL OR lower({v}) IN ('', 'null', 'none') THEN NULL "
         f"WHEN {v} LIKE '[%]' AND json_valid({v}) THEN array_to_string(from_json({v}, '[\"VARCHAR\"]'), ', ') "
@@ -283,7 +284,7 @@ def _d_display(c: str) -> str:
 
 
 def _d_sentinel(c: str) -> str:
-    v = f"trim(CAST({c} AS VARCHAR))"
+    v = d_strip(f"CAST({c} AS VARCHAR)")
     return f"CASE WHEN lower({v}) IN ('', 'null', 'none') THEN NULL ELSE {v} END"
 
 
