@@ -142,7 +142,7 @@ class MetadataLookup:
         )
 
     def materialize(self) -> "MetadataLookup":
-        return MetadataLookup(reliable_checkpoint(self.tagged))
+        return MetadataLookup(reliable_checkpoint(self.tagged, "metadata-lookup"))
 
 
 def build_lookup(

@@ -58,7 +58,7 @@ def enriched_table(spark, sf_dir):
     """The enriched records written once to the shared checkpoint folder, for
     queries that read them more than once (a stage table: later branches read
     it instead of re-running the enrichment, and lineage is cut there)."""
-    return reliable_checkpoint(enriched_df(spark, sf_dir))
+    return reliable_checkpoint(enriched_df(spark, sf_dir), "enriched")
 
 
 # "Already stored / already processed" in the store and resume queries: the

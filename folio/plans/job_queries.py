@@ -43,7 +43,6 @@ _FULL = [
 ]
 _REORDERED = [_FULL[i] for i in (4, 1, 3, 0, 2, 5, 6, 7)]
 _NO_PAGES = [c for c in _FULL if c[0] != "pages"] + [("class_no_book_no", "Extra")]
-LAYOUTS = {"en": _FULL, "fr": _FULL, "de": _REORDERED, "es": _NO_PAGES}
 
 
 def write_raw_csv(spark, sf_dir: str, path: str) -> None:

@@ -89,11 +89,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def reliable_checkpoint(df):
-    """Write ``df`` to the shared checkpoint folder and cut its lineage.
-
-    A reliable checkpoint survives executor loss (the data is on the shared
-    file system, not on an executor's local disk).
+def reliable_checkpoint(df, name: str = "stage"):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    return the table read back: lineage is cut there and the data survives
+    executor loss (it lives on the shared file system, not on executors).
+
+    A written table is used rather than ``DataFrame.checkpoint()``: an eager
+    RDD checkpoint computes the plan twice (once to count, once to write),
+    while a table write computes it once and gives the optimizer real file
+    sizes for its broadcast and skew decisions.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
