@@ -270,7 +270,8 @@ def top_k_similar(
     normalize: bool = True,
     min_score: float | None = None,
     max_broadcast_queries: int = 2048,
-    item_block_rows: int = 50_000,
+    query_block_bytes: int = 256 << 20,
+    item_block_bytes: int = 128 << 20,
 ) -> DataFrame:
     """V4 + L4: for each query, the k items with the highest inner product
     (cosine when ``normalize``), ranked by (rounded score desc, item id).
@@ -278,6 +279,11 @@ def top_k_similar(
     Output: ``query_id, item_id, score, rank``.  Fewer than k rows for a query
     is not an error.  ``min_score`` drops items scoring at or below it (e.g.
     0 for the sparse encoding, where no shared bucket means no match).
+
+    Beyond ``max_broadcast_queries`` the blocked path sizes its blocks by
+    bytes: query blocks up to ``query_block_bytes`` (few, large blocks keep the
+    number of item copies low) and item blocks up to ``item_block_bytes`` (so
+    one co-group always fits in a Python worker).
     """
     spark = items.sparkSession
     q_type = queries.schema[query_id].dataType.simpleString()
@@ -304,9 +310,11 @@ def top_k_similar(
 
         candidates = items_slim.mapInPandas(scan, out_schema)
     else:
+        dim = max(1, len(rows[0][1]))
         candidates = _blocked_candidates(
             queries.select(query_id, query_vec), items_slim, k, query_id, query_vec, item_id, item_vec,
-            normalize, min_score, max_broadcast_queries, item_block_rows, out_schema,
+            normalize, min_score, max(1, query_block_bytes // (8 * dim)), max(1, item_block_bytes // (8 * dim)),
+            out_schema,
         )
 
     rounded = candidates.withColumn("score", F.round("score", SCORE_DIGITS))

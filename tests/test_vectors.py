@@ -40,7 +40,7 @@ def vectors(spark):
 @pytest.mark.parametrize("bound", [2048, 3])
 def test_top_k_exact_both_paths(spark, vectors, bound):
     q, e, queries, items = vectors
-    got = top_k_similar(queries, items, 5, max_broadcast_queries=bound, item_block_rows=64)
+    got = top_k_similar(queries, items, 5, max_broadcast_queries=bound, query_block_bytes=3 * 64, item_block_bytes=64 * 64)
     got = {(r["qid"], r["id"], r["rank"]) for r in got.collect()}
     assert got == brute_force(q, e, 5, list(range(len(q))), list(range(len(e))))
 
