@@ -329,3 +329,31 @@ def q_recommend_books(spark, sf_dir):
         "page",
         "total_pages",
     ).orderBy("qid", F.col("score").desc(), "record_id")
+
+
+@register(
+    "browse_books",
+    with_ctes(*ENRICH_CTES, STORE_CTE)
+    + ", m AS (SELECT * FROM books WHERE lower(authors) LIKE '%src1%') "
+    + f"SELECT book_key, {_d_sentinel('title')} AS title, {_d_display('authors')} AS authors, "
+    + f"{_d_sentinel('publisher')} AS publisher, {_d_sentinel('year')} AS year, "
+    + f"{_d_display('subjects')} AS subjects, {_d_sentinel('summary')} AS summary, "
+    + f"{_d_sentinel('pages')} AS pages, {_d_sentinel('isbn')} AS isbn, "
+    + "(SELECT count(*) FROM m) AS total FROM m ORDER BY book_key LIMIT 10 OFFSET 10",
+)
+def q_browse_books(spark, sf_dir):
+    """L1 + A8 + F3 + P15/P16: second page of stored books whose authors (list
+    text) contain 'src1', shaped for display, with the total match count."""
+    page = browse(stored_books(spark, sf_dir), ["book_key"], skip=10, limit=10, field="authors", query="src1")
+    return page.select(
+        "book_key",
+        clean_sentinel("title").alias("title"),
+        display_list(clean_sentinel("authors")).alias("authors"),
+        clean_sentinel("publisher").alias("publisher"),
+        clean_sentinel("year").alias("year"),
+        display_list(clean_sentinel("subjects")).alias("subjects"),
+        clean_sentinel("summary").alias("summary"),
+        clean_sentinel("pages").alias("pages"),
+        clean_sentinel("isbn").alias("isbn"),
+        "total",
+    )
