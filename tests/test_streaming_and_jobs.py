@@ -43,3 +43,22 @@ def test_end_to_end_from_csv(spark, tmp_dir):
     feats = spark.read.parquet(paths.features)
     assert feats.columns == ["record_id", "title", "class_no_book_no", "intent", "depth", "publisher", "pages"]
     assert feats.count() == spark.read.parquet(paths.enriched).count() == clean.count()
+
+
+def test_cli_stages(spark, tmp_dir):
+    from folio.cli import main
+
+    raw, meta = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "meta")
+    write_raw_csv(spark, SF_SMALL, raw)
+    catalog_meta(spark, SF_SMALL).write.parquet(meta)
+    d = {n: os.path.join(tmp_dir, n) for n in ("ing", "clean", "enr", "feat", "books")}
+    main(["ingest", "--input-dir", raw, "--output-dir", d["ing"]], spark)
+    main(["clean", "--input-dir", d["ing"], "--output-dir", d["clean"]], spark)
+    main(["enrich", "--input-dir", d["clean"], "--metadata", meta, "--output-dir", d["enr"], "--use-author"], spark)
+    main(["features", "--input-dir", d["enr"], "--output-dir", d["feat"]], spark)
+    main(["store", "--input-dir", d["enr"], "--store", d["books"]], spark)
+    main(["store", "--input-dir", d["enr"], "--store", d["books"]], spark)  # idempotent
+    main(["stats", "--ingested", d["ing"], "--clean", d["clean"], "--enriched", d["enr"]], spark)
+    books = spark.read.parquet(d["books"])
+    assert books.count() == books.select("book_key").distinct().count() > 0
+    assert spark.read.parquet(d["feat"]).count() == spark.read.parquet(d["clean"]).count()
