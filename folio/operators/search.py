@@ -154,13 +154,15 @@ def _all_rows():
 
 
 def fetch_with_scores(books: DataFrame, results: DataFrame, key: str = "record_id") -> DataFrame:
-    """J5 + J6 + L3: rows for the result ids with their score, best first.
-
-    ``results`` is a top-k result (at most queries x k rows, bounded by the
-    caller's query-count check), so it is the broadcast side; ids missing
+    """J5 + J6 + L3: rows for the result ids with their score; ids missing
     from ``books`` are dropped by the inner join.
+
+    ``results`` is a top-k result (queries x k rows).  No broadcast hint: its
+    size is known only at run time, and adaptive execution turns the join
+    into a broadcast join when the measured result is small (the usual case),
+    keeping a shuffle join when many queries make it large.
     """
-    return books.join(F.broadcast(results), on=key, how="inner")
+    return books.join(results, on=key, how="inner")
 
 
 def page_results(
