@@ -270,6 +270,7 @@ def top_k_similar(
     normalize: bool = True,
     min_score: float | None = None,
     max_broadcast_queries: int = 2048,
+    max_broadcast_bytes: int = 64 << 20,
     query_block_bytes: int = 256 << 20,
     item_block_bytes: int = 128 << 20,
 ) -> DataFrame:
@@ -280,7 +281,8 @@ def top_k_similar(
     is not an error.  ``min_score`` drops items scoring at or below it (e.g.
     0 for the sparse encoding, where no shared bucket means no match).
 
-    Beyond ``max_broadcast_queries`` the blocked path sizes its blocks by
+    The broadcast path needs at most ``max_broadcast_queries`` queries and
+    ``max_broadcast_bytes`` of query vectors.  Beyond that the blocked path sizes its blocks by
     bytes: query blocks up to ``query_block_bytes`` (few, large blocks keep the
     number of item copies low) and item blocks up to ``item_block_bytes`` (so
     one co-group always fits in a Python worker).
@@ -293,7 +295,8 @@ def top_k_similar(
 
     # One bounded probe: at most max_broadcast_queries + 1 rows reach the driver.
     rows = queries.select(query_id, query_vec).limit(max_broadcast_queries + 1).collect()
-    if len(rows) <= max_broadcast_queries:
+    dim = max((len(r[1]) for r in rows if r[1] is not None), default=1)
+    if len(rows) <= max_broadcast_queries and len(rows) * dim * 8 <= max_broadcast_bytes:
         qids = np.array([r[0] for r in rows], dtype=object)
         qmat = _stack(pd.Series([r[1] for r in rows])) if rows else np.zeros((0, 0))
         qnorm = np.sqrt(np.einsum("ij,ij->i", qmat, qmat)) if rows else np.zeros(0)
@@ -310,7 +313,6 @@ def top_k_similar(
 
         candidates = items_slim.mapInPandas(scan, out_schema)
     else:
-        dim = max(1, len(rows[0][1]))
         candidates = _blocked_candidates(
             queries.select(query_id, query_vec), items_slim, k, query_id, query_vec, item_id, item_vec,
             normalize, min_score, max(1, query_block_bytes // (8 * dim)), max(1, item_block_bytes // (8 * dim)),
