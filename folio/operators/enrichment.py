@@ -9,13 +9,16 @@ equi-joins:
   only on the records tier 1 did not match.
 
 Each metadata side is first reduced to one row per key (lowest order key
-wins, like "first search result"), so the joins never multiply rows.  Records
-without an ISBN are split off before the ISBN join, so NULL keys never pile up
-in one shuffle partition.  A popular title on the record side is a skewed
-join key; the metadata side holds one row per key, so adaptive execution can
-split that partition (``spark.sql.adaptive.skewJoin.enabled``) at the cost of
-re-reading a single metadata row, and a metadata side that turns out small is
-broadcast at run time.
+wins, like "first search result") in one tagged aggregation, so the joins
+never multiply rows and the metadata is scanned once.  The records flow
+through one linear chain (ISBN join, then title join), read once.  A record
+without an ISBN, or already matched by ISBN, joins with a unique key that
+never matches, so such records spread over all partitions instead of piling
+up under a NULL key.  A popular title on the record side is a skewed join
+key; the lookup side holds one row per key, so adaptive execution can split
+that partition (``spark.sql.adaptive.skewJoin.enabled``) at the cost of
+re-reading a single lookup row, a lookup side that turns out small is
+broadcast at run time, and ``skew_salt`` salts the title join explicitly.
 """
 
 from __future__ import annotations
