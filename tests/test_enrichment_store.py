@@ -106,3 +106,38 @@ def test_salted_title_join_equals_plain(spark):
     cols = plain.columns
     assert sorted(map(tuple, plain.select(*cols).collect()), key=str) == sorted(
         map(tuple, salted.select(*cols).collect()), key=str)
+
+
+def test_adaptive_skew_join_splits_hot_title(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import plan_text
+    from folio.plans.cleaning_queries import clean_catalog_df
+    from folio.sources.catalog_views import catalog_meta
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        clean = clean_catalog_df(spark, SF_ORACLE).withColumn(
+            "title", F.when(F.col("isbn").isNull(), F.lit("en 1 volume")).otherwise(F.col("title"))
+        )
+        out = enrich(clean, catalog_meta(spark, SF_ORACLE), carry=("row_pos",))
+        rows = out.collect()
+        final = plan_text(out, "simple").split("== Initial Plan ==")[0]
+        assert len(rows) == 778
+        assert "skew=true" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
