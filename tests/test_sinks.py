@@ -47,3 +47,20 @@ def test_embeddings_round_trip(spark, tmp_dir):
     write_embeddings(df, path, id_col="id", vec="v")
     back = {r["record_id"]: r["embedding"] for r in read_embeddings(spark, path).collect()}
     assert back == {"r1": [0.5, 1.0], "r2": [0.0, 2.0]}
+
+
+def test_read_enriched_json_array(spark, tmp_dir):
+    import json
+
+    from folio.sources.sinks import read_enriched
+
+    path = os.path.join(tmp_dir, "enriched.json")
+    records = [
+        {"record_id": "r1", "book_key": "1|a", "status": "FOUND", "authors": ["A", "B"], "pages": 200, "year": "2001"},
+        {"record_id": "r2", "book_key": "NOISBN|b", "status": "MISSING", "authors": None, "subjects": None},
+    ]
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(records, f, indent=2, ensure_ascii=False)
+    rows = {r["record_id"]: r for r in read_enriched(spark, path, fmt="json_array").collect()}
+    assert rows["r1"]["authors"] == ["A", "B"] and rows["r1"]["pages"] == "200"  # numbers read as text
+    assert rows["r2"]["authors"] is None and rows["r2"]["title"] is None  # absent keys -> NULL
