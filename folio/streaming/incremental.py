@@ -16,6 +16,13 @@ finished keys on restart.  Here:
 ``foreachBatch`` is at-least-once: a batch replayed after a failure finds its
 own earlier output through the anti-join and appends nothing, so the output
 stays unique per key.
+
+Cost per batch: the batch itself plus the key column of the output (columnar,
+so a small fraction of the stored bytes); Spark broadcasts those keys while
+they are small and sort-merges them once they are not.  A streaming
+``dropDuplicates`` would keep the keys in a state store instead, but it keeps
+an arbitrary row of a key inside one micro-batch, not the first by position,
+so the anti-join is used to keep "first" exact.
 """
 
 from __future__ import annotations
