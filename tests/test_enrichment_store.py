@@ -141,3 +141,29 @@ def test_adaptive_skew_join_splits_hot_title(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_clustered_store_files_cover_disjoint_key_ranges(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    rows = spark.range(3000).select(
+        F.col("id").alias("row_pos"), F.format_string("k%05d", (F.col("id") * 7919) % 3000).alias("book_key")
+    ).repartition(6)
+    path = os.path.join(tmp_dir, "clustered")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keep 4 files to inspect
+    try:
+        stored = append_to_store(spark, rows, path, cluster_by_key=True)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert stored.count() == 3000
+    ranges = []
+    for f in glob.glob(os.path.join(path, "*.parquet")):
+        stats = pq.ParquetFile(f).metadata.row_group(0).column(1).statistics
+        ranges.append((stats.min, stats.max))
+    ranges.sort()
+    assert len(ranges) > 1 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
