@@ -4,7 +4,7 @@
     spark-submit folio/cli.py clean    --input-dir INGESTED --output-dir CLEAN
     spark-submit folio/cli.py enrich   --input-dir CLEAN --metadata META --output-dir ENRICHED [--use-author]
     spark-submit folio/cli.py features --input-dir ENRICHED --output-dir FEATURES
-    spark-submit folio/cli.py store    --input-dir ENRICHED --store BOOKS
+    spark-submit folio/cli.py store    --input-dir ENRICHED --store BOOKS [--cluster-by-key]
     spark-submit folio/cli.py stats    --ingested INGESTED --clean CLEAN --enriched ENRICHED
     spark-submit folio/cli.py run      --input-dir RAW_CSV_DIR --metadata META --output-dir OUT
 
@@ -53,6 +53,7 @@ def _parser() -> argparse.ArgumentParser:
     s = sub.add_parser("store", help="insert-or-ignore into the books table")
     s.add_argument("--input-dir", required=True)
     s.add_argument("--store", required=True)
+    s.add_argument("--cluster-by-key", action="store_true", help="range-cluster new files by book_key")
 
     s = sub.add_parser("stats", help="data-quality report per stage")
     s.add_argument("--ingested", required=True)
@@ -100,7 +101,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.cmd == "store":
         df = spark.read.parquet(args.input_dir)
         order = _order(df)
-        stored = append_to_store(spark, to_store_rows(df, keep=list(order)), args.store, order=order)
+        stored = append_to_store(spark, to_store_rows(df, keep=list(order)), args.store, order=order,
+                                 cluster_by_key=args.cluster_by_key)
         print(f"stored rows: {stored.count()}")
     elif args.cmd == "stats":
         ingested, cleaned, enriched = (spark.read.parquet(p) for p in (args.ingested, args.clean, args.enriched))
