@@ -80,12 +80,13 @@ def keep_first(
     """
     keys = list(keys)
     if null_keys == "keep":
+        # A row with a NULL key gets its own group: an extra key holding its
+        # (unique) order values.  One aggregation, one scan, no union.
         any_null = F.lit(False)
         for k in keys:
             any_null = any_null | F.col(k).isNull()
-        bypass = df.where(any_null)
-        grouped = df.where(~any_null)
-        return keep_first(grouped, keys, order, "group").unionByName(bypass)
+        solo = F.when(any_null, F.struct(*[o if isinstance(o, Column) else F.col(o) for o in order]))
+        return keep_first(df.withColumn("_solo", solo), [*keys, "_solo"], order, "group").drop("_solo")
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(keys)
