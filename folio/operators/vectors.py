@@ -128,17 +128,28 @@ def encode(
     text_col: str,
     encoder_factory: Callable[[], Callable[[list[str]], np.ndarray]],
     out: str = "vector",
+    cache_key: str | None = None,
 ) -> DataFrame:
     """V2(b): run a user-supplied text encoder over Arrow batches.
 
-    ``encoder_factory`` is called once per Python worker task (not per row or
-    batch) and returns ``encode(texts) -> (n, d) array``.  Output vectors are
-    L2-normalised float arrays.
+    ``encoder_factory`` returns ``encode(texts) -> (n, d) array``.  It is called
+    once per task, or, with ``cache_key``, once per Python worker process:
+    PySpark reuses workers across tasks, so a model loaded under a key stays
+    in that worker for the following tasks.  Output vectors are L2-normalised
+    float arrays.
     """
     schema = df.select(id_col).schema.add(out, ArrayType(FloatType()))
 
     def run(batches):
-        model = encoder_factory()
+        if cache_key is None:
+            model = encoder_factory()
+        else:
+            import pyspark  # a module every worker has: holds the per-process cache
+
+            cache = pyspark.__dict__.setdefault("_folio_encoders", {})
+            if cache_key not in cache:
+                cache[cache_key] = encoder_factory()
+            model = cache[cache_key]
         for pdf in batches:
             texts = pdf[text_col].fillna("").astype(str).tolist()
             mat = np.asarray(model(texts), dtype=np.float64)

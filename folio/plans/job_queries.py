@@ -158,9 +158,9 @@ def projection_encoder(dim: int = 64, buckets: int = HASH_BUCKETS, seed: int = 7
 @register("dense_encoder")
 def q_dense_encoder(spark, sf_dir):
     """V2(b): every document's full text through a pluggable encoder
-    (mapInPandas, model built once per task); rows-only check."""
+    (mapInPandas, model built once per Python worker); rows-only check."""
     docs = read_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
-    return encode(docs, "doc_id", "text", projection_encoder())
+    return encode(docs, "doc_id", "text", projection_encoder(), cache_key="projection-64")
 
 
 ENRICHED_ONLY = ", ".join(ENRICHED_COLUMNS)

@@ -91,3 +91,14 @@ def test_chunked_scoring_equals_unchunked(spark, vectors, monkeypatch):
     monkeypatch.setattr(V, "SCORE_CELLS", 20)  # forces many tiny chunks
     got = {(r["qid"], r["id"], r["rank"]) for r in top_k_similar(queries, items, 5).collect()}
     assert got == brute_force(q, e, 5, list(range(len(q))), list(range(len(e))))
+
+
+def test_encoder_cached_per_worker_gives_same_vectors(spark):
+    def factory():
+        return lambda texts: np.array([[len(t), 2.0] for t in texts])
+
+    df = spark.createDataFrame([(i, "x" * i) for i in range(50)], "id int, text string").repartition(4)
+    plain = {r["id"]: r["vector"] for r in encode(df, "id", "text", factory).collect()}
+    cached = {r["id"]: r["vector"] for r in encode(df, "id", "text", factory, cache_key="t-len").collect()}
+    again = {r["id"]: r["vector"] for r in encode(df, "id", "text", factory, cache_key="t-len").collect()}
+    assert plain == cached == again
