@@ -77,26 +77,34 @@ def sniff_headers(spark: SparkSession, files: Sequence[str], encoding: str = CSV
             )
 
     try:
-        grouped = (
-            paths.repartition(n)
-            .mapInPandas(read, "path string, header string")
-            .groupBy("header")
-            .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-            .collect()
-        )
+        pairs = paths.repartition(n).mapInPandas(read, "path string, header string").collect()
     except Exception:  # a file system the executors' Arrow layer cannot open
         return _headers_via_spark(spark, files, encoding)
-    return {tuple(json.loads(r["header"])): list(r["paths"]) for r in grouped}
+    groups: dict[tuple, list[str]] = {}
+    for r in sorted(pairs, key=lambda r: r["path"]):
+        groups.setdefault(tuple(json.loads(r["header"])), []).append(r["path"])
+    return groups
 
 
 def _headers_via_spark(spark: SparkSession, files: Sequence[str], encoding: str) -> dict[tuple, list[str]]:
-    """Fallback: let Spark's own CSV reader take each file's header line."""
+    """Fallback in one Spark job: the first line of every file, read by Spark's
+    text source (first split of each file only) and parsed as CSV here."""
+    lines = (
+        spark.read.option("encoding", encoding).text(list(files))
+        .where(F.col("_metadata.file_block_start") == 0)
+        .select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("_pos"))
+        .groupBy("path")
+        .agg(F.min_by("value", "_pos").alias("first_line"))
+        .collect()
+    )
+    from urllib.parse import unquote, urlparse
+
+    given = {unquote(urlparse(f).path): f for f in files}  # same file, other URI spelling
     groups: dict[tuple, list[str]] = {}
-    for f in files:
-        header = tuple(
-            spark.read.option("header", True).option("encoding", encoding).option("multiLine", True).csv(f).columns
-        )
-        groups.setdefault(header, []).append(f)
+    for r in sorted(lines, key=lambda r: r["path"]):
+        header = next(csv.reader([r["first_line"] or ""]), [])
+        path = given.get(unquote(urlparse(r["path"]).path), r["path"])
+        groups.setdefault(tuple(header), []).append(path)
     return groups
 
 
