@@ -7,6 +7,7 @@ compares row count, column names and an order-insensitive value hash.
 from __future__ import annotations
 
 import hashlib
+import os
 import math
 
 import duckdb
@@ -27,7 +28,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 9))
+        return repr(v) if os.environ.get("FOLIO_EXACT_FLOATS") else repr(round(v, 9))
     if isinstance(v, (list, tuple)):
         return "[" + ",".join(_norm(x) for x in v) + "]"
     if hasattr(v, "asDict"):
