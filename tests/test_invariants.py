@@ -23,3 +23,30 @@ def test_partition_count_does_not_change_results(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert len(results) == 1
+
+
+# Expected counts for the derived catalogue, as listed in FIXTURES.md.
+FIXTURE_COUNTS = {
+    "/root/testdata/sf0.001": {"clean": 191, "with_isbn": 138, "blank_title": 6, "book_keys": 182, "later_titles": 64},
+    "/root/testdata/sf0.01": {"clean": 778, "with_isbn": 536, "blank_title": 24, "book_keys": 701, "later_titles": 497},
+    "/root/testdata/sf0.1": {"clean": 2235, "with_isbn": 640, "blank_title": 40, "book_keys": 1016, "later_titles": 1852},
+}
+
+
+@pytest.mark.parametrize("sf_dir", sorted(FIXTURE_COUNTS))
+def test_fixture_counts(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from folio.functions import book_key
+    from folio.operators.cleaning import duplicates
+    from folio.plans.cleaning_queries import clean_catalog_df
+
+    clean = clean_catalog_df(spark, sf_dir).withColumn("book_key", book_key())
+    got = clean.agg(
+        F.count(F.lit(1)).alias("clean"),
+        F.count("isbn").alias("with_isbn"),
+        F.count_if(F.col("title") == "").alias("blank_title"),
+        F.count_distinct("book_key").alias("book_keys"),
+    ).first().asDict()
+    got["later_titles"] = duplicates(clean.select("row_pos", "title"), "title").count()
+    assert got == FIXTURE_COUNTS[sf_dir]
