@@ -157,3 +157,10 @@ NUMERIC_PATTERN = "^\\s*[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?\\s*$"
 # FIXED VALUES — token splitter and bucket count for the hashed bag of words.
 TOKEN_SPLIT_PATTERN = "[^\\p{L}0-9]+"
 HASH_BUCKETS = 256
+
+# FIXED VALUES — a bracketed list whose items are all quoted string literals
+# (double or single quotes); only such list text is displayed joined.
+STRING_LIST_PATTERN = (
+    "^\\[\\s*(?:(?:\"(?:[^\"\\\\]|\\\\.)*\"|'(?:[^'\\\\]|\\\\.)*')\\s*"
+    "(?:,\\s*(?:\"(?:[^\"\\\\]|\\\\.)*\"|'(?:[^'\\\\]|\\\\.)*')\\s*)*)?\\]$"
+)

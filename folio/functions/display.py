@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folio.constants import COVER_URL_PREFIX, COVER_URL_SUFFIX, SENTINEL_TOKENS
+from folio.constants import COVER_URL_PREFIX, COVER_URL_SUFFIX, SENTINEL_TOKENS, STRING_LIST_PATTERN
 from folio.functions.text import strip
 
 
@@ -25,13 +25,15 @@ def join_list(c: Column | str, sep: str = ", ") -> Column:
 
 
 def display_list(c: Column | str) -> Column:
-    """List text such as '["a", "b"]' -> 'a, b'; other text unchanged.
+    """List text such as '["a", "b"]' or "['a', 'b']" -> 'a, b'.
 
-    Text that does not parse as a JSON array of strings is returned as is.
+    Only a list whose items are all quoted strings is joined; any other text
+    (plain text, malformed lists, lists of numbers, objects or null/true
+    literals) is returned unchanged.
     """
     s = _col(c).cast("string")
     parsed = F.from_json(s, "array<string>")
-    return F.when(s.startswith("[") & s.endswith("]"), F.coalesce(F.array_join(parsed, ", "), s)).otherwise(s)
+    return F.when(s.rlike(STRING_LIST_PATTERN), F.coalesce(F.array_join(parsed, ", "), s)).otherwise(s)
 
 
 def lists_to_json(c: Column | str) -> Column:

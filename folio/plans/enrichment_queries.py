@@ -39,6 +39,7 @@ from folio.plans.registry import (
     BY_TITLE_AUTHOR_CTE,
     ENRICHED_AUTHOR_CTE,
     d_book_key,
+    d_display_list,
     d_strip,
     register,
     with_ctes,
@@ -227,10 +228,11 @@ def _legacy_list(c: str):
     + "SELECT record_id, "
     + ", ".join(
         "CASE WHEN {v} IS NULL OR lower({s}) IN ('', 'null', 'none') THEN NULL "
-        "WHEN {s} LIKE '[%]' AND json_valid({s}) "
-        "THEN array_to_string(from_json({s}, '[\"VARCHAR\"]'), ', ') "
-        "ELSE {s} END AS {c}_display".format(
-            v="(" + _LEGACY_LIST.format(c=c) + ")", s=d_strip("(" + _LEGACY_LIST.format(c=c) + ")"), c=c
+        "ELSE {d} END AS {c}_display".format(
+            v="(" + _LEGACY_LIST.format(c=c) + ")",
+            s=d_strip("(" + _LEGACY_LIST.format(c=c) + ")"),
+            d=d_display_list(d_strip("(" + _LEGACY_LIST.format(c=c) + ")")),
+            c=c,
         )
         for c in LIST_COLUMNS
     )

@@ -174,3 +174,18 @@ ENRICHED_AUTHOR_CTE = (
 def d_strip(c: str) -> str:
     """DuckDB spelling of Python's ``str.strip()``."""
     return f"regexp_replace({c}, '^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$', '', 'g')"
+
+
+def d_literal(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("'", "''") + "'"
+
+
+def d_display_list(v: str) -> str:
+    """DuckDB spelling of P16 on already-cleaned text ``v``."""
+    from folio.constants import STRING_LIST_PATTERN
+
+    return (
+        f"CASE WHEN regexp_matches({v}, {d_literal(STRING_LIST_PATTERN)}) "
+        f"THEN coalesce(array_to_string(from_json({v}, '[\"VARCHAR\"]'), ', '), {v}) ELSE {v} END"
+    )

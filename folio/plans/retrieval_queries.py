@@ -27,6 +27,7 @@ from folio.plans.registry import (
     CLEAN_CTE,
     ENRICH_CTES,
     NORMALIZED_CTE,
+    d_display_list,
     d_strip,
     register,
     with_ctes,
@@ -278,8 +279,7 @@ def _d_display(c: str) -> str:
     v = d_strip(f"CAST({c} AS VARCHAR)")
     return (
         f"CASE WHEN {c} IS NULL OR lower({v}) IN ('', 'null', 'none') THEN NULL "
-        f"WHEN {v} LIKE '[%]' AND json_valid({v}) THEN array_to_string(from_json({v}, '[\"VARCHAR\"]'), ', ') "
-        f"ELSE {v} END"
+        f"ELSE {d_display_list(v)} END"
     )
 
 

@@ -78,8 +78,9 @@ def test_book_key(spark):
 def test_sentinels_and_display(spark):
     assert col_values(spark, [" null ", "None", "", " x ", "\tNULL\n", "\u00a0v w\n"], clean_sentinel) == [
         None, None, None, "x", None, "v w"]
-    out = col_values(spark, ['["a", "b"]', "['a', 'b']", "[broken", "plain", None], display_list)
-    assert out == ["a, b", "a, b", "[broken", "plain", None]
+    values = ['["a", "b"]', "['a', 'b']", "[broken", "plain", None, "[1, 2]", '["a", null]', "[true]", "[]"]
+    out = col_values(spark, values, display_list)
+    assert out == ["a, b", "a, b", "[broken", "plain", None, "[1, 2]", '["a", null]', "[true]", ""]
 
 
 def test_lists_to_json_and_cover(spark):
