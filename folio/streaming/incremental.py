@@ -47,10 +47,15 @@ def enrich_stream(
     checkpoint: str,
     files_per_batch: int = 1,
     order: Sequence[str] = ("row_pos",),
-) -> int:
-    """Run the incremental job until all available files are processed.
+    processing_time: str | None = None,
+):
+    """Run the incremental job.
 
-    Returns the number of micro-batches run.
+    By default (``processing_time=None``) it drains every available file with
+    ``trigger(availableNow=True)``, stops, and returns the number of
+    micro-batches run, which suits scheduled runs.  With ``processing_time``
+    (e.g. ``"1 minute"``) it starts a long-running query that picks up new
+    files as they land and returns the ``StreamingQuery`` handle.
     """
     order = list(order)
     batches = {"n": 0}
@@ -67,14 +72,15 @@ def enrich_stream(
         enriched.write.mode("append").parquet(out_dir)
         batches["n"] += 1
 
-    query = (
+    writer = (
         spark.readStream.schema(source_schema)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(source_dir)
         .writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
     )
+    if processing_time is not None:
+        return writer.trigger(processingTime=processing_time).start()
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return batches["n"]

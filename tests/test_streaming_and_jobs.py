@@ -62,3 +62,19 @@ def test_cli_stages(spark, tmp_dir):
     books = spark.read.parquet(d["books"])
     assert books.count() == books.select("book_key").distinct().count() > 0
     assert spark.read.parquet(d["feat"]).count() == spark.read.parquet(d["clean"]).count()
+
+
+def test_stream_with_processing_time_trigger(spark, tmp_dir):
+    clean = clean_catalog_df(spark, SF_SMALL)
+    src, out, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "out", "ckpt"))
+    clean.write.parquet(f"{src}/a")
+    schema = spark.read.parquet(f"{src}/a").schema
+    query = enrich_stream(spark, f"{src}/*", schema, catalog_meta(spark, SF_SMALL), out, ckpt,
+                          files_per_batch=10, processing_time="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    final = spark.read.parquet(out)
+    assert final.count() == final.select("book_key").distinct().count() == clean.withColumn(
+        "book_key", book_key()).select("book_key").distinct().count()
