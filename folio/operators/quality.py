@@ -46,6 +46,11 @@ def enrichment_stats(df: DataFrame, status: str = "status") -> DataFrame:
     )
 
 
+def by_status(df: DataFrame, status: str, column: str = "status") -> DataFrame:
+    """records with one enrichment outcome (a pushed-down equality filter)."""
+    return df.where(F.col(column) == status)
+
+
 def coverage(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A5: non-NULL count per column, named ``<col>_available``."""
     return df.agg(*[F.count(c).alias(f"{c}_available") for c in cols])

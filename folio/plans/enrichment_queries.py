@@ -19,6 +19,7 @@ from folio.operators.cleaning import keep_first
 from folio.operators.enrichment import enrich, extract_metadata, parse_metadata, remaining
 from folio.operators.features import features, flatten_struct
 from folio.operators.quality import (
+    by_status,
     coverage,
     enrichment_stats,
     profile,
@@ -122,6 +123,20 @@ def q_enrichment_stats(spark, sf_dir):
     return enrichment_stats(enriched_df(spark, sf_dir))
 
 
+@register(
+    "found_coverage",
+    with_ctes(*ENRICH_CTES)
+    + "SELECT count(*) AS found_books, count(authors) AS authors_available, count(subjects) AS subjects_available, "
+    "count(summary) AS summary_available, count(publisher) AS publisher_available "
+    "FROM catalog_enriched WHERE status = 'FOUND'",
+)
+def q_found_coverage(spark, sf_dir):
+    """F4 + A5: field coverage among FOUND records (the published coverage table)."""
+    found = by_status(enriched_df(spark, sf_dir), "FOUND")
+    fields = ["authors", "subjects", "summary", "publisher"]
+    return found.agg(F.count(F.lit(1)).alias("found_books"), *[F.count(c).alias(f"{c}_available") for c in fields])
+
+
 @register(
     "coverage",
     with_ctes(*ENRICH_CTES)
