@@ -45,6 +45,27 @@ def test_top_k_exact_both_paths(spark, vectors, bound):
     assert got == brute_force(q, e, 5, list(range(len(q))), list(range(len(e))))
 
 
+@pytest.mark.parametrize("bound", [2048, 3])
+def test_top_k_hot_tie_group(spark, bound):
+    """A third of the items share one vector that ranks first for a query: the
+    k-th cut falls inside that tie group and ids decide, on both paths."""
+    rng = np.random.default_rng(11)
+    e = rng.standard_normal((240, 6)).round(2)
+    hot = rng.standard_normal(6).round(2)
+    hot_ids = rng.choice(len(e), size=len(e) // 3, replace=False)
+    e[hot_ids] = hot
+    q = np.vstack([hot, rng.standard_normal((4, 6)).round(2)])
+    items = spark.createDataFrame(
+        [(int(i), [float(x) for x in v]) for i, v in enumerate(e)], "id long, vector array<double>"
+    ).repartition(6)
+    queries = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in enumerate(q)], "qid long, vector array<double>")
+    got = top_k_similar(queries, items, 7, max_broadcast_queries=bound, query_block_bytes=2 * 48, item_block_bytes=40 * 48)
+    got = {(r["qid"], r["id"], r["rank"]) for r in got.collect()}
+    want = brute_force(q, e, 7, list(range(len(q))), list(range(len(e))))
+    assert got == want
+    assert {i for qid, i, _ in want if qid == 0} == set(int(x) for x in sorted(hot_ids)[:7])
+
+
 def test_k_larger_than_items(spark, vectors):
     q, e, queries, items = vectors
     small = items.where("id < 3")
