@@ -25,7 +25,16 @@ from folio.plans.registry import (
 from folio.session import scratch_path
 from folio.sources.catalog_csv import ingest
 from folio.sources.catalog_views import catalog_meta, catalog_raw
-from folio.sources.sinks import export_flat, read_flat, read_latest, save_enriched, write_csv
+from folio.sources.sinks import (
+    export_flat,
+    read_embeddings,
+    read_flat,
+    read_latest,
+    save_enriched,
+    write_csv,
+    write_embeddings,
+    write_per_source,
+)
 from folio.sources.tables import read_table
 from folio.streaming.incremental import enrich_stream
 
@@ -130,6 +139,30 @@ def q_catalog_end_to_end(spark, sf_dir):
     return spark.read.parquet(paths.store).drop("match_tier")
 
 
+@register(
+    "per_source_round_trip",
+    "SELECT doc_id, text, lang, n_chars, source FROM documents",
+)
+def q_per_source_round_trip(spark, sf_dir):
+    """Every document (whole text, with its quotes and line breaks) written
+    as CSV, one directory per source, then read back with fixed types."""
+    path = scratch_path(spark, "per-source")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars", "source")
+    write_per_source(docs, path, source_col="source")
+    return read_flat(spark, path, schema=docs.schema).select("doc_id", "text", "lang", "n_chars", "source")
+
+
+@register(
+    "embeddings_round_trip",
+    "SELECT CAST(vec_id AS VARCHAR) AS record_id, embedding FROM embeddings",
+)
+def q_embeddings_round_trip(spark, sf_dir):
+    """Every embedding persisted with its id and loaded back unchanged."""
+    path = scratch_path(spark, "embeddings")
+    write_embeddings(read_table(spark, sf_dir, "embeddings"), path, id_col="vec_id", vec="embedding")
+    return read_embeddings(spark, path)
+
+
 def projection_encoder(dim: int = 64, buckets: int = HASH_BUCKETS, seed: int = 7):
     """A small deterministic text encoder for V2(b): hashed word counts times a
     fixed Gaussian projection.  Stands in for a pretrained model, which this

@@ -40,7 +40,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", encoding: str =
 
 
 def write_per_source(df: DataFrame, path: str, source_col: str = "source_file", fmt: str = "csv") -> None:
-    """One output directory per input file (``<source_col>=<name>``)."""
+    """One output directory per input file (``<source_col>=<name>``).
+
+    No shuffle precedes the write: every task writes its own rows of each
+    source, so a source holding a large share of the rows is still written
+    by all tasks in parallel (at the cost of one file per task and source).
+    """
     writer = df.write.mode("overwrite").partitionBy(source_col)
     if fmt == "csv":
         writer.options(**CSV_WRITE_OPTIONS).csv(path)
@@ -119,8 +124,11 @@ EMBEDDING_SCHEMA = StructType(
 
 
 def write_embeddings(df: DataFrame, path: str, id_col: str = "record_id", vec: str = "embedding") -> None:
-    """(id, float vector) Parquet; ids travel with their vectors."""
-    df.select(F.col(id_col).alias("record_id"), F.col(vec).cast(ArrayType(FloatType())).alias("embedding")).write.mode(
+    """(id, float vector) Parquet; ids travel with their vectors.
+
+    The id is stored as text (the fixed read schema), so numeric ids round-trip too.
+    """
+    df.select(F.col(id_col).cast("string").alias("record_id"), F.col(vec).cast(ArrayType(FloatType())).alias("embedding")).write.mode(
         "overwrite"
     ).parquet(path)
 
@@ -129,10 +137,14 @@ def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EMBEDDING_SCHEMA).parquet(path)
 
 
-def read_flat(spark: SparkSession, path: str) -> DataFrame:
-    """Read a flat CSV snapshot written by :func:`export_flat` / :func:`write_csv`."""
+def read_flat(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Read a flat CSV snapshot written by :func:`export_flat` / :func:`write_csv`
+    (or a per-source directory from :func:`write_per_source`).  ``schema``
+    fixes the column types instead of reading everything as text; it may name
+    the per-source partition column."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
     return (
-        spark.read.option("header", True)
+        reader.option("header", True)
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
