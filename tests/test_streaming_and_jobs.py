@@ -8,6 +8,7 @@ from folio.plans.cleaning_queries import clean_catalog_df
 from folio.plans.job_queries import write_raw_csv
 from folio.plans.jobs import run_catalog
 from folio.sources.catalog_views import catalog_meta
+from folio.sources.sinks import read_flat
 from folio.streaming.incremental import enrich_stream
 
 
@@ -51,8 +52,15 @@ def test_cli_stages(spark, tmp_dir):
     raw, meta = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "meta")
     write_raw_csv(spark, SF_SMALL, raw)
     catalog_meta(spark, SF_SMALL).write.parquet(meta)
-    d = {n: os.path.join(tmp_dir, n) for n in ("ing", "clean", "enr", "feat", "books")}
-    main(["ingest", "--input-dir", raw, "--output-dir", d["ing"]], spark)
+    d = {n: os.path.join(tmp_dir, n) for n in ("ing", "per_source", "clean", "enr", "feat", "books")}
+    main(["ingest", "--input-dir", raw, "--output-dir", d["ing"], "--per-source-dir", d["per_source"]], spark)
+    ing = spark.read.parquet(d["ing"])
+    inputs = {f for f in os.listdir(raw) if f.endswith(".csv")}
+    assert {n for n in os.listdir(d["per_source"]) if n.startswith("source_file=")} == {
+        f"source_file={f}" for f in inputs}
+    per_source = read_flat(spark, d["per_source"])
+    assert per_source.count() == ing.count()
+    assert "row_pos" not in per_source.columns
     main(["clean", "--input-dir", d["ing"], "--output-dir", d["clean"]], spark)
     main(["enrich", "--input-dir", d["clean"], "--metadata", meta, "--output-dir", d["enr"], "--use-author"], spark)
     main(["features", "--input-dir", d["enr"], "--output-dir", d["feat"]], spark)
