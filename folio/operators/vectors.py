@@ -173,19 +173,30 @@ def l2_normalize_vectors(df: DataFrame, vec: str = "embedding", out: str | None
 
 
 def align_embeddings(ids: DataFrame, emb: DataFrame, key: str, vec: str = "embedding") -> DataFrame:
-    """Full outer join of an id table with an embedding table on ``key``.
-
-    Returns key, has_id, has_vector, dimension.  Both sides are read as key
-    (plus vector size) only, so the shuffle carries no vector payload.
+    """The full outer join of an id table with an embedding table on ``key``.
+
+    Returns key, has_id, has_vector, dimension: one row per embedding row,
+    plus one per distinct id that has no embedding.  Both sides are read as
+    key (plus vector size) only, so the shuffles carry no vector payload.
+
+    It is planned as two one-sided joins instead of a full outer join, which
+    adaptive execution cannot split when one key holds a large share of the
+    embedding rows.  The embedding rows are the streamed side of a left outer
+    join against the distinct ids (at most one row per key), which skew
+    handling can split.  Ids without a vector come from an anti-join against
+    the distinct embedding keys, which the partial aggregate reduces to one
+    row per key per task before the shuffle.
     """
-    left = ids.select(key).distinct().withColumn("_l", F.lit(True))
-    right = emb.select(key, F.size(vec).alias("dimension")).withColumn("_r", F.lit(True))
-    return left.join(right, on=key, how="full_outer").select(
-        key,
-        F.coalesce("_l", F.lit(False)).alias("has_id"),
-        F.coalesce("_r", F.lit(False)).alias("has_vector"),
-        "dimension",
+    distinct_ids = ids.select(key).distinct()
+    with_vector = (
+        emb.select(key, F.size(vec).alias("dimension"))
+        .join(distinct_ids.withColumn("_l", F.lit(True)), on=key, how="left")
+        .select(key, F.coalesce("_l", F.lit(False)).alias("has_id"), F.lit(True).alias("has_vector"), "dimension")
+    )
+    without_vector = distinct_ids.join(emb.select(key).distinct(), on=key, how="left_anti").select(
+        key, F.lit(True).alias("has_id"), F.lit(False).alias("has_vector"), F.lit(None).cast("int").alias("dimension")
     )
+    return with_vector.unionByName(without_vector)
 
 
 def validate_embeddings(ids: DataFrame, emb: DataFrame, key: str, vec: str = "embedding") -> DataFrame:

@@ -1,10 +1,13 @@
 """Vectors: normalisation, encoders, exact top-k."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from folio.operators.vectors import (
+    align_embeddings,
     encode,
     l2_normalize_vectors,
     semantic_text,
@@ -105,6 +108,29 @@ def test_validate_embeddings(spark):
             r["n_dimensions"], r["valid"]) == (3, 3, 2, 1, 1, 2, False)
 
 
+def test_align_embeddings_hot_key_and_nulls(spark):
+    """One key holds a third of the embedding rows; NULL keys on both sides.
+    Same rows as a full outer join, planned without one."""
+    id_rows = [(i,) for i in range(0, 60, 2)] + [(4,), (None,)]
+    emb_rows = [(7, [1.0, 2.0])] * 40 + [(i, [float(i)]) for i in range(0, 80, 3)] + [(None, [0.0])]
+    ids = spark.createDataFrame(id_rows, "id int").repartition(3)
+    emb = spark.createDataFrame(emb_rows, "id int, embedding array<double>").repartition(4)
+    got = align_embeddings(ids, emb, "id")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan
+
+    distinct_ids = {r[0] for r in id_rows}
+    want = Counter()
+    matched = set()
+    for k, v in emb_rows:  # every embedding row; NULL never matches
+        has_id = k is not None and k in distinct_ids
+        matched |= {k} if has_id else set()
+        want[(k, has_id, True, len(v))] += 1
+    for k in distinct_ids - matched:
+        want[(k, True, False, None)] += 1
+    assert Counter((r["id"], r["has_id"], r["has_vector"], r["dimension"]) for r in got.collect()) == want
+
+
 def test_chunked_scoring_equals_unchunked(spark, vectors, monkeypatch):
     import folio.operators.vectors as V
 
