@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from folio.constants import ENRICHED_COLUMNS, HASH_BUCKETS, NA_TOKENS, NUMERIC_PATTERN, WHITESPACE_CLASS
 from folio.functions import book_key
+from folio.operators.enrichment import build_lookup
 from folio.operators.vectors import encode
 from folio.plans.cleaning_queries import clean_catalog_df
 from folio.plans.enrichment_queries import enriched_df
@@ -99,6 +100,9 @@ def q_csv_round_trip(spark, sf_dir):
 
 STORED_ENRICHED = ", ".join(["row_pos", *ENRICHED_COLUMNS, "match_tier"])
 
+# Deliveries of new records in the incremental query, one scheduled run each.
+DELIVERIES = 4
+
 
 @register(
     "incremental_enrichment",
@@ -107,14 +111,24 @@ STORED_ENRICHED = ", ".join(["row_pos", *ENRICHED_COLUMNS, "match_tier"])
     "FROM catalog_enriched) x WHERE rn = 1",
 )
 def q_incremental_enrichment(spark, sf_dir):
-    """Clean records land as several files; a streaming job enriches them
-    batch by batch, skipping keys already in the output (resume-safe)."""
+    """Clean records arrive in four deliveries; after each one a scheduled
+    streaming run (``availableNow``) enriches the new files, skipping keys
+    already in the output (resume-safe)."""
     base = scratch_path(spark, "incremental")
-    clean = clean_catalog_df(spark, sf_dir).withColumn("book_key", book_key())
-    # Records of one key go to one file, so per-batch keep-first is global.
-    clean.repartition(4, "book_key").drop("book_key").write.parquet(f"{base}/source")
-    schema = spark.read.parquet(f"{base}/source").schema
-    enrich_stream(spark, f"{base}/source", schema, catalog_meta(spark, sf_dir), f"{base}/out", f"{base}/checkpoint")
+    # Every key belongs to exactly one delivery, so keep-first inside a run is
+    # global.  Staging needs no shuffle: each task writes its own rows of every
+    # delivery, so a key holding many rows is still written by all tasks.
+    staged = f"{base}/staged"
+    clean_catalog_df(spark, sf_dir).withColumn(
+        "_delivery", F.pmod(F.xxhash64(book_key()), F.lit(DELIVERIES))
+    ).write.partitionBy("_delivery").parquet(staged)
+    schema = spark.read.parquet(staged).drop("_delivery").schema
+    lookup = build_lookup(catalog_meta(spark, sf_dir)).materialize()
+    for d in range(DELIVERIES):
+        delivery = spark.read.parquet(staged).where(F.col("_delivery") == d).drop("_delivery")
+        delivery.write.parquet(f"{base}/source/d{d}")
+        enrich_stream(spark, f"{base}/source/*", schema, lookup, f"{base}/out", f"{base}/checkpoint",
+                      files_per_batch=None)
     return spark.read.parquet(f"{base}/out").select(*STORED_ENRICHED.split(", "))
 
 

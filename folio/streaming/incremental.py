@@ -34,7 +34,7 @@ from pyspark.sql.types import StructType
 
 from folio.functions import book_key
 from folio.operators.cleaning import keep_first
-from folio.operators.enrichment import build_lookup, enrich, remaining
+from folio.operators.enrichment import MetadataLookup, build_lookup, enrich, remaining
 from folio.operators.store import read_store
 
 
@@ -42,10 +42,10 @@ def enrich_stream(
     spark: SparkSession,
     source_dir: str,
     source_schema: StructType,
-    meta: DataFrame,
+    meta: DataFrame | MetadataLookup,
     out_dir: str,
     checkpoint: str,
-    files_per_batch: int = 1,
+    files_per_batch: int | None = 1,
     order: Sequence[str] = ("row_pos",),
     processing_time: str | None = None,
 ):
@@ -56,12 +56,16 @@ def enrich_stream(
     micro-batches run, which suits scheduled runs.  With ``processing_time``
     (e.g. ``"1 minute"``) it starts a long-running query that picks up new
     files as they land and returns the ``StreamingQuery`` handle.
+
+    ``meta`` is the metadata table, or a lookup already built (and
+    materialised) by :func:`build_lookup`, so scheduled runs can share one.
+    ``files_per_batch=None`` takes every available file in one micro-batch.
     """
     order = list(order)
     batches = {"n": 0}
     # The metadata is parsed and reduced to one row per key once, written to
     # the checkpoint folder, and shared by every micro-batch.
-    lookup = build_lookup(meta).materialize()
+    lookup = meta if isinstance(meta, MetadataLookup) else build_lookup(meta).materialize()
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         keyed = batch.withColumn("book_key", book_key())
@@ -72,10 +76,11 @@ def enrich_stream(
         enriched.write.mode("append").parquet(out_dir)
         batches["n"] += 1
 
+    reader = spark.readStream.schema(source_schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     writer = (
-        spark.readStream.schema(source_schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(source_dir)
+        reader.parquet(source_dir)
         .writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
     )
