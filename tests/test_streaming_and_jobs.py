@@ -2,6 +2,8 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 from folio.functions import book_key
 from folio.plans.cleaning_queries import clean_catalog_df
@@ -28,6 +30,13 @@ def test_stream_resume_adds_nothing_twice(spark, tmp_dir):
     enrich_stream(spark, f"{src}/*", schema, meta, out, ckpt)
     final = spark.read.parquet(out)
     assert final.count() == final.select("book_key").distinct().count() == clean.select("book_key").distinct().count()
+    # A later file repeating a's keys at earlier positions changes nothing:
+    # the earliest batch that held a key wins.
+    en = clean.where("class_no_book_no = 'en'").drop("book_key")
+    en.withColumn("row_pos", F.col("row_pos") - 1_000_000).write.parquet(f"{src}/c")
+    before = sorted(final.select("book_key", "row_pos").collect())
+    enrich_stream(spark, f"{src}/*", schema, meta, out, ckpt)
+    assert sorted(spark.read.parquet(out).select("book_key", "row_pos").collect()) == before
     # Even with a fresh checkpoint (full replay), the output stays unique.
     enrich_stream(spark, f"{src}/*", schema, meta, out, os.path.join(tmp_dir, "ckpt2"))
     assert spark.read.parquet(out).count() == final.count()
