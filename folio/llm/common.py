@@ -54,7 +54,7 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(col.cast("string")), F.lit(5)) == 0, F.lit(False))
 
 
-def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with a function of one batch (bounded by Spark's Arrow
     batch limits, so no partition is ever held whole)."""
 

@@ -5,17 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folio.llm.common import documents
 from folio.llm.near_dup import near_duplicates
+from folio.llm.suffix_dedup import remove_repeats
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What 400-byte repeats take from every document, and a digest of the rest."""
+    out = remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return near_duplicates(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op7_minhash_near_dedup,)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op4_suffix_array_dedup, op7_minhash_near_dedup)}
 ORACLES: dict[str, str] = {}
