@@ -7,13 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import documents
+from folio.llm import langid, quality_cnn
+from folio.llm.common import documents, held_out
 from folio.llm.near_dup import near_duplicates
 from folio.llm.suffix_dedup import remove_repeats
+from folio.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = documents(spark, sf_dir)
+    model = langid.fit(docs.filter(~held_out()))
+    return langid.predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What 400-byte repeats take from every document, and a digest of the rest."""
     out = remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
@@ -25,5 +34,13 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op4_suffix_array_dedup, op7_minhash_near_dedup)}
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, as ``labels.quality`` marks it."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out())
+    model = quality_cnn.fit(docs.join(labels, "doc_id"), "quality")
+    return quality_cnn.predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
+
+
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op3_language_id, op4_suffix_array_dedup, op7_minhash_near_dedup, op8_quality_classifier)}
 ORACLES: dict[str, str] = {}
