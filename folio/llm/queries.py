@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import langid, quality_cnn
+from folio.llm import decontam, langid, quality_cnn
 from folio.llm.common import documents, held_out
 from folio.llm.near_dup import near_duplicates
 from folio.llm.suffix_dedup import remove_repeats
@@ -42,5 +42,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op3_language_id, op4_suffix_array_dedup, op7_minhash_near_dedup, op8_quality_classifier)}
-ORACLES: dict[str, str] = {}
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, verbatim or re-parameterised."""
+    return decontam.contaminated(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op3_language_id, op4_suffix_array_dedup, op7_minhash_near_dedup, op8_quality_classifier, op9_benchmark_decontamination)}
+ORACLES: dict[str, str] = {"op9_benchmark_decontamination": decontam.oracle_sql()}
