@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.llm import decontam, langid, quality_cnn
 from folio.llm.common import documents, held_out
 from folio.llm.near_dup import near_duplicates
+from folio.llm.packing import pack
 from folio.llm.suffix_dedup import remove_repeats
 from folio.sources.tables import read_table
 
+#: Vocabulary file of the packing query.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -47,5 +52,10 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contaminated(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op3_language_id, op4_suffix_array_dedup, op7_minhash_near_dedup, op8_quality_classifier, op9_benchmark_decontamination)}
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents, packed into sequences of 1024."""
+    return pack(documents(spark, sf_dir), TOKENIZER)
+
+
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op3_language_id, op4_suffix_array_dedup, op7_minhash_near_dedup, op8_quality_classifier, op9_benchmark_decontamination, op10_packing)}
 ORACLES: dict[str, str] = {"op9_benchmark_decontamination": decontam.oracle_sql()}
