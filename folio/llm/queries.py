@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import decontam, langid, quality_cnn
+from folio.llm import decontam, langid, quality_cnn, quality_rules, warc
 from folio.llm.common import documents, held_out
 from folio.llm.near_dup import near_duplicates
 from folio.llm.packing import pack
@@ -21,6 +21,15 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives and read back."""
+    rows = warc.round_trip(read_table(spark, sf_dir, "pages")).filter("kind = 'record'")
+    page = F.regexp_extract("record_id", "<urn:page:(-?[0-9]+)>", 1)
+    refers = F.regexp_extract("refers_to", "<urn:page:(-?[0-9]+)>", 1)
+    return rows.select(F.when(page != "", page).cast("long").alias("page_id"),
+                       "payload_bytes", "payload_digest", "record_type", F.when(refers != "", refers).cast("long").alias("refers_to"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     docs = documents(spark, sf_dir)
@@ -34,6 +43,13 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict for every document; trusted: label 1 for quality."""
+    docs = documents(spark, sf_dir)
+    trusted = read_table(spark, sf_dir, "labels").filter("quality = 1")
+    return quality_rules.quality_rules(docs, trusted)
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return near_duplicates(documents(spark, sf_dir))
@@ -57,5 +73,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), TOKENIZER)
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op3_language_id, op4_suffix_array_dedup, op7_minhash_near_dedup, op8_quality_classifier, op9_benchmark_decontamination, op10_packing)}
-ORACLES: dict[str, str] = {"op9_benchmark_decontamination": decontam.oracle_sql()}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
+    op1_warc, op3_language_id, op4_suffix_array_dedup, op6_quality_rules, op7_minhash_near_dedup,
+    op8_quality_classifier, op9_benchmark_decontamination, op10_packing)}
+
+ORACLES: dict[str, str] = {
+    "op1_warc": """
+SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM (SELECT page_id, h, CASE WHEN strlen(h) >= 1000 THEN max(page_id) OVER (PARTITION BY h) END AS first
+      FROM (SELECT page_id, coalesce(html, '') AS h FROM pages))
+""",
+    "op9_benchmark_decontamination": decontam.oracle_sql(),
+}
