@@ -26,7 +26,7 @@ from folio.llm import wordhash as wh
 from folio.llm.common import broadcast_if_small, map_text, row_chunks, text_bytes
 
 BITS = 16
-THRESHOLD = -0.5
+THRESHOLD = -0.2
 BROADCAST_IDS = 2_000_000
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True

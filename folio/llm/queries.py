@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import decontam, langid, quality_cnn, quality_rules, warc
+from folio.llm import decontam, langid, quality_cnn, quality_rules, toxicity, warc
 from folio.llm.common import documents, held_out
 from folio.llm.near_dup import near_duplicates
 from folio.llm.packing import pack
@@ -30,6 +30,17 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "payload_bytes", "payload_digest", "record_type", F.when(refers != "", refers).cast("long").alias("refers_to"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document; learned from ``labels.toxic`` of
+    the rows that are not held out."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out())
+    model = toxicity.fit(toxicity.graded(docs.join(labels, "doc_id")), "grade")
+    out = toxicity.predict(docs, model)
+    return out.select("doc_id", held_out().alias("held_out"), "severity", F.col("at_least")[0].alias("p_toxic"), "grade",
+                      (F.col("at_least")[0] >= 0.5).alias("toxic_pred"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     docs = documents(spark, sf_dir)
@@ -74,7 +85,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op1_warc, op3_language_id, op4_suffix_array_dedup, op6_quality_rules, op7_minhash_near_dedup,
+    op1_warc, op2_toxicity, op3_language_id, op4_suffix_array_dedup, op6_quality_rules, op7_minhash_near_dedup,
     op8_quality_classifier, op9_benchmark_decontamination, op10_packing)}
 
 ORACLES: dict[str, str] = {
