@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import decontam, langid, quality_cnn, quality_rules, toxicity, warc
+from folio.llm import decontam, langid, licenses, quality_cnn, quality_rules, toxicity, warc
 from folio.llm.common import documents, held_out
 from folio.llm.near_dup import near_duplicates
 from folio.llm.packing import pack
@@ -54,6 +54,13 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices found in every document."""
+    return licenses.scan(documents(spark, sf_dir)).select(
+        "doc_id", "license", F.round("dice", 6).alias("dice"), F.size("licenses").alias("n_licenses"),
+        F.array_join("licenses.name", ",").alias("all_licenses"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict for every document; trusted: label 1 for quality."""
     docs = documents(spark, sf_dir)
@@ -85,7 +92,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op1_warc, op2_toxicity, op3_language_id, op4_suffix_array_dedup, op6_quality_rules, op7_minhash_near_dedup,
+    op1_warc, op2_toxicity, op3_language_id, op4_suffix_array_dedup, op5_license_scan, op6_quality_rules, op7_minhash_near_dedup,
     op8_quality_classifier, op9_benchmark_decontamination, op10_packing)}
 
 ORACLES: dict[str, str] = {
