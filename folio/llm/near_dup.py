@@ -36,7 +36,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm import wordhash as wh
@@ -223,3 +223,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, matche
     component = F.coalesce("class_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that are the one kept document of their class; of
+    rows that repeat a doc_id one stays.  Rows without doc_id all stay."""
+    st = Stages(docs.sparkSession, "near-dup-keep")
+    verdict = st.put(near_duplicates(docs, **options).filter("doc_id is not null").groupBy(F.col("doc_id").alias("__id"))
+                     .agg(F.count("*").alias("n"), F.max("kept").alias("kept")), "verdict")
+    gone = verdict.filter("not kept").select("__id")
+    out = docs.join(broadcast_if_small(gone, gone.count(), BROADCAST_IDS), F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+    again = verdict.filter("kept and n > 1").select("__id")
+    n_again = again.count()
+    if n_again:
+        again = broadcast_if_small(again, n_again, BROADCAST_IDS)
+        same = F.col("doc_id").cast("long") == F.col("__id")
+        first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+        one = out.join(again, same, "left_semi").withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
+        out = out.join(again, same, "left_anti").unionByName(one)
+    return out

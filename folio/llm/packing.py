@@ -8,7 +8,8 @@ Method
      generation: columns are patterns (how many pieces of each length fill
      one sequence), a knapsack dynamic program over the dual prices finds the
      best new column, and the program stops when the Farley bound proves the
-     solution within ``gap`` of the optimum.  The first basis takes knapsack
+     solution within ``gap`` of the optimum, or that no whole sequence can be
+     saved.  The first basis takes knapsack
      patterns of the lengths that are left, each until one is used up.
      Levels are rounded down; a greedy run packs the few pieces left over.
   3. Pieces are ranked within their length (bucket counts and offsets, no
@@ -198,7 +199,7 @@ def solve_patterns(lengths: np.ndarray, need: np.ndarray, size: int, gap: float
         price = np.maximum(inv.sum(axis=0), 0)  # every sequence costs one
         best, last = knapsack(lengths, price, size)
         bound = max(floor, float(price @ rhs) / max(1.0, best[size]))
-        if x.sum() <= bound * (1 + gap) or best[size] <= 1 + 1e-9:
+        if x.sum() <= bound * (1 + gap) or np.ceil(x.sum() - 1e-6) <= np.ceil(bound - 1e-6) or best[size] <= 1 + 1e-9:
             break
         enter = read_pattern(lengths, last, size)
         move = inv @ column(enter)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +15,6 @@ from folio.llm.packing import pack
 from folio.llm.suffix_dedup import remove_repeats
 from folio.sources.tables import read_table
 
-#: Vocabulary file of the packing query.
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -88,12 +85,13 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token pieces of all documents, packed into sequences of 1024."""
-    return pack(documents(spark, sf_dir), TOKENIZER)
+    return pack(documents(spark, sf_dir), corpus_pipeline.TOKENIZER)
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_warc, op2_toxicity, op3_language_id, op4_suffix_array_dedup, op5_license_scan, op6_quality_rules, op7_minhash_near_dedup,
     op8_quality_classifier, op9_benchmark_decontamination, op10_packing)}
+QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLES: dict[str, str] = {
     "op1_warc": """
@@ -105,3 +103,5 @@ FROM (SELECT page_id, h, CASE WHEN strlen(h) >= 1000 THEN max(page_id) OVER (PAR
 """,
     "op9_benchmark_decontamination": decontam.oracle_sql(),
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

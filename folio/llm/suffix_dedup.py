@@ -34,6 +34,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -358,7 +359,8 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """All columns of ``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``
     (maximal removed runs), ``removed`` (their [start, end) ranges) and
-    ``kept_bytes`` (what is left, concatenated)."""
+    ``kept_bytes`` (what is left, concatenated).  Columns of ``docs`` with one
+    of these names are replaced."""
     found = repeat_spans(docs, length).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("spans").alias("__spans"))
     row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"))
     joined = row.join(found, [F.col("__row.doc_id").cast("long").eqNullSafe(F.col("__id")),
@@ -396,3 +398,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     out = map_text(joined.select("__row", "__spans"), fn, StructType([joined.schema["__row"], *made.fields]))
     made = ["n_bytes", "n_removed", "n_spans", "removed", "kept_bytes"]
     return out.select(*[F.col("__row")[c].alias(c) for c in docs.columns if c not in made], *made)
+
+
+def kept_text(kept_bytes: str = "kept_bytes"):
+    """Column with the kept bytes as text; parts of characters at a cut are
+    left out."""
+
+    @F.pandas_udf("string")
+    def decode(parts: pd.Series) -> pd.Series:
+        return parts.map(lambda b: bytes(b).decode("utf-8", "ignore"), na_action="ignore")
+
+    return decode(F.col(kept_bytes))
