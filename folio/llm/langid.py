@@ -11,7 +11,8 @@ spread over the whole text.  Prediction covers all rows and all bytes.
 
 Defined results: a null text, or one without a letter, is ``und`` with score
 0; extra columns are ignored; a missing or blank label is not learned from;
-rows without doc_id are predicted like others.  With no labelled row (or an
+rows without doc_id are predicted like
+others but not learned from.  With no labelled row (or an
 empty table) every prediction is ``und``.  Ties go to the label first in
 order.
 """
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm import bytecnn
@@ -47,19 +48,29 @@ def fold_case(data: np.ndarray) -> np.ndarray:
 
 
 def sample_labelled(docs: DataFrame, label: str, per_label: int) -> DataFrame:
-    """Per label the rows with the smallest hash of doc_id (ties all in).
-    Labels and hashes are ranked without the texts."""
+    """Per label about the ``per_label`` rows with the smallest hash of doc_id
+    (rows that share a doc_id stay together; rows without one are left out).
+
+    Labels are counted first, which gives a hash below which twice as many
+    rows are expected; only those are ranked, so no task sees a whole label.
+    Texts are read for the chosen rows only."""
     h = F.xxhash64(F.col("doc_id").cast("string"))
-    ranks = docs.select(F.col(label).alias("label"), h.alias("h")).withColumn(
-        "r", F.row_number().over(Window.partitionBy("label").orderBy("h"))).filter(F.col("r") <= per_label)
-    cut = ranks.groupBy("label").agg(F.max("h").alias("most"))
-    found = cut.limit(MOST_LABELS + 1).collect()  # one row per label, bounded
-    if len(found) > MOST_LABELS:
+    docs = docs.filter(F.col("doc_id").isNotNull())
+    counts = docs.groupBy(F.col(label).alias("label")).count().limit(MOST_LABELS + 1).collect()  # one row per label, bounded
+    if len(counts) > MOST_LABELS:
         raise ValueError(f"more than {MOST_LABELS} labels")
-    keep = F.lit(False)
-    for row in found:
-        keep = keep | ((F.col(label) == F.lit(row["label"])) & (h <= F.lit(row["most"])))
-    return docs.filter(keep)
+
+    def below(most: dict) -> Column:
+        keep = F.lit(False)
+        for value, cut in most.items():
+            keep = keep | ((F.col(label) == F.lit(value)) & (h <= F.lit(cut)))
+        return keep
+
+    first = {r["label"]: min(2**63 - 1, 2**64 * 2 * per_label // r["count"] - 2**63) for r in counts}
+    ranks = docs.filter(below(first)).select(F.col(label).alias("label"), h.alias("h")).withColumn(
+        "r", F.row_number().over(Window.partitionBy("label").orderBy("h"))).filter(F.col("r") <= per_label)
+    cuts = {r["label"]: r["most"] for r in ranks.groupBy("label").agg(F.max("h").alias("most")).collect()}
+    return docs.filter(below(cuts))
 
 
 def training_windows(rows: DataFrame, label: str, length: int, stride: int, per_text: int, fold=lambda data: data) -> tuple[np.ndarray, list]:
