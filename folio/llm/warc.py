@@ -102,6 +102,8 @@ def _plain(data: bytes, at: int) -> tuple[int, dict[str, str], bytes] | str:
     size = fields.get("content-length", "")
     if not size.isdigit():
         return "bad content length"
+    if "warc-type" not in fields or "warc-record-id" not in fields:
+        return "mandatory field missing"
     begin = head + 4
     end = begin + int(size)
     if end > len(data):
