@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -54,18 +55,48 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(col.cast("string")), F.lit(5)) == 0, F.lit(False))
 
 
+def slices(batch: pa.RecordBatch | pa.Array, most: int = 8 << 20) -> Iterator:
+    """Zero-copy row ranges of a batch (or array) of about ``most`` bytes."""
+    rows = len(batch) if isinstance(batch, pa.Array) else batch.num_rows
+    step = max(1, rows // max(1, -(-batch.nbytes // most)))
+    for i in range(0, rows, step):
+        yield batch.slice(i, step)
+
+
+def release_memory() -> None:
+    """Give freed Arrow and heap memory back to the system: Python workers
+    live on between tasks and would keep their largest task's memory."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` with a function of one batch (bounded by Spark's Arrow
-    batch limits, so no partition is ever held whole)."""
+    """``mapInArrow`` with a function of one batch of a few MB, so no
+    partition is ever held whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield from fn(batch)
+            for part in slices(batch):
+                yield from fn(part)
+        release_memory()
 
     return df.mapInArrow(run, schema)
 
 
+def map_column(fn: Callable[[pa.Array], pa.Array], kind: str, column: Column) -> Column:
+    """Arrow UDF of one column, applied to a few MB at a time."""
+
+    @F.arrow_udf(kind)
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            yield pa.concat_arrays([fn(x) for x in slices(part)]) if len(part) else fn(part)
+        release_memory()
+
+    return run(column)
+
+
 def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column, concatenated, and the offsets of its
     rows (null: empty)."""
@@ -77,7 +108,7 @@ def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0]:offs[-1]], offs - offs[0]
 
 
-def row_chunks(offs: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def row_chunks(offs: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Ranges of rows of at most ``most`` bytes together (a longer row alone)."""
     first = 0
     for i in range(1, len(offs)):

@@ -19,16 +19,13 @@ order.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm import bytecnn
-from folio.llm.common import map_text, row_chunks, text_bytes
+from folio.llm.common import map_column, map_text, row_chunks, text_bytes
 
 LENGTH = 256
 PER_LABEL = 800
@@ -123,20 +120,19 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
         return docs.select(*kept, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     model_ = docs.sparkSession.sparkContext.broadcast((model.net, model.labels, model.length))
 
-    @F.pandas_udf("struct<lang_pred:string,score:double>")
-    def best(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def best(texts: pa.Array) -> pa.Array:
         net, labels, length = model_.value
-        for part in texts:
-            data, offs = text_bytes(pa.array(part, pa.large_string(), from_pandas=True))
-            probs = np.zeros((len(part), len(labels)))
-            for lo, hi in row_chunks(offs, 1 << 18):
-                x, owner, filled = bytecnn.windows(fold_case(data[offs[lo]:offs[hi]]), offs[lo:hi + 1] - offs[lo], length, length)
-                z = np.zeros((hi - lo, len(labels)))
-                np.add.at(z, owner, bytecnn.logits(net, x) * filled[:, None])
-                probs[lo:hi] = bytecnn.softmax(z / np.bincount(owner, weights=filled)[:, None])
-            at = probs.argmax(axis=1)
-            yield pd.DataFrame({"lang_pred": [labels[i] for i in at], "score": probs[np.arange(len(at)), at]})
-
-    out = docs.select(*kept, letters.alias("__letters"), best(F.col(text)).alias("__best"))
+        data, offs = text_bytes(texts)
+        probs = np.zeros((len(texts), len(labels)))
+        for lo, hi in row_chunks(offs, 1 << 18):
+            x, owner, filled = bytecnn.windows(fold_case(data[offs[lo]:offs[hi]]), offs[lo:hi + 1] - offs[lo], length, length)
+            z = np.zeros((hi - lo, len(labels)))
+            np.add.at(z, owner, bytecnn.logits(net, x) * filled[:, None])
+            probs[lo:hi] = bytecnn.softmax(z / np.bincount(owner, weights=filled)[:, None])
+        at = probs.argmax(axis=1)
+        return pa.StructArray.from_arrays([pa.array([labels[i] for i in at], pa.string()), pa.array(probs[np.arange(len(at)), at], pa.float64())],
+                                          names=["lang_pred", "score"])
+
+    out = docs.select(*kept, letters.alias("__letters"), map_column(best, "struct<lang_pred:string,score:double>", F.col(text)).alias("__best"))
     return out.select(*kept, F.when(F.col("__letters"), F.col("__best.lang_pred")).otherwise(UNDETERMINED).alias("lang_pred"),
                       F.when(F.col("__letters"), F.col("__best.score")).otherwise(0.0).alias("score"))

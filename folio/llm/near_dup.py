@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm import wordhash as wh
-from folio.llm.common import Stages, broadcast_if_small, grouped_stream, map_text, row_chunks, text_bytes
+from folio.llm.common import Stages, broadcast_if_small, grouped_stream, map_text, release_memory, row_chunks, text_bytes
 from folio.llm.graph import connected_components
 
 COORDINATES = 64
@@ -210,6 +210,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, matche
             if pairs:
                 a, b = ([g["node"][p[e]] for p in pairs] for e in (0, 1))
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        release_memory()
 
     links = st.put(rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(confirm, "a long, b long"), "links")
     linked = st.put(connected_components(links, st, "final"), "linked")

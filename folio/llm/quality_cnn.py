@@ -17,16 +17,13 @@ doc_id are scored.  Extra columns are ignored; an empty table gives none.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm import bytecnn
-from folio.llm.common import row_chunks, text_bytes
+from folio.llm.common import map_column, row_chunks, text_bytes
 from folio.llm.langid import sample_labelled, training_windows
 
 LENGTH = 256
@@ -60,13 +57,11 @@ def summaries(docs: DataFrame, net: dict, text: str = "text"):
     """Column with the chunk summary of every whole text."""
     net_ = docs.sparkSession.sparkContext.broadcast(net)
 
-    @F.pandas_udf("array<double>")
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in texts:
-            got = chunk_summary(net_.value, pa.array(part, pa.large_string(), from_pandas=True))
-            yield pd.Series(list(got))
+    def run(texts: pa.Array) -> pa.Array:
+        got = chunk_summary(net_.value, texts)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(got) + 1, dtype=np.int32) * 4), pa.array(got.ravel()))
 
-    return run(F.col(text))
+    return map_column(run, "array<double>", F.col(text))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:

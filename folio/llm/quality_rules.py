@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm import wordhash as wh
-from folio.llm.common import broadcast_if_small, map_text, row_chunks, text_bytes
+from folio.llm.common import broadcast_if_small, map_text, release_memory, row_chunks, slices, text_bytes
 
 BITS = 16
 THRESHOLD = -0.2
@@ -50,7 +50,7 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame) -> tuple[np.ndarray, np.n
 
     def run(batches):
         total = np.zeros((2, 1 << BITS), np.int64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             data, offs = text_bytes(batch.column("text"))
             good = batch.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
             for lo, hi in row_chunks(offs):
@@ -59,6 +59,7 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame) -> tuple[np.ndarray, np.n
                 bucket, owner = ngram_buckets(wh.word_hashes(part, starts, ends), rows)
                 total[1] += np.bincount(bucket, minlength=1 << BITS)
                 total[0] += np.bincount(bucket[good[lo:hi][owner]], minlength=1 << BITS)
+        release_memory()
         at = np.flatnonzero(total[1])
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0][at]), pa.array(total[1][at])], names=["bucket", "trusted", "raw"])
 

@@ -34,18 +34,17 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from folio.llm import wordhash as wh
-from folio.llm.common import Stages, broadcast_if_small, map_text, row_chunks, text_bytes
+from folio.llm.common import Stages, broadcast_if_small, map_column, map_text, release_memory, row_chunks, text_bytes
 
 LENGTH = 400
 BLOCK_BYTES = 1_500_000
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 PERIOD = 32
 BROADCAST_BUCKETS = 500_000
 
@@ -295,6 +294,7 @@ def _sort_blocks(pieces: DataFrame, length: int) -> DataFrame:
             out = _block(held, length)
             if out is not None:
                 yield out
+        release_memory()
 
     return (pieces.repartition("bucket").sortWithinPartitions("bucket")
             .select("bucket", "p1", "p2", "copies", "piece")
@@ -404,8 +404,7 @@ def kept_text(kept_bytes: str = "kept_bytes"):
     """Column with the kept bytes as text; parts of characters at a cut are
     left out."""
 
-    @F.pandas_udf("string")
-    def decode(parts: pd.Series) -> pd.Series:
-        return parts.map(lambda b: bytes(b).decode("utf-8", "ignore"), na_action="ignore")
+    def decode(parts: pa.Array) -> pa.Array:
+        return pa.array([None if b is None else b.decode("utf-8", "ignore") for b in parts.to_pylist()], pa.string())
 
-    return decode(F.col(kept_bytes))
+    return map_column(decode, "string", F.col(kept_bytes))

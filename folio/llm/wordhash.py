@@ -24,7 +24,7 @@ _POWERS: dict[str, np.ndarray] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i < n (kept per worker)."""
     if len(_POWERS.get("up", ())) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 20)
         for name, base in (("up", BASE), ("down", BASE_INV)):
             p = np.full(size, U(base))
             p[0] = U(1)
