@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folio.constants import HASH_BUCKETS, TOKEN_SPLIT_PATTERN, UI_PAGE_SIZE, WHITESPACE_CLASS
+from folio.constants import HASH_BUCKETS, TOKEN_SPLIT_PATTERN, UI_PAGE_SIZE
 from folio.functions import clean_sentinel, display_list, round_vector
 from folio.operators.cleaning import keep_first
 from folio.operators.quality import index_metadata
-from folio.operators.search import browse, fetch_with_scores, lookup_isbn, page_results, search, search_any, with_pages
+from folio.operators.search import browse, browse_deep, fetch_with_scores, lookup_isbn, page_results, search, search_any, with_pages
 from folio.operators.store import to_store_rows
 from folio.operators.vectors import (
     align_embeddings,
@@ -35,10 +35,6 @@ from folio.plans.registry import (
 from folio.sources.tables import read_table
 
 
-def _d_strip(c: str) -> str:
-    return f"regexp_replace({c}, '^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$', '', 'g')"
-
-
 def _d_tf(source: str, id_col: str, text_col: str, id_alias: str) -> str:
     """DuckDB: sparse hashed bag of words of ``source``."""
     return (
@@ -122,10 +118,14 @@ def q_lookup_isbn(spark, sf_dir):
     return lookup_isbn(clean_catalog_df(spark, sf_dir), "978-0000-0000-13").select("row_pos", "record_id", "isbn", "title")
 
 
+PART_MATCHES = "m AS (SELECT p_partkey, p_name, p_retailprice FROM part WHERE lower(p_name) LIKE '%plate%'), "
+WITH_TOTAL = "t AS (SELECT count(*) AS total FROM m) "
+
+
 @register(
     "browse_page",
-    "WITH m AS (SELECT p_partkey, p_name, p_retailprice FROM part WHERE lower(p_name) LIKE '%plate%') "
-    "SELECT *, (SELECT count(*) FROM m) AS total FROM m ORDER BY p_partkey LIMIT 10 OFFSET 20",
+    "WITH " + PART_MATCHES + WITH_TOTAL
+    + "SELECT p.*, t.total FROM t LEFT JOIN (SELECT * FROM m ORDER BY p_partkey LIMIT 10 OFFSET 20) p ON true",
 )
 def q_browse_page(spark, sf_dir):
     """L1 + A8: third page (skip 20, limit 10) of a filtered browse, with total."""
@@ -133,11 +133,43 @@ def q_browse_page(spark, sf_dir):
     return browse(part, ["p_partkey"], skip=20, limit=10, field="p_name", query="plate", allowed=PART_FIELDS)
 
 
+@register(
+    "browse_empty_page",
+    "WITH " + PART_MATCHES + WITH_TOTAL
+    + "SELECT p.*, t.total FROM t LEFT JOIN (SELECT * FROM m ORDER BY p_partkey LIMIT 10 OFFSET 100000000) p ON true",
+)
+def q_browse_empty_page(spark, sf_dir):
+    """A8 beyond the last match: no rows, but the total stays."""
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    return browse(part, ["p_partkey"], skip=100_000_000, limit=10, field="p_name", query="plate", allowed=PART_FIELDS)
+
+
+LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"]
+
+
+def _lines(spark, sf_dir):
+    return read_table(spark, sf_dir, "lineitem").select(*LINE_ORDER, "l_quantity", "l_extendedprice")
+
+
+@register(
+    "browse_deep_page",
+    "WITH m AS (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, l_quantity, l_extendedprice FROM lineitem), "
+    + WITH_TOTAL
+    + "SELECT p.*, t.total FROM t LEFT JOIN (SELECT * FROM m ORDER BY l_orderkey, l_linenumber, l_partkey, l_shipdate "
+    "LIMIT 50 OFFSET (SELECT count(*) * 9 // 10 FROM lineitem)) p ON true",
+)
+def q_browse_deep_page(spark, sf_dir):
+    """L1 far into a result: the page after nine tenths of all order lines,
+    payload included."""
+    lines = _lines(spark, sf_dir)
+    return browse_deep(lines, LINE_ORDER, skip=lines.count() * 9 // 10, limit=50)
+
+
 @register(
     "browse_catalog",
     with_ctes(*ENRICH_CTES, STORE_CTE)
-    + ", m AS (SELECT book_key, record_id, title, publisher FROM books WHERE lower(title) LIKE '%volume%') "
-    "SELECT *, (SELECT count(*) FROM m) AS total FROM m ORDER BY book_key LIMIT 10 OFFSET 10",
+    + ", m AS (SELECT book_key, record_id, title, publisher FROM books WHERE lower(title) LIKE '%volume%'), " + WITH_TOTAL
+    + "SELECT p.*, t.total FROM t LEFT JOIN (SELECT * FROM m ORDER BY book_key LIMIT 10 OFFSET 10) p ON true",
 )
 def q_browse_catalog(spark, sf_dir):
     """L1 on the stored books: second page of a title search, ordered by the unique key."""
@@ -145,16 +177,19 @@ def q_browse_catalog(spark, sf_dir):
     return browse(books, ["book_key"], skip=10, limit=10, field="title", query="volume")
 
 
+_LINE_NUMBER = "row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_shipdate)"
+
+
 @register(
     "page_numbers",
-    "SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS row_number, "
-    f"CAST(floor((row_number() OVER (ORDER BY p_partkey) - 1) / {UI_PAGE_SIZE}) AS BIGINT) + 1 AS page, "
-    f"CAST(greatest(1, ceil(count(*) OVER () / {UI_PAGE_SIZE}.0)) AS BIGINT) AS total_pages FROM part",
+    f"SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, l_quantity, l_extendedprice, {_LINE_NUMBER} AS row_number, "
+    f"CAST(floor(({_LINE_NUMBER} - 1) / {UI_PAGE_SIZE}) AS BIGINT) + 1 AS page, "
+    f"CAST(greatest(1, ceil(count(*) OVER () / {UI_PAGE_SIZE}.0)) AS BIGINT) AS total_pages FROM lineitem",
 )
 def q_page_numbers(spark, sf_dir):
-    """L2: page number of every part and the page count (UI page size 5)."""
-    part = read_table(spark, sf_dir, "part").select("p_partkey")
-    return with_pages(part, ["p_partkey"], UI_PAGE_SIZE)
+    """L2: page number of every order line, with its payload, and the page
+    count (UI page size 5)."""
+    return with_pages(_lines(spark, sf_dir), LINE_ORDER, UI_PAGE_SIZE)
 
 
 # ---------------------------------------------------------------------------
@@ -258,7 +293,7 @@ def q_sparse_top_k(spark, sf_dir):
 
 
 def _d_semantic(cols_sql: list[str]) -> str:
-    return "concat_ws(' ', " + ", ".join(f"nullif({_d_strip(c)}, '')" for c in cols_sql) + ")"
+    return "concat_ws(' ', " + ", ".join(f"nullif({d_strip(c)}, '')" for c in cols_sql) + ")"
 
 
 SEMANTIC_SQL = _d_semantic(
@@ -299,7 +334,7 @@ def _d_sentinel(c: str) -> str:
     + f"{_d_sentinel('b.publisher')} AS publisher, {_d_sentinel('b.year')} AS year, "
     + f"{_d_display('b.subjects')} AS subjects, {_d_sentinel('b.summary')} AS summary, "
     + f"{_d_sentinel('b.pages')} AS pages, {_d_sentinel('b.isbn')} AS isbn, "
-    + "CAST(floor((r.rank - 1) / least(10, count(*) OVER (PARTITION BY r.qid))) + 1 AS BIGINT) AS page, "
+    + "CAST(floor((row_number() OVER (PARTITION BY r.qid ORDER BY r.rank) - 1) / least(10, count(*) OVER (PARTITION BY r.qid))) + 1 AS BIGINT) AS page, "
     + "CAST(ceil(count(*) OVER (PARTITION BY r.qid) / least(10, count(*) OVER (PARTITION BY r.qid))) AS BIGINT) AS total_pages "
     + "FROM ranked r JOIN books b ON r.record_id = b.record_id WHERE r.rank <= 5",
 )
@@ -334,12 +369,12 @@ def q_recommend_books(spark, sf_dir):
 @register(
     "browse_books",
     with_ctes(*ENRICH_CTES, STORE_CTE)
-    + ", m AS (SELECT * FROM books WHERE lower(authors) LIKE '%src1%') "
+    + ", m AS (SELECT * FROM books WHERE lower(authors) LIKE '%src1%'), " + WITH_TOTAL
     + f"SELECT book_key, {_d_sentinel('title')} AS title, {_d_display('authors')} AS authors, "
     + f"{_d_sentinel('publisher')} AS publisher, {_d_sentinel('year')} AS year, "
     + f"{_d_display('subjects')} AS subjects, {_d_sentinel('summary')} AS summary, "
     + f"{_d_sentinel('pages')} AS pages, {_d_sentinel('isbn')} AS isbn, "
-    + "(SELECT count(*) FROM m) AS total FROM m ORDER BY book_key LIMIT 10 OFFSET 10",
+    + "t.total FROM t LEFT JOIN (SELECT * FROM m ORDER BY book_key LIMIT 10 OFFSET 10) p ON true",
 )
 def q_browse_books(spark, sf_dir):
     """L1 + A8 + F3 + P15/P16: second page of stored books whose authors (list

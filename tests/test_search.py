@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_text
-from folio.operators.search import browse, lookup_isbn, search, search_any, with_pages
+from folio.operators.search import browse, browse_deep, lookup_isbn, page_results, search, search_any, with_pages
 
 
 @pytest.fixture()
@@ -57,16 +57,47 @@ def test_lookup_isbn_pushdown(spark, tmp_dir):
     assert "PushedFilters: [IsNotNull(isbn), EqualTo(isbn,0306406152)]" in plan_text(df, "simple")
 
 
-def test_deep_page_matches_shallow_path(spark):
-    df = spark.range(500).select((F.col("id") * 3 % 500).alias("k"))
-    deep = [r["k"] for r in browse(df, ["k"], skip=230, limit=7, deep_offset=10).collect()]
-    shallow = [r["k"] for r in browse(df, ["k"], skip=230, limit=7).collect()]
-    assert deep == shallow == list(range(230, 237))
+def numbered_frame(spark, n=200_000):
+    """Distinct keys in mixed order with two payload columns."""
+    k = F.col("id") * 7919 % n
+    return spark.range(n).select(k.alias("k"), F.concat(F.lit("p"), k).alias("p"), (k * 2).alias("q")).repartition(7)
 
 
-def test_page_results_per_query(spark):
-    from folio.operators.search import page_results
+def test_deep_page_with_payload_matches_shallow_page(spark):
+    df = numbered_frame(spark)
+    deep = browse_deep(df, ["k"], skip=150_000, limit=10).collect()
+    assert deep == browse(df, ["k"], skip=150_000, limit=10).collect()
+    assert [tuple(r) for r in deep] == [(k, f"p{k}", 2 * k, 200_000) for k in range(150_000, 150_010)]
+
+
+def test_numbers_with_payload_are_exact(spark):
+    out = with_pages(numbered_frame(spark), ["k"], 25)
+    wrong = out.where((F.col("row_number") != F.col("k") + 1) | (F.col("page") != F.floor(F.col("k") / 25) + 1)
+                      | (F.col("p") != F.concat(F.lit("p"), "k")) | (F.col("total_pages") != 8000))
+    assert out.count() == 200_000 and wrong.count() == 0
+
+
+def test_numbers_follow_null_and_composite_keys(spark):
+    rows = [(None, 2, "b"), (None, 1, "a"), (1, None, "c"), (1, 5, "d"), (2, 0, "e")]
+    out = with_pages(spark.createDataFrame(rows, "x int, y int, v string"), ["x", "y"], 2).collect()
+    assert [(r["v"], r["row_number"], r["page"], r["total_pages"]) for r in sorted(out, key=lambda r: r["row_number"])] == [
+        (v, i + 1, i // 2 + 1, 3) for i, v in enumerate("abcde")]
+
 
+def test_empty_page_keeps_the_total(spark):
+    df = spark.range(25).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    for page in (browse(df, ["k"], skip=100, limit=10), browse_deep(df, ["k"], skip=100, limit=10)):
+        assert [tuple(r) for r in page.collect()] == [(None, None, 25)]
+    assert [tuple(r) for r in browse(df.where("k < 0"), ["k"]).collect()] == [(None, None, 0)]
+
+
+def test_results_are_paged_by_position_after_the_fetch(spark):
+    df = spark.createDataFrame([(1, r) for r in (2, 3, 5, 9)], "qid int, rank int")
+    out = {r["rank"]: (r["page"], r["total_pages"]) for r in page_results(df, size=2).collect()}
+    assert out == {2: (1, 2), 3: (1, 2), 5: (2, 2), 9: (2, 2)}
+
+
+def test_page_results_per_query(spark):
     rows = [(1, r) for r in range(1, 24)] + [(2, r) for r in range(1, 4)]
     df = spark.createDataFrame(rows, "qid int, rank int")
     out = {(r["qid"], r["rank"]): (r["page"], r["total_pages"]) for r in page_results(df, size=10).collect()}
