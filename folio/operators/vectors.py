@@ -6,9 +6,10 @@ planned as a join that materialises (query, item) pairs.  Instead:
 
 * **broadcast path** (query count checked against ``max_broadcast_queries``):
   the query block is shipped to every task once; each task multiplies its
-  item batches by the query matrix in NumPy and keeps, per query, only the
-  rows that can still be in the top k (ties at the cut are kept so the final
-  tie-break by id stays exact).  The items are scanned once, not shuffled.
+  item batches by the query matrix in NumPy and keeps a running best k per
+  query, ordered by (rounded score, id) as the result is, so a task returns
+  at most k rows per query however many items tie.  The items are scanned
+  once, not shuffled.
 * **blocked path** (more queries than the bound): queries are split into
   blocks of at most the bound and items into blocks of ``item_block_rows``;
   the (query block, item block) cells are co-grouped and each cell does the
@@ -21,7 +22,9 @@ per task move.
 
 from __future__ import annotations
 
+import heapq
 import math
+import os
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -30,8 +33,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
-from folio.constants import EMBED_COLUMNS, HASH_BUCKETS, TOKEN_SPLIT_PATTERN
+from folio.constants import DEFAULT_TOP_K, EMBED_COLUMNS, HASH_BUCKETS, TOKEN_SPLIT_PATTERN
 from folio.functions import strip
+from folio.session import reliable_checkpoint
 
 SCORE_DIGITS = 6
 
@@ -73,7 +77,10 @@ def token_buckets(text: Column | str, buckets: int = HASH_BUCKETS) -> Column:
 
 
 def bucket_of(token: Column, buckets: int = HASH_BUCKETS) -> Column:
-    """Bucket id of one token: first 16 bits of its MD5, modulo ``buckets``."""
+    """Bucket id of one token: first 16 bits of its MD5, modulo ``buckets``
+    (more than 65,536 buckets could never be reached and are refused)."""
+    if buckets > 1 << 16:
+        raise ValueError("at most 65536 buckets: the bucket is taken from 16 bits of the MD5")
     return F.pmod(F.conv(F.substring(F.md5(token), 1, 4), 16, 10).cast("bigint"), F.lit(buckets))
 
 
@@ -96,25 +103,45 @@ def hashed_bag_of_words(
     )
 
 
+def bucket_counts(ids: Sequence, buckets: int = HASH_BUCKETS) -> np.ndarray:
+    """Count matrix (rows x buckets) of a batch of bucket-id arrays, as one
+    ``bincount`` over the whole batch."""
+    sizes = np.array([0 if v is None else len(v) for v in ids], dtype=np.int64)
+    if not sizes.sum():
+        return np.zeros((len(sizes), buckets))
+    flat = np.concatenate([np.asarray(v, dtype=np.int64) for v in ids if v is not None and len(v)])
+    at = np.repeat(np.arange(len(sizes)) * buckets, sizes) + flat
+    return np.bincount(at, minlength=len(sizes) * buckets).astype(np.float64).reshape(len(sizes), buckets)
+
+
 def _bincount_udf(buckets: int):
     @F.pandas_udf(ArrayType(DoubleType()))
     def bincount(ids: pd.Series) -> pd.Series:
-        return pd.Series(
-            [np.bincount(np.asarray(v, dtype=np.int64), minlength=buckets).astype(np.float64) for v in ids]
-        )
+        return pd.Series(list(bucket_counts(ids, buckets)))
 
     return bincount
 
 
+def term_buckets(
+    df: DataFrame, id_col: str, text_col: str, buckets: int = HASH_BUCKETS, out: str = "vector"
+) -> DataFrame:
+    """V2(a) as bucket arrays: (id, one bucket per token); a missing text has
+    none.  Scoring counts them inside its own task (``item_buckets``)."""
+    none = F.array().cast("array<bigint>")
+    return df.select(id_col, F.coalesce(token_buckets(text_col, buckets), none).alias(out))
+
+
 def term_vectors(
     df: DataFrame, id_col: str, text_col: str, buckets: int = HASH_BUCKETS, out: str = "vector"
 ) -> DataFrame:
-    """V2(a) dense form: (id, tf vector of length ``buckets``), no shuffle.
+    """V2(a) dense form: (id, tf vector of length ``buckets``), no shuffle; a
+    missing text has the zero vector.
 
-    Tokenising and hashing run in the JVM; only the per-row bucket count (a
-    vectorised NumPy ``bincount`` over Arrow batches) runs in Python.
+    Tokenising and hashing run in the JVM; only the bucket count (one
+    ``bincount`` per Arrow batch) runs in Python.
     """
-    return df.select(id_col, _bincount_udf(buckets)(token_buckets(text_col, buckets)).alias(out))
+    rows = term_buckets(df, id_col, text_col, buckets, out)
+    return rows.select(id_col, _bincount_udf(buckets)(F.col(out)).alias(out))
 
 
 # ---------------------------------------------------------------------------
@@ -135,23 +162,26 @@ def encode(
     ``encoder_factory`` returns ``encode(texts) -> (n, d) array``.  It is called
     once per task, or, with ``cache_key``, once per Python worker process:
     PySpark reuses workers across tasks, so a model loaded under a key stays
-    in that worker for the following tasks.  Output vectors are L2-normalised
-    float arrays.
+    in that worker for the following tasks.  ``text_col`` may also be an array
+    (e.g. :func:`term_buckets`); the model then gets a list of arrays.  Output
+    vectors are L2-normalised float arrays.
     """
     schema = df.select(id_col).schema.add(out, ArrayType(FloatType()))
+    is_text = df.schema[text_col].dataType.typeName() == "string"
+    if cache_key is not None:
+        df.sparkSession.sparkContext.addPyFile(os.path.join(os.path.dirname(os.path.dirname(__file__)), "folio_worker_cache.py"))
 
     def run(batches):
         if cache_key is None:
             model = encoder_factory()
         else:
-            import pyspark  # a module every worker has: holds the per-process cache
+            from folio_worker_cache import MODELS
 
-            cache = pyspark.__dict__.setdefault("_folio_encoders", {})
-            if cache_key not in cache:
-                cache[cache_key] = encoder_factory()
-            model = cache[cache_key]
+            if cache_key not in MODELS:
+                MODELS[cache_key] = encoder_factory()
+            model = MODELS[cache_key]
         for pdf in batches:
-            texts = pdf[text_col].fillna("").astype(str).tolist()
+            texts = pdf[text_col].fillna("").astype(str).tolist() if is_text else pdf[text_col].tolist()
             mat = np.asarray(model(texts), dtype=np.float64)
             norms = np.linalg.norm(mat, axis=1, keepdims=True)
             mat = np.divide(mat, norms, out=np.zeros_like(mat), where=norms > 0)
@@ -200,21 +230,36 @@ def align_embeddings(ids: DataFrame, emb: DataFrame, key: str, vec: str = "embed
 
 
 def validate_embeddings(ids: DataFrame, emb: DataFrame, key: str, vec: str = "embedding") -> DataFrame:
-    """V6: one-row report: ids vs vectors, unmatched on each side, dimensions."""
+    """V6: one-row report: ids vs vectors (every row counted, repeats too),
+    unmatched on each side, dimensions.  Valid: as many ids as vectors, none
+    unmatched, one dimension."""
     aligned = align_embeddings(ids, emb, key, vec)
+    n_ids = ids.agg(F.count(F.lit(1))).scalar()
     return aligned.agg(
-        F.count_if("has_id").alias("n_ids"),
         F.count_if("has_vector").alias("n_vectors"),
         F.count_if(F.col("has_id") & F.col("has_vector")).alias("n_matched"),
         F.count_if(F.col("has_id") & ~F.col("has_vector")).alias("n_ids_without_vector"),
         F.count_if(~F.col("has_id") & F.col("has_vector")).alias("n_vectors_without_id"),
         F.count_distinct("dimension").cast("bigint").alias("n_dimensions"),
+    ).select(
+        n_ids.alias("n_ids"),
+        "*",
     ).withColumn(
         "valid",
-        (F.col("n_ids_without_vector") == 0) & (F.col("n_vectors_without_id") == 0) & (F.col("n_dimensions") <= 1),
+        (F.col("n_ids") == F.col("n_vectors")) & (F.col("n_ids_without_vector") == 0)
+        & (F.col("n_vectors_without_id") == 0) & (F.col("n_dimensions") <= 1),
     )
 
 
+def require_aligned(ids: DataFrame, emb: DataFrame, key: str, vec: str = "embedding") -> DataFrame:
+    """J7 for building an index: the embeddings, or ValueError if ids and
+    vectors differ in number, keys or dimension."""
+    report = validate_embeddings(ids, emb, key, vec).first()
+    if not report["valid"]:
+        raise ValueError(f"ids and embeddings do not match: {report.asDict()}")
+    return emb
+
+
 def centroids(df: DataFrame, group: str, vec: str = "embedding", out: str = "vector") -> DataFrame:
     """Mean vector per group (per-dimension average, partial-aggregated)."""
     per_dim = (
@@ -237,42 +282,44 @@ def centroids(df: DataFrame, group: str, vec: str = "embedding", out: str = "vec
 SCORE_CELLS = 4_000_000
 
 
-def _block_top_k(qids, qmat, qnorm, ids, emat, k, normalize, min_score):
-    """Candidates of one item batch against a query block, scored in chunks
-    of at most ``SCORE_CELLS`` entries."""
-    step = max(1, SCORE_CELLS // max(1, qmat.shape[0]))
-    parts = [
-        _chunk_top_k(qids, qmat, qnorm, ids[i:i + step], emat[i:i + step], k, normalize, min_score)
-        for i in range(0, emat.shape[0], step)
-    ]
-    if len(parts) == 1:
-        return parts[0]
-    return tuple(np.concatenate([p[j] for p in parts]) for j in range(3))
-
-
-def _chunk_top_k(qids, qmat, qnorm, ids, emat, k, normalize, min_score):
-    """Scores of one item chunk against a query block; the rows that can still
-    make a query's top k.
-
-    The cut keeps everything within one rounding step (1e-6) of the k-th best
-    raw score, so items that tie with it after rounding are never lost; the
-    exact rounding and the id tie-break are applied later in Spark.
-    """
-    scores = emat @ qmat.T  # (b, q)
-    if normalize:
-        enorm = np.sqrt(np.einsum("ij,ij->i", emat, emat))
-        denom = enorm[:, None] * qnorm[None, :]
-        scores = np.divide(scores, denom, out=np.zeros_like(scores), where=denom > 0)
-    valid = np.ones_like(scores, dtype=bool)
-    if min_score is not None:
-        valid = scores > min_score
-    b = scores.shape[0]
-    if b > k:
-        masked = np.where(valid, scores, -np.inf)
-        kth = -np.partition(-masked, k - 1, axis=0)[k - 1]
-        valid &= scores >= (kth - 10.0 ** -SCORE_DIGITS)[None, :]
-    rows, cols = np.nonzero(valid)
-    return qids[cols], ids[rows], scores[rows, cols]
+class _BestK:
+    """Running best k items per query, by (rounded score descending, id)."""
+
+    def __init__(self, qids, qmat, k, normalize, min_score):
+        self.qids, self.qmat, self.k, self.normalize, self.min_score = qids, qmat, k, normalize, min_score
+        self.qnorm = np.sqrt(np.einsum("ij,ij->i", qmat, qmat)) if len(qids) else np.zeros(0)
+        self.best: list[list[tuple]] = [[] for _ in qids]
+        self.floor = np.full(len(qids), -np.inf)  # score of the k-th item so far
+
+    def add(self, ids, emat) -> None:
+        """Score items in chunks of at most ``SCORE_CELLS`` entries."""
+        step = max(1, SCORE_CELLS // max(1, len(self.qids)))
+        for i in range(0, emat.shape[0], step):
+            self._add_chunk(ids[i:i + step], emat[i:i + step])
+
+    def _add_chunk(self, ids, emat) -> None:
+        scores = emat @ self.qmat.T
+        if self.normalize:
+            enorm = np.sqrt(np.einsum("ij,ij->i", emat, emat))
+            denom = enorm[:, None] * self.qnorm[None, :]
+            scores = np.divide(scores, denom, out=np.zeros_like(scores), where=denom > 0)
+        scores = np.round(scores, SCORE_DIGITS)
+        keep = scores >= self.floor[None, :]
+        if self.min_score is not None:
+            keep &= scores > self.min_score
+        if scores.shape[0] > self.k:
+            keep &= scores >= -np.partition(-scores, self.k - 1, axis=0)[self.k - 1][None, :]
+        for q in np.flatnonzero(keep.any(axis=0)):
+            rows = np.flatnonzero(keep[:, q])
+            new = ((-scores[r, q], ids[r] is not None, ids[r]) for r in rows)
+            self.best[q] = heapq.nsmallest(self.k, (*self.best[q], *new))
+            if len(self.best[q]) == self.k:
+                self.floor[q] = -self.best[q][-1][0]
+
+    def rows(self):
+        """Query ids, item ids and scores: at most k rows per query."""
+        flat = [(self.qids[q], e[2], -e[0]) for q, found in enumerate(self.best) for e in found]
+        return [r[0] for r in flat], [r[1] for r in flat], [float(r[2]) for r in flat]
 
 
 def _stack(series: pd.Series) -> np.ndarray:
@@ -284,7 +331,7 @@ def _stack(series: pd.Series) -> np.ndarray:
 def top_k_similar(
     queries: DataFrame,
     items: DataFrame,
-    k: int,
+    k: int = DEFAULT_TOP_K,
     query_id: str = "qid",
     query_vec: str = "vector",
     item_id: str = "id",
@@ -295,6 +342,7 @@ def top_k_similar(
     max_broadcast_bytes: int = 64 << 20,
     query_block_bytes: int = 256 << 20,
     item_block_bytes: int = 128 << 20,
+    item_buckets: int | None = None,
 ) -> DataFrame:
     """V4 + L4: for each query, the k items with the highest inner product
     (cosine when ``normalize``), ranked by (rounded score desc, item id).
@@ -307,38 +355,45 @@ def top_k_similar(
     ``max_broadcast_bytes`` of query vectors.  Beyond that the blocked path sizes its blocks by
     bytes: query blocks up to ``query_block_bytes`` (few, large blocks keep the
     number of item copies low) and item blocks up to ``item_block_bytes`` (so
-    one co-group always fits in a Python worker).
+    one co-group always fits in a Python worker).  The queries are written
+    once and measured there before any of them reaches the driver.
+
+    With ``item_buckets`` the item column holds bucket ids
+    (:func:`term_buckets`) that are counted in the scoring task.
     """
+    k = max(1, k)
     spark = items.sparkSession
     q_type = queries.schema[query_id].dataType.simpleString()
     i_type = items.schema[item_id].dataType.simpleString()
     out_schema = f"{query_id} {q_type}, {item_id} {i_type}, score double"
     items_slim = items.select(item_id, item_vec)
 
-    # One bounded probe: at most max_broadcast_queries + 1 rows reach the driver.
-    rows = queries.select(query_id, query_vec).limit(max_broadcast_queries + 1).collect()
-    dim = max((len(r[1]) for r in rows if r[1] is not None), default=1)
-    if len(rows) <= max_broadcast_queries and len(rows) * dim * 8 <= max_broadcast_bytes:
+    matrix = _stack if item_buckets is None else (lambda column: bucket_counts(column, item_buckets))
+    queries = reliable_checkpoint(queries.select(query_id, query_vec), "top-k-queries")
+    n_q, dim = queries.agg(F.count(F.lit(1)), F.max(F.size(query_vec))).first()
+    dim = max(1, dim or 1)
+    if n_q <= max_broadcast_queries and n_q * dim * 8 <= max_broadcast_bytes:
+        rows = queries.collect()  # within the bounds just checked
         qids = np.array([r[0] for r in rows], dtype=object)
         qmat = _stack(pd.Series([r[1] for r in rows])) if rows else np.zeros((0, 0))
-        qnorm = np.sqrt(np.einsum("ij,ij->i", qmat, qmat)) if rows else np.zeros(0)
-        block = spark.sparkContext.broadcast((qids, qmat, qnorm))
+        block = spark.sparkContext.broadcast((qids, qmat))
 
         def scan(batches):
-            b_qids, b_qmat, b_qnorm = block.value
+            b_qids, b_qmat = block.value
+            best = _BestK(b_qids, b_qmat, k, normalize, min_score)
             for pdf in batches:
-                if len(pdf) == 0 or len(b_qids) == 0:
-                    continue
-                ids = pdf[item_id].to_numpy(dtype=object)
-                q, i, s = _block_top_k(b_qids, b_qmat, b_qnorm, ids, _stack(pdf[item_vec]), k, normalize, min_score)
+                if len(pdf) and len(b_qids):
+                    best.add(pdf[item_id].to_numpy(dtype=object), matrix(pdf[item_vec]))
+            q, i, s = best.rows()
+            if q:
                 yield pd.DataFrame({query_id: q, item_id: i, "score": s})
 
         candidates = items_slim.mapInPandas(scan, out_schema)
     else:
         candidates = _blocked_candidates(
-            queries.select(query_id, query_vec), items_slim, k, query_id, query_vec, item_id, item_vec,
+            queries, items_slim, k, query_id, query_vec, item_id, item_vec, matrix,
             normalize, min_score, max(1, query_block_bytes // (8 * dim)), max(1, item_block_bytes // (8 * dim)),
-            out_schema,
+            out_schema, n_q,
         )
 
     rounded = candidates.withColumn("score", F.round("score", SCORE_DIGITS))
@@ -349,10 +404,9 @@ def top_k_similar(
 
 
 def _blocked_candidates(
-    queries, items, k, query_id, query_vec, item_id, item_vec, normalize, min_score, q_block_rows,
-    item_block_rows, out_schema,
+    queries, items, k, query_id, query_vec, item_id, item_vec, matrix, normalize, min_score, q_block_rows,
+    item_block_rows, out_schema, n_q,
 ):
-    n_q = queries.count()
     n_i = items.count()
     qb = max(1, math.ceil(n_q / q_block_rows))
     ib = max(1, math.ceil(n_i / item_block_rows))
@@ -368,12 +422,9 @@ def _blocked_candidates(
     def cell(qpdf: pd.DataFrame, ipdf: pd.DataFrame) -> pd.DataFrame:
         if len(qpdf) == 0 or len(ipdf) == 0:
             return pd.DataFrame({query_id: [], item_id: [], "score": []})
-        qmat = _stack(qpdf[query_vec])
-        qnorm = np.sqrt(np.einsum("ij,ij->i", qmat, qmat))
-        q, i, s = _block_top_k(
-            qpdf[query_id].to_numpy(dtype=object), qmat, qnorm,
-            ipdf[item_id].to_numpy(dtype=object), _stack(ipdf[item_vec]), k, normalize, min_score,
-        )
+        best = _BestK(qpdf[query_id].to_numpy(dtype=object), _stack(qpdf[query_vec]), k, normalize, min_score)
+        best.add(ipdf[item_id].to_numpy(dtype=object), matrix(ipdf[item_vec]))
+        q, i, s = best.rows()
         return pd.DataFrame({query_id: q, item_id: i, "score": s})
 
     return (

@@ -7,13 +7,12 @@ They write intermediate data under the session's shared checkpoint folder
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import functions as F
 
-from folio.constants import ENRICHED_COLUMNS, HASH_BUCKETS, NA_TOKENS, NUMERIC_PATTERN, WHITESPACE_CLASS
+from folio.constants import ENRICHED_COLUMNS, HASH_BUCKETS, NA_TOKENS, NUMERIC_PATTERN, TOKEN_SPLIT_PATTERN, WHITESPACE_CLASS
 from folio.functions import book_key
 from folio.operators.enrichment import build_lookup
-from folio.operators.vectors import encode
+from folio.operators.vectors import encode, term_buckets
 from folio.plans.cleaning_queries import clean_catalog_df
 from folio.plans.enrichment_queries import enriched_df
 from folio.plans.jobs import run_catalog
@@ -177,37 +176,31 @@ def q_embeddings_round_trip(spark, sf_dir):
     return read_embeddings(spark, path)
 
 
-def projection_encoder(dim: int = 64, buckets: int = HASH_BUCKETS, seed: int = 7):
-    """A small deterministic text encoder for V2(b): hashed word counts times a
-    fixed Gaussian projection.  Stands in for a pretrained model, which this
-    environment does not ship; any ``texts -> (n, d)`` callable plugs in."""
+def count_encoder(buckets: int = HASH_BUCKETS):
+    """A text encoder for V2(b): hashed word counts.  Stands in for a
+    pretrained model, which this environment does not ship; any
+    ``batch -> (n, d)`` callable plugs in."""
+    from folio.operators.vectors import bucket_counts
 
-    def factory():
-        import hashlib
-        import re
+    return lambda: lambda ids: bucket_counts(ids, buckets)
 
-        proj = np.random.default_rng(seed).standard_normal((buckets, dim))
-        splitter = re.compile(r"[^\w]+|_", re.UNICODE)
 
-        def model(texts):
-            counts = np.zeros((len(texts), buckets))
-            for row, text in enumerate(texts):
-                for tok in splitter.split(text.lower()):
-                    if tok:
-                        counts[row, int(hashlib.md5(tok.encode()).hexdigest()[:4], 16) % buckets] += 1
-            return counts @ proj
-
-        return model
-
-    return factory
-
-
-@register("dense_encoder")
+@register(
+    "dense_encoder",
+    "WITH t AS (SELECT doc_id, CAST(('0x' || substr(md5(tok), 1, 4))::INT AS BIGINT) % "
+    f"{HASH_BUCKETS} AS bucket, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), "
+    f"'{TOKEN_SPLIT_PATTERN}')) AS tok FROM documents) x WHERE tok <> '' GROUP BY 1, 2), "
+    "m AS (SELECT doc_id, map_from_entries(list((bucket, tf))) AS tfs, sqrt(sum(tf * tf)) AS norm FROM t GROUP BY 1) "
+    f"SELECT doc_id, list_transform(range({HASH_BUCKETS}), lambda b: "
+    "round(CAST(coalesce(m.tfs[b], 0) / coalesce(m.norm, 1) AS DOUBLE), 4)) AS vector FROM documents LEFT JOIN m USING (doc_id)",
+)
 def q_dense_encoder(spark, sf_dir):
     """V2(b): every document's full text through a pluggable encoder
-    (mapInPandas, model built once per Python worker); rows-only check."""
-    docs = read_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
-    return encode(docs, "doc_id", "text", projection_encoder(), cache_key="projection-64")
+    (mapInPandas, model built once per Python worker).  Tokens are hashed in
+    the JVM; vectors are rounded to 4 decimals for comparison."""
+    docs = term_buckets(read_table(spark, sf_dir, "documents", spread=True), "doc_id", "text", out="buckets")
+    out = encode(docs, "doc_id", "buckets", count_encoder(), cache_key=f"counts-{HASH_BUCKETS}")
+    return out.select("doc_id", F.transform("vector", lambda x: F.round(x.cast("double"), 4)).alias("vector"))
 
 
 ENRICHED_ONLY = ", ".join(ENRICHED_COLUMNS)

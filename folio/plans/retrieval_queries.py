@@ -16,6 +16,7 @@ from folio.operators.vectors import (
     hashed_bag_of_words,
     l2_normalize_vectors,
     semantic_text,
+    term_buckets,
     term_vectors,
     top_k_similar,
     validate_embeddings,
@@ -231,19 +232,20 @@ def q_align_embeddings(spark, sf_dir):
     return align_embeddings(docs, emb, "id")
 
 
-@register(
-    "validate_embeddings",
-    "WITH a AS (SELECT d.id IS NOT NULL AS has_id, e.id IS NOT NULL AS has_vector, e.dimension "
-    "FROM (SELECT DISTINCT doc_id AS id FROM documents) d FULL OUTER JOIN "
-    "(SELECT vec_id AS id, len(embedding) AS dimension FROM embeddings) e ON d.id = e.id) "
-    "SELECT count(*) FILTER (WHERE has_id) AS n_ids, count(*) FILTER (WHERE has_vector) AS n_vectors, "
-    "count(*) FILTER (WHERE has_id AND has_vector) AS n_matched, "
-    "count(*) FILTER (WHERE has_id AND NOT has_vector) AS n_ids_without_vector, "
-    "count(*) FILTER (WHERE NOT has_id AND has_vector) AS n_vectors_without_id, "
-    "CAST(count(DISTINCT dimension) AS BIGINT) AS n_dimensions, "
-    "(count(*) FILTER (WHERE has_id AND NOT has_vector) = 0 AND count(*) FILTER (WHERE NOT has_id AND has_vector) = 0 "
-    "AND count(DISTINCT dimension) <= 1) AS valid FROM a",
-)
+def _d_validate(ids: str) -> str:
+    """DuckDB: the report for the id column ``id`` of ``ids`` (repeats kept)."""
+    return (
+        f"WITH i AS ({ids}), e AS (SELECT vec_id AS id, len(embedding) AS dimension FROM embeddings), "
+        "r AS (SELECT (SELECT count(*) FROM i) AS n_ids, (SELECT count(*) FROM e) AS n_vectors, "
+        "(SELECT count(*) FROM e WHERE id IN (SELECT id FROM i)) AS n_matched, "
+        "(SELECT count(DISTINCT id) FROM i WHERE id NOT IN (SELECT id FROM e)) AS n_ids_without_vector, "
+        "(SELECT count(*) FROM e WHERE id NOT IN (SELECT id FROM i)) AS n_vectors_without_id, "
+        "(SELECT CAST(count(DISTINCT dimension) AS BIGINT) FROM e) AS n_dimensions) "
+        "SELECT *, n_ids = n_vectors AND n_ids_without_vector = 0 AND n_vectors_without_id = 0 AND n_dimensions <= 1 AS valid FROM r"
+    )
+
+
+@register("validate_embeddings", _d_validate("SELECT doc_id AS id FROM documents"))
 def q_validate_embeddings(spark, sf_dir):
     """V6: one-row validation report of documents vs embeddings."""
     docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
@@ -251,6 +253,17 @@ def q_validate_embeddings(spark, sf_dir):
     return validate_embeddings(docs, emb, "id")
 
 
+@register(
+    "validate_repeated_ids",
+    _d_validate("SELECT vec_id AS id FROM embeddings UNION ALL SELECT vec_id FROM embeddings WHERE label = 1"),
+)
+def q_validate_repeated_ids(spark, sf_dir):
+    """V6 where some ids are listed twice: every key matches, the counts do not."""
+    emb = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label", "embedding")
+    ids = emb.select("id").unionAll(emb.where("label = 1").select("id"))
+    return validate_embeddings(ids, emb.select("id", "embedding"), "id")
+
+
 @register(
     "dense_top_k",
     "WITH u AS (SELECT label, unnest(embedding) AS x, unnest(generate_series(1, len(embedding))) AS i FROM embeddings), "
@@ -287,9 +300,9 @@ def q_hashed_bag_of_words(spark, sf_dir):
 )
 def q_sparse_top_k(spark, sf_dir):
     """V4s: top 5 documents for every benchmark text on hashed term vectors (cosine)."""
-    docs = term_vectors(read_table(spark, sf_dir, "documents", spread=True), "doc_id", "text")
+    docs = term_buckets(read_table(spark, sf_dir, "documents", spread=True), "doc_id", "text")
     bench = term_vectors(read_table(spark, sf_dir, "benchmark"), "item_id", "text").withColumnRenamed("item_id", "qid")
-    return top_k_similar(bench, docs, 5, query_id="qid", item_id="doc_id", min_score=0.0)
+    return top_k_similar(bench, docs, 5, query_id="qid", item_id="doc_id", min_score=0.0, item_buckets=HASH_BUCKETS)
 
 
 def _d_semantic(cols_sql: list[str]) -> str:
@@ -343,9 +356,10 @@ def q_recommend_books(spark, sf_dir):
     records -> fetch stored books (ids missing from the store drop out) ->
     display shaping, result pages (L2); best score first."""
     enriched = enriched_table(spark, sf_dir)
-    items = term_vectors(semantic_text(enriched), "record_id", "semantic_text")
+    items = term_buckets(semantic_text(enriched), "record_id", "semantic_text")
     queries = term_vectors(read_table(spark, sf_dir, "benchmark"), "item_id", "text").withColumnRenamed("item_id", "qid")
-    results = top_k_similar(queries, items, 5, query_id="qid", item_id="record_id", min_score=0.0)
+    results = top_k_similar(queries, items, 5, query_id="qid", item_id="record_id", min_score=0.0,
+                            item_buckets=HASH_BUCKETS)
     books = stored_books(spark, sf_dir, enriched)
     rows = page_results(fetch_with_scores(books, results))
     return rows.select(

@@ -149,3 +149,69 @@ def test_encoder_cached_per_worker_gives_same_vectors(spark):
     cached = {r["id"]: r["vector"] for r in encode(df, "id", "text", factory, cache_key="t-len").collect()}
     again = {r["id"]: r["vector"] for r in encode(df, "id", "text", factory, cache_key="t-len").collect()}
     assert plain == cached == again
+
+
+def test_ties_stay_within_k_rows_per_query_and_task(spark, monkeypatch):
+    """A third of the items are identical: every task still returns at most k
+    rows per query, and the smallest ids win."""
+    from pyspark.sql import functions as F
+
+    from folio.operators import vectors as V
+
+    n, k = 3000, 5
+    items = spark.range(n).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.array(F.lit(1.0), F.lit(1.0)))
+                                  .otherwise(F.array(F.col("id") * 1.0, F.lit(1.0))).alias("vector")).repartition(6)
+    queries = spark.createDataFrame([(q, [1.0, 1.0]) for q in range(20)] + [(99, [0.0, 0.0])], "qid int, vector array<double>")
+    seen = {}
+    plain = V._BestK.rows
+
+    def rows(self):
+        out = plain(self)
+        assert len(out[0]) <= self.k * len(self.qids)
+        return out
+
+    monkeypatch.setattr(V._BestK, "rows", rows)
+    for r in top_k_similar(queries, items, k).collect():
+        seen.setdefault(r["qid"], []).append((r["rank"], r["id"], r["score"]))
+    want = [(i + 1, v, 1.0) for i, v in enumerate([0, 1, 3, 6, 9])]
+    assert all(sorted(seen[q]) == want for q in range(20))
+    assert [v for _, v, _ in sorted(seen[99])] == [0, 1, 2, 3, 4]  # a zero query scores 0 everywhere
+
+
+def test_missing_text_has_no_terms(spark):
+    from folio.operators.vectors import bucket_of, term_buckets, term_vectors
+
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "a b a")], "id int, text string")
+    got = {r["id"]: sum(r["vector"]) for r in term_vectors(df, "id", "text", 16).collect()}
+    assert got == {1: 0.0, 2: 0.0, 3: 3.0}
+    assert {r["id"]: len(r["vector"]) for r in term_buckets(df, "id", "text", 16).collect()} == {1: 0, 2: 0, 3: 3}
+    assert top_k_similar(term_vectors(df, "id", "text", 16).withColumnRenamed("id", "qid"), term_buckets(df, "id", "text", 16),
+                         min_score=0.0, item_buckets=16).select("qid", "id").collect() == [(3, 3)]
+    with pytest.raises(ValueError):
+        bucket_of(df["text"], 1 << 17)
+
+
+def test_validation_counts_every_row(spark):
+    from folio.operators.vectors import require_aligned, validate_embeddings
+
+    def ids(*v):
+        return spark.createDataFrame([(x,) for x in v], "id int")
+
+    def emb(*v):
+        return spark.createDataFrame([(x, [1.0, 2.0]) for x in v], "id int, embedding array<double>")
+
+    for a, b, want in (((1, 2), (1, 2), (2, 2, True)), ((1, 2), (1, 1, 2), (2, 3, False)), ((1, 1, 2), (1, 2), (3, 2, False)), ((1,), (2,), (1, 1, False))):
+        r = validate_embeddings(ids(*a), emb(*b), "id").first()
+        assert (r["n_ids"], r["n_vectors"], r["valid"]) == want
+        if want[2]:
+            assert require_aligned(ids(*a), emb(*b), "id").count() == len(b)
+        else:
+            with pytest.raises(ValueError):
+                require_aligned(ids(*a), emb(*b), "id")
+
+
+def test_top_k_defaults_to_five_and_at_least_one(spark):
+    items = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(9)], "id int, vector array<double>")
+    queries = spark.createDataFrame([(1, [1.0, 1.0])], "qid int, vector array<double>")
+    assert top_k_similar(queries, items).count() == 5
+    assert top_k_similar(queries, items, 0).count() == 1
