@@ -53,6 +53,7 @@ def fill_display(c: Column | str, label: str) -> Column:
 
 
 def integer_affinity(c: Column | str) -> Column:
-    """Integer value of a text column when it is an integer, else NULL."""
+    """Integer value of a text column when it is an integer (also written
+    with a zero fraction, like ``200.0``), else NULL."""
     s = F.trim(_col(c).cast("string"))
-    return F.when(s.rlike("^[+-]?\\d+$"), s.try_cast("bigint"))
+    return F.when(s.rlike("^[+-]?\\d+(\\.0*)?$"), F.regexp_replace(s, "\\.0*$", "").try_cast("bigint"))

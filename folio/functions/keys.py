@@ -21,7 +21,7 @@ def record_id(cols: Sequence[str] = ("title", "author_editor", "isbn")) -> Colum
 
 
 def book_key(isbn: str = "isbn", title: str = "title") -> Column:
-    """P8: '<isbn or NOISBN>|<lower(title)>'."""
+    """P8: '<isbn or NOISBN>|<lower(title)>'; an empty ISBN counts as none."""
     return F.concat(
-        F.coalesce(F.col(isbn), F.lit(NO_ISBN)), F.lit("|"), F.lower(F.col(title))
+        F.coalesce(F.nullif(F.col(isbn), F.lit("")), F.lit(NO_ISBN)), F.lit("|"), F.lower(F.col(title))
     )

@@ -8,10 +8,10 @@ equi-joins:
 * tier 2 joins on the normalised title (optionally title + author) and runs
   only on the records tier 1 did not match.
 
-Each metadata side is first reduced to one row per key (lowest order key
-wins, like "first search result") in one tagged aggregation, so the joins
-never multiply rows and the metadata is scanned once.  The records flow
-through one linear chain (ISBN join, then title join), read once.  A record
+The metadata is parsed once into a stage table; each lookup side is reduced
+from it to one row per key (lowest order key wins, like "first search
+result"), so the joins never multiply rows.  The records flow through one
+linear chain (ISBN join, then title join), read once.  A record
 without an ISBN, or already matched by ISBN, joins with a unique key that
 never matches, so such records spread over all partitions instead of piling
 up under a NULL key.  A popular title on the record side is a skewed join
@@ -29,7 +29,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.constants import (
-    ENRICHED_COLUMNS,
     ISBN_IDENTIFIER_TYPES,
     META_SCHEMA_DDL,
     STATUS_FOUND,
@@ -118,34 +117,42 @@ AUTHOR_SEP = "\u0001"
 
 @dataclass
 class MetadataLookup:
-    """The metadata table reduced to one row per lookup key.
-
-    All three reductions (per ISBN key, per title key, per title key and
-    normalised author) come from one tagged aggregation, so the metadata
-    table is scanned and shuffled once; the three lookups are filters of it.
-    Build it once with :func:`build_lookup` and reuse it for many record
-    batches (the incremental job does); :meth:`materialize` writes it to the
-    checkpoint folder so later batches never re-parse the JSON.
+    """The metadata table, parsed once, reduced to one row per lookup key.
+
+    ``facts`` holds the parsed fields of every document with its keys.  Each
+    lookup is a direct keep-first of it by its own key; the author lookup is
+    built only where it is asked for.  :meth:`materialize` writes the reduced
+    lookups to the checkpoint folder, so many record batches (the incremental
+    job) share them.
     """
 
-    tagged: DataFrame
+    facts: DataFrame
+    written: dict | None = None
+
+    def _first(self, name: str, rows: DataFrame, key: str, out: str) -> DataFrame:
+        if self.written is not None and name in self.written:
+            return self.written[name]
+        first = keep_first(rows.where(F.col(key).isNotNull()).select(key, "_order", "_m"), [key], ["_order"])
+        return first.select(F.col(key).alias(out), F.col("_m").alias("_i" if name == "isbn" else "_m2"))
 
     @property
     def by_isbn(self) -> DataFrame:
-        return self.tagged.where("_kind = 'i'").select(F.col("_k1").alias("_ik"), F.col("_m").alias("_i"))
+        return self._first("isbn", self.facts, "_isbn", "_ik")
 
     @property
     def by_title(self) -> DataFrame:
-        return self.tagged.where("_kind = 't'").select(F.col("_k1").alias("_tk"), F.col("_m").alias("_m2"))
+        return self._first("title", self.facts, "_title", "_tk")
 
     @property
     def by_title_author(self) -> DataFrame:
-        return self.tagged.where("_kind = 'a'").select(
-            F.concat(F.col("_k1"), F.lit(AUTHOR_SEP), F.col("_k2")).alias("_tk"), F.col("_m").alias("_m2")
-        )
+        authors = self.facts.select("_order", "_m", "_title", F.explode("_m.authors").alias("_a"))
+        keyed = authors.withColumn("_key", F.concat(F.col("_title"), F.lit(AUTHOR_SEP), normalize_text("_a")))
+        return self._first("title_author", keyed, "_key", "_tk")
 
-    def materialize(self) -> "MetadataLookup":
-        return MetadataLookup(reliable_checkpoint(self.tagged, "metadata-lookup"))
+    def materialize(self, use_author: bool = False) -> "MetadataLookup":
+        names = ["isbn", "title", *(["title_author"] if use_author else [])]
+        written = {n: reliable_checkpoint(getattr(self, f"by_{n}"), f"lookup-{n}") for n in names}
+        return MetadataLookup(self.facts, written)
 
 
 def build_lookup(
@@ -155,26 +162,16 @@ def build_lookup(
     title_key: str = "title_key",
     order: str = "meta_pos",
 ) -> MetadataLookup:
-    """Parse the metadata documents and keep the first (lowest ``order``) per
-    ISBN key, per title key and per (title key, normalised author)."""
-    facts = _meta_facts(meta, json_col)
-    fields = F.struct(*[F.col(f"meta_{f}").alias(f) for f in META_FIELDS])
-    null = F.lit(None).cast("string")
-    keys = F.array(
-        F.struct(F.lit("i").alias("kind"), F.col(isbn_key).cast("string").alias("k1"), null.alias("k2")),
-        F.struct(F.lit("t").alias("kind"), F.col(title_key).cast("string").alias("k1"), null.alias("k2")),
-    )
-    by_author = F.transform(
-        F.coalesce(F.col("meta_authors"), F.array().cast("array<string>")),
-        lambda a: F.struct(F.lit("a").alias("kind"), F.col(title_key).cast("string").alias("k1"),
-                           normalize_text(a).alias("k2")),
+    """Parse the metadata documents once, into a stage table that the lookups
+    (lowest ``order`` per ISBN key, per title key, and per title key and
+    normalised author) are reduced from."""
+    facts = _meta_facts(meta, json_col).select(
+        F.col(order).alias("_order"),
+        F.col(isbn_key).cast("string").alias("_isbn"),
+        F.col(title_key).cast("string").alias("_title"),
+        F.struct(*[F.col(f"meta_{f}").alias(f) for f in META_FIELDS]).alias("_m"),
     )
-    exploded = facts.select(order, fields.alias("_m"), F.explode(F.concat(keys, by_author)).alias("_key"))
-    slim = exploded.select(
-        F.col("_key.kind").alias("_kind"), F.col("_key.k1").alias("_k1"), F.col("_key.k2").alias("_k2"), order, "_m"
-    ).where(F.col("_k1").isNotNull() & ((F.col("_kind") != "a") | F.col("_k2").isNotNull()))
-    tagged = keep_first(slim, ["_kind", "_k1", "_k2"], [order]).drop(order)
-    return MetadataLookup(tagged)
+    return MetadataLookup(reliable_checkpoint(facts, "metadata-facts"))
 
 
 def enrich(
@@ -249,8 +246,3 @@ def _title_join(records: DataFrame, side: DataFrame, salt: int) -> DataFrame:
         copies, (F.col("_k2") == F.col("_tk")) & (F.col("_salt") == F.col("_salt2")), "left"
     )
     return joined.drop("_salt", "_salt2")
-
-
-def enriched_columns(df: DataFrame) -> DataFrame:
-    """Project to the 13 enriched record columns, in contract order."""
-    return df.select(*ENRICHED_COLUMNS)

@@ -29,8 +29,17 @@ CATALOG_COLUMNS = (
 )
 
 
-def clean_catalog_df(spark, sf_dir):
-    return clean(catalog_raw(spark, sf_dir))
+def clean_catalog_df(spark, sf_dir, columns=None):
+    """The clean catalogue; with ``columns``, of those raw columns only.
+
+    Keep-first carries every column through its aggregate and shuffle, so a
+    query that does not return the texts leaves ``summary`` out here."""
+    raw = catalog_raw(spark, sf_dir)
+    return clean(raw.select("row_pos", *columns) if columns else raw)
+
+
+#: What decides and identifies a record.
+KEY_COLUMNS = ("title", "author_editor", "isbn")
 
 
 @register(
@@ -108,7 +117,7 @@ def q_dedupe_catalog(spark, sf_dir):
 )
 def q_duplicate_titles(spark, sf_dir):
     """Second and later occurrences of a title in the clean table."""
-    return duplicates(clean_catalog_df(spark, sf_dir).select("row_pos", "title", "record_id"), "title")
+    return duplicates(clean_catalog_df(spark, sf_dir, KEY_COLUMNS).select("row_pos", "title", "record_id"), "title")
 
 
 @register(

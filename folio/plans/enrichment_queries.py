@@ -28,7 +28,8 @@ from folio.operators.quality import (
     store_stats,
 )
 from folio.operators.store import insert_or_ignore, to_store_rows
-from folio.plans.cleaning_queries import clean_catalog_df
+from folio.plans.cleaning_queries import KEY_COLUMNS, clean_catalog_df
+from folio.plans.raw_csv import ingested_catalog
 from folio.session import reliable_checkpoint
 from folio.plans.registry import (
     CATALOG_CTE,
@@ -52,8 +53,12 @@ ENRICHED = "row_pos, record_id, book_key, status, accession_no, class_no_book_no
     "authors, isbn, year, subjects, summary, publisher, match_tier"
 
 
+#: Raw columns the enrichment reads (its summary comes from the metadata).
+ENRICH_COLUMNS = (*KEY_COLUMNS, "accession_no", "class_no_book_no", "pages")
+
+
 def enriched_df(spark, sf_dir):
-    return enrich(clean_catalog_df(spark, sf_dir), catalog_meta(spark, sf_dir), carry=("row_pos",))
+    return enrich(clean_catalog_df(spark, sf_dir, ENRICH_COLUMNS), catalog_meta(spark, sf_dir), carry=("row_pos",))
 
 
 def enriched_table(spark, sf_dir):
@@ -107,7 +112,7 @@ def q_tiered_enrichment_by_author(spark, sf_dir):
     """J3 with title + author: records with an author must match a listed
     (normalised) author of a same-title document; records without one fall
     back to the title alone."""
-    return enrich(clean_catalog_df(spark, sf_dir), catalog_meta(spark, sf_dir), carry=("row_pos",), use_author=True)
+    return enrich(clean_catalog_df(spark, sf_dir, ENRICH_COLUMNS), catalog_meta(spark, sf_dir), carry=("row_pos",), use_author=True)
 
 
 @register(
@@ -160,7 +165,7 @@ def q_resume_remaining(spark, sf_dir):
     """Records still to enrich after an earlier run processed the English ones."""
     from folio.functions import book_key
 
-    clean = clean_catalog_df(spark, sf_dir).withColumn("book_key", book_key())
+    clean = clean_catalog_df(spark, sf_dir, KEY_COLUMNS).withColumn("book_key", book_key())
     done = enriched_df(spark, sf_dir).where(EARLIER_RUN).select("book_key")
     return remaining(clean, done).select("row_pos", "record_id", "book_key")
 
@@ -348,7 +353,7 @@ def q_raw_profile(spark, sf_dir):
 def q_clean_profile(spark, sf_dir):
     """A1-A3 on the clean table (ISBN-based vs non-ISBN books)."""
     return profile(
-        clean_catalog_df(spark, sf_dir),
+        clean_catalog_df(spark, sf_dir, (*KEY_COLUMNS, "year")),
         distinct=["record_id", "isbn"],
         missing=["isbn", "year"],
         present=["isbn"],
@@ -363,24 +368,27 @@ def q_clean_profile(spark, sf_dir):
 )
 def q_rows_removed(spark, sf_dir):
     """Rows removed by cleaning."""
-    return removed(catalog_raw(spark, sf_dir), clean_catalog_df(spark, sf_dir))
+    return removed(catalog_raw(spark, sf_dir), clean_catalog_df(spark, sf_dir, KEY_COLUMNS))
 
 
 @register(
     "stage_summary",
     with_ctes(*ENRICH_CTES)
     + "SELECT 'raw' AS stage, 0 AS stage_order, count(*) AS n_rows FROM catalog_raw UNION ALL "
-    "SELECT 'cleaned', 1, count(*) FROM catalog_clean UNION ALL "
-    "SELECT 'enriched', 2, count(*) FROM catalog_enriched UNION ALL "
-    "SELECT 'found', 3, count(*) FROM catalog_enriched WHERE status = 'FOUND'",
+    "SELECT 'ingested', 1, count(*) FROM catalog_raw UNION ALL "
+    "SELECT 'cleaned', 2, count(*) FROM catalog_clean UNION ALL "
+    "SELECT 'enriched', 3, count(*) FROM catalog_enriched UNION ALL "
+    "SELECT 'found', 4, count(*) FROM catalog_enriched WHERE status = 'FOUND'",
 )
 def q_stage_summary(spark, sf_dir):
-    """Rows per stage."""
+    """Rows per stage, every stage counted on its own; the ingested rows
+    are those read back from CSV files."""
     enriched = enriched_table(spark, sf_dir)
     return stage_summary(
         {
             "raw": catalog_raw(spark, sf_dir),
-            "cleaned": enriched,  # enrichment keeps one row per clean record
+            "ingested": ingested_catalog(spark, sf_dir),
+            "cleaned": clean_catalog_df(spark, sf_dir, KEY_COLUMNS),
             "enriched": enriched,
             "found": enriched.where("status = 'FOUND'"),
         }

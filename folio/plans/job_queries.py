@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from folio.constants import ENRICHED_COLUMNS, HASH_BUCKETS, NA_TOKENS, NUMERIC_PATTERN, TOKEN_SPLIT_PATTERN, WHITESPACE_CLASS
 from folio.functions import book_key
 from folio.operators.enrichment import build_lookup
+from folio.operators.quality import profile
 from folio.operators.vectors import encode, term_buckets
 from folio.plans.cleaning_queries import clean_catalog_df
-from folio.plans.enrichment_queries import enriched_df
+from folio.plans.enrichment_queries import ENRICH_COLUMNS, enriched_df
 from folio.plans.jobs import run_catalog
 from folio.plans.registry import (
     CATALOG_CTE,
@@ -22,52 +23,21 @@ from folio.plans.registry import (
     register,
     with_ctes,
 )
+from folio.plans.raw_csv import NO_PAGES_ROWS, ingested_catalog, write_raw_csv
 from folio.session import scratch_path
-from folio.sources.catalog_csv import ingest
-from folio.sources.catalog_views import catalog_meta, catalog_raw
+from folio.sources.catalog_views import CATALOG_RAW_SQL, catalog_meta
 from folio.sources.sinks import (
     export_flat,
     read_embeddings,
     read_flat,
     read_latest,
     save_enriched,
-    write_csv,
     write_embeddings,
     write_per_source,
 )
 from folio.sources.tables import read_table
 from folio.streaming.incremental import enrich_stream
 
-# Three header layouts the raw catalogue is written in: full, reordered, and
-# one without "Page(s)" but with an extra column.
-_FULL = [
-    ("accession_no", "Acc. No."),
-    ("title", "Title"),
-    ("author_editor", "Author/Editor"),
-    ("isbn", "ISBN"),
-    ("year", "Year"),
-    ("pages", "Page(s)"),
-    ("class_no_book_no", "Class No./Book No."),
-    ("summary", "Summary"),
-]
-_REORDERED = [_FULL[i] for i in (4, 1, 3, 0, 2, 5, 6, 7)]
-_NO_PAGES = [c for c in _FULL if c[0] != "pages"] + [("class_no_book_no", "Extra")]
-
-
-def write_raw_csv(spark, sf_dir: str, path: str) -> None:
-    """The raw catalogue as Latin-1 CSV files with three different headers."""
-    raw = catalog_raw(spark, sf_dir)
-    for langs, layout in (
-        (("en", "fr"), _FULL),
-        (("de",), _REORDERED),
-        (("es",), _NO_PAGES),
-    ):
-        part = raw.where(F.col("class_no_book_no").isin(*langs)).select(
-            *[F.col(src).alias(header) for src, header in layout]
-        )
-        write_csv(part, path, mode="append", encoding="ISO-8859-1")
-
-
 def _d_na(c: str) -> str:
     tokens = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS)
     return f"CASE WHEN {c} IN ({tokens}) THEN NULL ELSE {c} END"
@@ -81,22 +51,32 @@ def _d_na(c: str) -> str:
     + f"{_d_na('author_editor')} AS author_editor, "
     + f"regexp_replace({_d_na('isbn')}, '^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$', '', 'g') AS isbn, "
     + f"CASE WHEN regexp_matches({_d_na('year')}, '{NUMERIC_PATTERN}') THEN try_cast(trim(year) AS DOUBLE) END AS year, "
-    + f"CASE WHEN class_no_book_no = 'es' THEN NULL ELSE {_d_na('pages')} END AS pages, "
+    + f"CASE WHEN {NO_PAGES_ROWS} THEN NULL ELSE {_d_na('pages')} END AS pages, "
     + f"{_d_na('class_no_book_no')} AS class_no_book_no, {_d_na('summary')} AS summary, "
-    + f"CASE WHEN class_no_book_no = 'es' THEN {_d_na('class_no_book_no')} END AS extra FROM catalog_raw",
+    + f"CASE WHEN {NO_PAGES_ROWS} THEN {_d_na('class_no_book_no')} END AS extra FROM catalog_raw",
 )
 def q_csv_round_trip(spark, sf_dir):
     """Write the catalogue as Latin-1 CSV files with
     three header layouts, then ingest the directory back."""
-    path = scratch_path(spark, "raw-csv")
-    write_raw_csv(spark, sf_dir, path)
-    ing = ingest(spark, path)
-    return ing.select(
+    return ingested_catalog(spark, sf_dir).select(
         "accession_no", "title", "author_editor", "isbn", "year", "pages", "class_no_book_no",
         F.col("Summary").alias("summary"), F.col("Extra").alias("extra"),
     )
 
 
+@register(
+    "ingested_profile",
+    with_ctes(CATALOG_CTE)
+    + "SELECT count(*) AS n_rows, count(DISTINCT title) AS n_distinct_title, count(DISTINCT isbn) AS n_distinct_isbn, "
+    "count(*) FILTER (WHERE isbn IS NULL) AS n_missing_isbn, count(*) FILTER (WHERE year IS NULL) AS n_missing_year FROM ("
+    + f"SELECT {_d_na('title')} AS title, regexp_replace({_d_na('isbn')}, '^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$', '', 'g') AS isbn, "
+    + f"CASE WHEN regexp_matches({_d_na('year')}, '{NUMERIC_PATTERN}') THEN try_cast(trim(year) AS DOUBLE) END AS year FROM catalog_raw) x",
+)
+def q_ingested_profile(spark, sf_dir):
+    """A1-A3 on the ingested stage, read back from CSV files."""
+    return profile(ingested_catalog(spark, sf_dir), distinct=["title", "isbn"], missing=["isbn", "year"])
+
+
 STORED_ENRICHED = ", ".join(["row_pos", *ENRICHED_COLUMNS, "match_tier"])
 
 # Deliveries of new records in the incremental query, one scheduled run each.
@@ -110,21 +90,21 @@ DELIVERIES = 4
     "FROM catalog_enriched) x WHERE rn = 1",
 )
 def q_incremental_enrichment(spark, sf_dir):
-    """Clean records arrive in four deliveries; after each one a scheduled
-    streaming run (``availableNow``) enriches the new files, skipping keys
-    already in the output (resume-safe)."""
+    """Clean records arrive in four deliveries that repeat the keys of the
+    one before; after each a scheduled streaming run (``availableNow``)
+    enriches the new files, skipping keys already in the output (resume-safe)."""
     base = scratch_path(spark, "incremental")
-    # Every key belongs to exactly one delivery, so keep-first inside a run is
-    # global.  Staging needs no shuffle: each task writes its own rows of every
-    # delivery, so a key holding many rows is still written by all tasks.
+    # Each delivery holds the new keys of its turn and once more those of the
+    # turn before.  Staging needs no shuffle: each task writes its own rows, so
+    # a key holding many rows is still written by all tasks.
     staged = f"{base}/staged"
-    clean_catalog_df(spark, sf_dir).withColumn(
-        "_delivery", F.pmod(F.xxhash64(book_key()), F.lit(DELIVERIES))
-    ).write.partitionBy("_delivery").parquet(staged)
-    schema = spark.read.parquet(staged).drop("_delivery").schema
+    clean_catalog_df(spark, sf_dir, ENRICH_COLUMNS).withColumn(
+        "_turn", F.pmod(F.xxhash64(book_key()), F.lit(DELIVERIES))
+    ).write.partitionBy("_turn").parquet(staged)
+    schema = spark.read.parquet(staged).drop("_turn").schema
     lookup = build_lookup(catalog_meta(spark, sf_dir)).materialize()
     for d in range(DELIVERIES):
-        delivery = spark.read.parquet(staged).where(F.col("_delivery") == d).drop("_delivery")
+        delivery = spark.read.parquet(staged).where(F.col("_turn").isin(d, d - 1)).drop("_turn")
         delivery.write.parquet(f"{base}/source/d{d}")
         enrich_stream(spark, f"{base}/source/*", schema, lookup, f"{base}/out", f"{base}/checkpoint",
                       files_per_batch=None)
@@ -138,18 +118,28 @@ STORED_ROWS = (
 )
 
 
+# The catalogue as its CSV files hold it: one layout has no pages.
+CATALOG_CSV_CTE = (
+    f"catalog_raw AS (SELECT * REPLACE (CASE WHEN {NO_PAGES_ROWS} THEN NULL ELSE pages END AS pages) FROM ({CATALOG_RAW_SQL}) r)"
+)
+
+
 @register(
     "catalog_end_to_end",
-    with_ctes(*ENRICH_CTES)
-    + f"SELECT {STORED_ROWS} FROM (SELECT *, row_number() OVER (PARTITION BY book_key ORDER BY row_pos) AS rn "
-    "FROM catalog_enriched) x WHERE rn = 1",
+    with_ctes(CATALOG_CSV_CTE, *ENRICH_CTES[1:])
+    + f"SELECT {STORED_ROWS}, title AS feature_title, pages AS feature_pages, publisher AS feature_publisher FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY book_key ORDER BY row_pos) AS rn FROM catalog_enriched) x WHERE rn = 1",
 )
 def q_catalog_end_to_end(spark, sf_dir):
-    """Ingest -> clean -> enrich -> features -> store, each stage written
-    and read back; returns the stored books table."""
+    """CSV files -> ingest -> clean -> enrich -> features -> store, each
+    stage written and read back; returns the stored books with their features.
+    Records come in the order of their accession number."""
     out = scratch_path(spark, "catalog-run")
-    paths = run_catalog(spark, catalog_raw(spark, sf_dir), catalog_meta(spark, sf_dir), out)
-    return spark.read.parquet(paths.store).drop("match_tier")
+    write_raw_csv(spark, sf_dir, f"{out}/raw")
+    paths = run_catalog(spark, f"{out}/raw", catalog_meta(spark, sf_dir), out, position="accession_no")
+    feats = spark.read.parquet(paths.features).select(
+        "record_id", *[F.col(c).alias(f"feature_{c}") for c in ("title", "pages", "publisher")])
+    return spark.read.parquet(paths.store).drop("match_tier").join(feats, "record_id")
 
 
 @register(

@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folio.operators.cleaning import clean
 from folio.operators.enrichment import enrich
@@ -36,6 +37,7 @@ def run_catalog(
     out_dir: str,
     order: tuple[str, ...] | None = None,
     multiline: bool = True,
+    position: str | None = None,
 ) -> CatalogRun:
     """Ingest -> clean -> enrich -> features -> store; stops on the first
     failing stage (an exception propagates and later stages never start).
@@ -43,7 +45,8 @@ def run_catalog(
     ``raw`` is a CSV directory (read with per-header groups) or an already
     loaded raw DataFrame.  ``order`` is the "first row" order for dedupe and
     the store; it defaults to file order for CSV input and ``row_pos``
-    otherwise.
+    otherwise.  ``position`` names a column of the records that numbers them
+    (unique, e.g. an accession number); their order is then that number's.
     """
     base = out_dir.rstrip("/")
     paths = CatalogRun(
@@ -60,6 +63,10 @@ def run_catalog(
         ingested = ingest_frame(raw)
         order = order or ("row_pos",)
 
+    if position is not None:
+        ingested = ingested.withColumn("row_pos", F.col(position).cast("bigint"))
+        order = ("row_pos",)
+
     ingested.write.mode("overwrite").parquet(paths.ingested)
     cleaned = clean(spark.read.parquet(paths.ingested), order)
     cleaned.write.mode("overwrite").parquet(paths.cleaned)

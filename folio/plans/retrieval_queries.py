@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folio.constants import HASH_BUCKETS, TOKEN_SPLIT_PATTERN, UI_PAGE_SIZE
-from folio.functions import clean_sentinel, display_list, round_vector
-from folio.operators.cleaning import keep_first
+from folio.functions import clean_sentinel, display_list, normalize_isbn, round_vector
+from folio.operators.cleaning import clean, keep_first
 from folio.operators.quality import index_metadata
 from folio.operators.search import browse, browse_deep, fetch_with_scores, lookup_isbn, page_results, search, search_any, with_pages
 from folio.operators.store import to_store_rows
@@ -21,7 +21,7 @@ from folio.operators.vectors import (
     top_k_similar,
     validate_embeddings,
 )
-from folio.plans.cleaning_queries import clean_catalog_df
+from folio.plans.cleaning_queries import KEY_COLUMNS
 from folio.plans.enrichment_queries import enriched_df, enriched_table
 from folio.plans.registry import (
     CATALOG_CTE,
@@ -33,6 +33,7 @@ from folio.plans.registry import (
     register,
     with_ctes,
 )
+from folio.sources.catalog_views import catalog_raw
 from folio.sources.tables import read_table
 
 
@@ -112,11 +113,14 @@ def q_search_any(spark, sf_dir):
 @register(
     "lookup_isbn",
     with_ctes(CATALOG_CTE, NORMALIZED_CTE, CLEAN_CTE)
-    + "SELECT row_pos, record_id, isbn, title FROM catalog_clean WHERE isbn = '9780000000013'",
+    + "SELECT row_pos, record_id, isbn, title FROM catalog_clean WHERE isbn = '9780000000011'",
 )
 def q_lookup_isbn(spark, sf_dir):
-    """point lookup by ISBN typed with separators."""
-    return lookup_isbn(clean_catalog_df(spark, sf_dir), "978-0000-0000-13").select("row_pos", "record_id", "isbn", "title")
+    """point lookup by ISBN typed with separators.  The ISBN is the group
+    key of the dedupe, so the rows of one ISBN are cleaned alone."""
+    raw = catalog_raw(spark, sf_dir).select("row_pos", *KEY_COLUMNS)
+    one = raw.where(normalize_isbn("isbn") == normalize_isbn(F.lit("978-0000-0000-11")))
+    return lookup_isbn(clean(one), "978-0000-0000-11").select("row_pos", "record_id", "isbn", "title")
 
 
 PART_MATCHES = "m AS (SELECT p_partkey, p_name, p_retailprice FROM part WHERE lower(p_name) LIKE '%plate%'), "
