@@ -14,6 +14,10 @@ from folio.session import scratch_path
 from folio.sources.tables import read_table
 
 
+#: Most bytes of an Arrow batch that a Python worker is sent.
+BATCH_BYTES = 8 << 20
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
@@ -63,6 +67,15 @@ def slices(batch: pa.RecordBatch | pa.Array, most: int = 8 << 20) -> Iterator:
         yield batch.slice(i, step)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of this session hold ``BATCH_BYTES`` at most.  With
+    Spark's default of 64 MB, whole texts would take several times that, in
+    the JVM and in the Python worker, for every running task."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def release_memory() -> None:
     """Give freed Arrow and heap memory back to the system: Python workers
     live on between tasks and would keep their largest task's memory."""
@@ -82,11 +95,13 @@ def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBat
                 yield from fn(part)
         release_memory()
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
-def map_column(fn: Callable[[pa.Array], pa.Array], kind: str, column: Column) -> Column:
+def map_column(spark: SparkSession, fn: Callable[[pa.Array], pa.Array], kind: str, column: Column) -> Column:
     """Arrow UDF of one column, applied to a few MB at a time."""
+    small_batches(spark)
 
     @F.arrow_udf(kind)
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:

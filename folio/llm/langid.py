@@ -133,6 +133,6 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
         return pa.StructArray.from_arrays([pa.array([labels[i] for i in at], pa.string()), pa.array(probs[np.arange(len(at)), at], pa.float64())],
                                           names=["lang_pred", "score"])
 
-    out = docs.select(*kept, letters.alias("__letters"), map_column(best, "struct<lang_pred:string,score:double>", F.col(text)).alias("__best"))
+    out = docs.select(*kept, letters.alias("__letters"), map_column(docs.sparkSession, best, "struct<lang_pred:string,score:double>", F.col(text)).alias("__best"))
     return out.select(*kept, F.when(F.col("__letters"), F.col("__best.lang_pred")).otherwise(UNDETERMINED).alias("lang_pred"),
                       F.when(F.col("__letters"), F.col("__best.score")).otherwise(0.0).alias("score"))

@@ -61,7 +61,7 @@ def summaries(docs: DataFrame, net: dict, text: str = "text"):
         got = chunk_summary(net_.value, texts)
         return pa.ListArray.from_arrays(pa.array(np.arange(len(got) + 1, dtype=np.int32) * 4), pa.array(got.ravel()))
 
-    return map_column(run, "array<double>", F.col(text))
+    return map_column(docs.sparkSession, run, "array<double>", F.col(text))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:

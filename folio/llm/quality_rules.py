@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm import wordhash as wh
-from folio.llm.common import broadcast_if_small, map_text, release_memory, row_chunks, slices, text_bytes
+from folio.llm.common import broadcast_if_small, map_text, release_memory, row_chunks, slices, small_batches, text_bytes
 
 BITS = 16
 THRESHOLD = -0.2
@@ -63,6 +63,7 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame) -> tuple[np.ndarray, np.n
         at = np.flatnonzero(total[1])
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0][at]), pa.array(total[1][at])], names=["bucket", "trusted", "raw"])
 
+    small_batches(docs.sparkSession)
     got = marked.mapInArrow(run, "bucket long, trusted long, raw long").groupBy("bucket").agg(F.sum("trusted").alias("t"), F.sum("raw").alias("r"))
     out = np.zeros((2, 1 << BITS), np.int64)
     for b, t, r in got.collect():  # at most 2**BITS rows

@@ -12,14 +12,15 @@ Method
      repeat; its windows need no sorting.  Bucket sizes are pre-aggregated.
   2. The bytes under each remaining run are dealt out by bucket.  Equal
      pieces of one bucket (copies) collapse to one row with a count first.
-  3. One block at a time (whole buckets, bounded bytes) the suffixes at
+  3. One block at a time (whole buckets, ``BLOCK_BYTES`` or one bucket of up
+     to ``LARGE_BYTES``) the suffixes at
      window starts are sorted to depth ``length``: by their first V bytes,
      then, in every tie, against a pivot.  Two suffixes i and j are compared
      through a shift d < V at which both i + d and j + d lie in a difference
      cover modulo V; ranks of the cover sample, computed beforehand by
      prefix doubling, decide that comparison in constant time however long
      the tie is.  Suffixes equal to depth ``length`` are repeats.
-  4. A bucket that exceeds a block is resolved by counting the 128-bit
+  4. A bucket beyond ``LARGE_BYTES`` is resolved by counting the 128-bit
      digests of its windows instead, which Spark spreads over all tasks.
   5. Repeats are carried back to every text and cut out there.
 
@@ -40,10 +41,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from folio.llm import wordhash as wh
-from folio.llm.common import Stages, broadcast_if_small, map_column, map_text, release_memory, row_chunks, text_bytes
+from folio.llm.common import Stages, broadcast_if_small, map_text, release_memory, row_chunks, text_bytes
 
 LENGTH = 400
-BLOCK_BYTES = 1_500_000
+BLOCK_BYTES = 500_000
+LARGE_BYTES = 1_500_000
 PIECE_BYTES = 1 << 20
 PERIOD = 32
 BROADCAST_BUCKETS = 500_000
@@ -60,6 +62,14 @@ def difference_cover(period: int) -> np.ndarray:
     return np.unique([i % period for i in [*range(step), *range(0, period + step, step)]])
 
 
+def cover_shifts(period: int) -> np.ndarray:
+    """For residues a and b the least d with a + d and b + d in the cover."""
+    inside = np.isin(np.arange(period), difference_cover(period))
+    r = np.arange(period)
+    both = inside[(r[:, None, None] + r) % period] & inside[(r[None, :, None] + r) % period]
+    return both.argmax(axis=2)
+
+
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     s = wh.prefix_sums(data)
     n = len(data) - gram + 1
@@ -216,10 +226,7 @@ def repeated_windows(text: np.ndarray, starts: np.ndarray, length: int) -> np.nd
         nxt[there] = srank[order[ahead[there]]] + 1
         _, srank = np.unique(srank * (int(nxt.max()) + 2) + nxt, return_inverse=True)
         size *= 2
-    shift = np.zeros((period, period), np.int64)
-    for a in range(period):
-        for b in range(period):
-            shift[a, b] = next(d for d in range(period) if in_cover[(a + d) % period] and in_cover[(b + d) % period])
+    shift = cover_shifts(period)
 
     def compare(i: np.ndarray, j: np.ndarray) -> np.ndarray:
         d = shift[i % period, j % period]
@@ -339,7 +346,7 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     st.drop("runs", "buckets")
 
     once = st.put(found.groupBy("bucket", "p1", "p2").agg(F.count("*").alias("copies"), F.first("piece").alias("piece")), "once")
-    large = st.put(once.groupBy("bucket").agg(F.sum(F.octet_length("piece")).alias("size")).filter(F.col("size") > BLOCK_BYTES).drop("size"), "large")
+    large = st.put(once.groupBy("bucket").agg(F.sum(F.octet_length("piece")).alias("size")).filter(F.col("size") > LARGE_BYTES).drop("size"), "large")
     n_large = large.count()
     few = broadcast_if_small(large, n_large, BROADCAST_BUCKETS)
     hits = _sort_blocks(once.join(few, "bucket", "left_anti"), length)
@@ -358,9 +365,10 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """All columns of ``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``
-    (maximal removed runs), ``removed`` (their [start, end) ranges) and
-    ``kept_bytes`` (what is left, concatenated).  Columns of ``docs`` with one
-    of these names are replaced."""
+    (maximal removed runs), ``removed`` (their [start, end) ranges),
+    ``kept_bytes`` (what is left, concatenated) and ``kept_text`` (the same as
+    text, without parts of characters at a cut; null if nothing is cut).
+    Columns of ``docs`` with one of these names are replaced."""
     found = repeat_spans(docs, length).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("spans").alias("__spans"))
     row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"))
     joined = row.join(found, [F.col("__row.doc_id").cast("long").eqNullSafe(F.col("__id")),
@@ -370,7 +378,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         data, offs = text_bytes(batch.column("__row").field("text"))
         raw = data.tobytes()
         spans = batch.column("__spans").to_pylist()
-        removed, kept = [], []
+        removed, kept, texts = [], [], []
         for i, found_ in enumerate(spans):
             merged: list[list[int]] = []
             for s in found_ or []:
@@ -385,26 +393,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 at = b
             parts.append(text[at:])
             kept.append(b"".join(parts))
+            texts.append(kept[-1].decode("utf-8", "ignore") if merged else None)
             removed.append([{"start": a, "end": b} for a, b in merged])
         n = np.diff(offs)
         gone = [sum(s["end"] - s["start"] for s in r) for r in removed]
         yield pa.RecordBatch.from_arrays(
             [batch.column("__row"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array([len(r) for r in removed], pa.int64()),
-             pa.array(removed, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(kept, pa.binary())],
-            names=["__row", "n_bytes", "n_removed", "n_spans", "removed", "kept_bytes"])
+             pa.array(removed, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(kept, pa.binary()), pa.array(texts, pa.string())],
+            names=["__row", "n_bytes", "n_removed", "n_spans", "removed", "kept_bytes", "kept_text"])
 
     made = StructType.fromDDL("n_bytes long, n_removed long, n_spans long, "
-                              "removed array<struct<start:int,end:int>>, kept_bytes binary")
+                              "removed array<struct<start:int,end:int>>, kept_bytes binary, kept_text string")
     out = map_text(joined.select("__row", "__spans"), fn, StructType([joined.schema["__row"], *made.fields]))
-    made = ["n_bytes", "n_removed", "n_spans", "removed", "kept_bytes"]
+    made = ["n_bytes", "n_removed", "n_spans", "removed", "kept_bytes", "kept_text"]
     return out.select(*[F.col("__row")[c].alias(c) for c in docs.columns if c not in made], *made)
-
-
-def kept_text(kept_bytes: str = "kept_bytes"):
-    """Column with the kept bytes as text; parts of characters at a cut are
-    left out."""
-
-    def decode(parts: pa.Array) -> pa.Array:
-        return pa.array([None if b is None else b.decode("utf-8", "ignore") for b in parts.to_pylist()], pa.string())
-
-    return map_column(decode, "string", F.col(kept_bytes))

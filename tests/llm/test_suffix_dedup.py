@@ -53,6 +53,7 @@ def test_cut_texts_equal_brute_force(spark, length):
 
 def test_buckets_beyond_a_block_and_pieces_of_long_texts(spark, monkeypatch):
     monkeypatch.setattr(sd, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(sd, "LARGE_BYTES", 300)
     monkeypatch.setattr(sd, "PIECE_BYTES", 64)
     monkeypatch.setattr(sd, "BROADCAST_BUCKETS", -1)
     rows = list(enumerate(texts(9)))
@@ -68,5 +69,9 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
 
 
 def test_kept_text_leaves_out_broken_characters(spark):
-    got = spark.createDataFrame([(bytearray("aé".encode()[:2]),), (None,)], "kept_bytes binary").select(sd.kept_text().alias("t")).collect()
-    assert [r.t for r in got] == ["a", None]
+    rows = [(1, "é" * 8 + "x"), (2, "y" + "é" * 8), (3, "é"), (4, None)]  # odd cuts split characters
+    got = {r.doc_id: (bytes(r.kept_bytes), r.kept_text) for r in sd.remove_repeats(frame(spark, rows), 15).collect()}
+    assert got == {1: (b"x", "x"), 2: (b"y", "y"), 3: ("é".encode(), None), 4: (b"", None)}
+    cut = [(1, "a" + "\u0101" * 9), (2, "\u0101" * 8 + "b")]
+    for r in sd.remove_repeats(frame(spark, cut), 15).collect():
+        assert r.kept_text == bytes(r.kept_bytes).decode("utf-8", "ignore")
