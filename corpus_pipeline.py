@@ -46,7 +46,7 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(docs)
-    text = F.when(F.col("n_removed") > 0, suffix_dedup.kept_text()).otherwise(F.col("text"))
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     out = out.withColumn("text", text).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
