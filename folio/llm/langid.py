@@ -70,6 +70,15 @@ def sample_labelled(docs: DataFrame, label: str, per_label: int) -> DataFrame:
     return docs.filter(below(cuts))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: int) -> DataFrame:
+    """doc_id, text and label of the sampled rows of ``labels`` (a table of
+    doc_id and label; repeated rows count once).  Only ids and labels are
+    ranked; the sample is bounded, so it is broadcast to the texts."""
+    ids = sample_labelled(labels.select(F.col("doc_id").cast("long"), label).distinct(), label, per_label)
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return texts.join(F.broadcast(ids), "doc_id")
+
+
 def training_windows(rows: DataFrame, label: str, length: int, stride: int, per_text: int, fold=lambda data: data) -> tuple[np.ndarray, list]:
     """At most ``per_text`` windows of every row, spread over its whole text,
     cut on the executors and collected (bounded by the sample)."""

@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm import bytecnn
-from folio.llm.common import map_column, row_chunks, text_bytes
-from folio.llm.langid import sample_labelled, training_windows
+from folio.llm.common import Stages, map_column, row_chunks, text_bytes
+from folio.llm.langid import labelled_sample, training_windows
 
 LENGTH = 256
 STRIDE = 224
@@ -78,15 +78,16 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50
     return w
 
 
-def fit(docs: DataFrame, label: str, per_label: int = PER_LABEL, steps: int = STEPS) -> QualityModel:
-    """Learn from the rows of ``docs`` whose ``label`` is 0 or 1."""
-    known = docs.filter(F.col(label).isin(0, 1))
+def fit(docs: DataFrame, labels: DataFrame, label: str, per_label: int = PER_LABEL, steps: int = STEPS) -> QualityModel:
+    """Learn from the rows of ``docs`` whose ``label`` in ``labels`` (doc_id
+    and label) is 0 or 1."""
+    known = labels.filter(F.col(label).isin(0, 1))
     counts = {r[label]: r["count"] for r in known.groupBy(label).count().collect()}  # two rows
     total = sum(counts.values())
     base = counts.get(1, 0) / total if total else 0.5
     if len(counts) < 2:
         return QualityModel(None, np.zeros(4), base)
-    rows = sample_labelled(known, label, per_label)
+    rows = Stages(docs.sparkSession, "quality").put(labelled_sample(docs, known, label, per_label), "sample")
     x, y = training_windows(rows, label, LENGTH, STRIDE, CHUNKS_PER_TEXT)
     net = bytecnn.train(x, np.array(y, np.int64), 2, steps)
     got = rows.select(F.col(label).alias("y"), summaries(rows, net).alias("x")).orderBy("y", "x").toPandas()

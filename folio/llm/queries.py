@@ -32,7 +32,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     the rows that are not held out."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out())
-    model = toxicity.fit(toxicity.graded(docs.join(labels, "doc_id")), "grade")
+    model = toxicity.fit(toxicity.graded(docs, labels), "grade")
     out = toxicity.predict(docs, model)
     return out.select("doc_id", held_out().alias("held_out"), "severity", F.col("at_least")[0].alias("p_toxic"), "grade",
                       (F.col("at_least")[0] >= 0.5).alias("toxic_pred"))
@@ -74,7 +74,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, as ``labels.quality`` marks it."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out())
-    model = quality_cnn.fit(docs.join(labels, "doc_id"), "quality")
+    model = quality_cnn.fit(docs, labels, "quality")
     return quality_cnn.predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
 
 

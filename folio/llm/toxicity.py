@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm import wordhash as wh
-from folio.llm.common import map_text, row_chunks, text_bytes
-from folio.llm.langid import sample_labelled
+from folio.llm.common import Stages, map_text, row_chunks, text_bytes
+from folio.llm.langid import labelled_sample, sample_labelled
 
 BITS = 18
 PREFIX = 5
@@ -142,11 +142,14 @@ def predict(docs: DataFrame, model: SeverityModel) -> DataFrame:
                     "doc_id long, severity double, at_least array<double>, grade int")
 
 
-def graded(docs: DataFrame, toxic: str = "toxic", per_label: int = PER_GRADE) -> DataFrame:
-    """``docs`` with ``grade`` from a 0/1 mark: 0 unmarked, 1 marked, 2 marked
-    and with more words that speak for the mark than the typical (median)
-    marked text.  Words speak for the mark through a first, two-grade fit."""
-    model = fit(docs.withColumn("grade", F.col(toxic)), "grade", per_label)
+def graded(docs: DataFrame, labels: DataFrame, toxic: str = "toxic", per_label: int = 2 * PER_GRADE) -> DataFrame:
+    """A bounded sample of ``docs`` with ``grade`` from the 0/1 mark in
+    ``labels``: 0 unmarked, 1 marked, 2 marked and with more words that speak
+    for the mark than the typical (median) marked text.  Words speak for the
+    mark through a first, two-grade fit on the same rows."""
+    marks = labels.select("doc_id", F.col(toxic).cast("int").alias("toxic")).filter("toxic in (0, 1)")
+    sample = Stages(docs.sparkSession, "toxicity").put(labelled_sample(docs, marks, "toxic", per_label), "sample")
+    model = fit(sample.withColumn("grade", F.col("toxic")), "grade", per_label)
     strong = docs.sparkSession.sparkContext.broadcast(np.flatnonzero(model.weights > 0.5 * max(1e-9, model.weights.max())))
 
     def fn(batch: pa.RecordBatch):
@@ -155,7 +158,6 @@ def graded(docs: DataFrame, toxic: str = "toxic", per_label: int = PER_GRADE) ->
         n = np.bincount(row[np.isin(bucket, strong.value)], minlength=batch.num_rows)
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names), pa.array(n, pa.int32())], names=[*batch.schema.names, "hits"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col(toxic).cast("int").alias("toxic"))
-    rows = map_text(rows.filter("toxic in (0, 1)"), fn, "doc_id long, text string, toxic int, hits int")
+    rows = map_text(sample.select("doc_id", "text", "toxic"), fn, "doc_id long, text string, toxic int, hits int")
     typical = rows.filter("toxic = 1").agg(F.percentile_approx("hits", 0.5)).first()[0] or 0
     return rows.withColumn("grade", F.when(F.col("toxic") == 0, 0).when(F.col("hits") > typical, 2).otherwise(1))

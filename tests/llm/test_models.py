@@ -88,13 +88,13 @@ def test_quality_held_out(spark):
 def test_quality_edges(spark):
     labelled = frame(spark, [(i, ("fine words here " if i % 2 else "## !! $$ ") * (i + 1), i % 2) for i in range(40)] + [(99, "x", None)],
                      "doc_id long, text string, quality int")
-    model = quality_cnn.fit(labelled, "quality", steps=60)
+    model = quality_cnn.fit(labelled, labelled, "quality", steps=60)
     got = quality_cnn.predict(crowded(spark, EDGES), model).collect()
     assert len(got) == len(EDGES) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
     assert quality_cnn.predict(frame(spark, []), model).collect() == []
-    one = quality_cnn.fit(labelled.filter("quality = 1"), "quality")
+    one = quality_cnn.fit(labelled, labelled.filter("quality = 1"), "quality")
     assert [r.score for r in quality_cnn.predict(frame(spark, EDGES[:2]), one).collect()] == [1.0, 1.0]
-    none = quality_cnn.fit(labelled.filter("quality = 7"), "quality")
+    none = quality_cnn.fit(labelled, labelled.filter("quality = 7"), "quality")
     assert [r.score for r in quality_cnn.predict(frame(spark, EDGES[:2]), none).collect()] == [0.5, 0.5]
 
 
@@ -130,7 +130,8 @@ def test_ordinal_cuts_are_ordered_and_share_weights():
 def test_toxicity_edges(spark):
     rows = [(i, "kind words all day" if i % 3 else "vile scum talk" + " scum" * (i % 2) + (" vile idiot" if i % 2 else ""), int(i % 3 == 0)) for i in range(60)] + [(99, "x", None)]
     docs = frame(spark, rows, "doc_id long, text string, toxic int")
-    graded = toxicity.graded(docs)
+    graded = toxicity.graded(docs, docs.unionAll(docs))
+    assert graded.count() == 60
     assert {r.grade for r in graded.collect()} <= {0, 1, 2}
     model = toxicity.fit(graded, "grade")
     got = toxicity.predict(crowded(spark, EDGES), model).collect()
