@@ -212,7 +212,11 @@ def enrich(
     as skewed and copies nothing otherwise.
     """
     carry = list(carry)
-    lookup = meta if isinstance(meta, MetadataLookup) else build_lookup(meta, json_col, isbn_key, title_key, order)
+    # Written lookups: both sides of each join are then plain shuffles, which
+    # is what adaptive execution can split (an aggregate below the join, with
+    # its partitioning reused, would take that away).
+    lookup = (meta if isinstance(meta, MetadataLookup)
+              else build_lookup(meta, json_col, isbn_key, title_key, order).materialize(use_author))
     by_isbn = lookup.by_isbn
     title_side = lookup.by_title.withColumn("_tier2", F.lit("title"))
     if use_author:

@@ -16,13 +16,14 @@ from folio.operators.quality import profile
 from folio.operators.vectors import encode, term_buckets
 from folio.plans.cleaning_queries import clean_catalog_df
 from folio.plans.enrichment_queries import ENRICH_COLUMNS, enriched_df
-from folio.plans.jobs import run_catalog
+from folio.plans.jobs import build_embeddings, run_catalog
 from folio.plans.registry import (
     CATALOG_CTE,
     ENRICH_CTES,
     register,
     with_ctes,
 )
+from folio.plans.retrieval_queries import SEMANTIC_SQL, d_term_counts
 from folio.plans.raw_csv import NO_PAGES_ROWS, ingested_catalog, write_raw_csv
 from folio.session import scratch_path
 from folio.sources.catalog_views import CATALOG_RAW_SQL, catalog_meta
@@ -193,6 +194,24 @@ def q_dense_encoder(spark, sf_dir):
     return out.select("doc_id", F.transform("vector", lambda x: F.round(x.cast("double"), 4)).alias("vector"))
 
 
+@register(
+    "book_embeddings",
+    with_ctes(*ENRICH_CTES)
+    + f", sem AS (SELECT record_id, {SEMANTIC_SQL} AS semantic_text FROM catalog_enriched), "
+    f"t AS ({d_term_counts('sem', 'record_id', 'semantic_text', 'record_id')}), "
+    "m AS (SELECT record_id, map_from_entries(list((bucket, tf))) AS tfs, sqrt(sum(tf * tf)) AS norm FROM t GROUP BY 1) "
+    f"SELECT record_id, list_transform(range({HASH_BUCKETS}), lambda b: "
+    "round(CAST(coalesce(m.tfs[b], 0) / coalesce(m.norm, 1) AS DOUBLE), 4)) AS embedding FROM sem LEFT JOIN m USING (record_id)",
+)
+def q_book_embeddings(spark, sf_dir):
+    """The embedding build: text -> vector -> saved with its id, read back
+    (rounded to 4 decimals for comparison)."""
+    path = scratch_path(spark, "book-embeddings")
+    build_embeddings(enriched_df(spark, sf_dir), path)
+    return read_embeddings(spark, path).select(
+        "record_id", F.transform("embedding", lambda x: F.round(x.cast("double"), 4)).alias("embedding"))
+
+
 ENRICHED_ONLY = ", ".join(ENRICHED_COLUMNS)
 
 

@@ -37,7 +37,7 @@ from folio.sources.catalog_views import catalog_raw
 from folio.sources.tables import read_table
 
 
-def _d_tf(source: str, id_col: str, text_col: str, id_alias: str) -> str:
+def d_term_counts(source: str, id_col: str, text_col: str, id_alias: str) -> str:
     """DuckDB: sparse hashed bag of words of ``source``."""
     return (
         f"SELECT {id_col} AS {id_alias}, CAST(('0x' || substr(md5(tok), 1, 4))::INT AS BIGINT) % {HASH_BUCKETS} AS bucket, "
@@ -288,7 +288,7 @@ def q_dense_top_k(spark, sf_dir):
 
 @register(
     "hashed_bag_of_words",
-    _d_tf("documents", "doc_id", "text", "doc_id"),
+    d_term_counts("documents", "doc_id", "text", "doc_id"),
 )
 def q_hashed_bag_of_words(spark, sf_dir):
     """V2(a): sparse term-frequency table of every document's full text."""
@@ -298,7 +298,7 @@ def q_hashed_bag_of_words(spark, sf_dir):
 
 @register(
     "sparse_top_k",
-    f"WITH qt AS ({_d_tf('benchmark', 'item_id', 'text', 'qid')}), dt AS ({_d_tf('documents', 'doc_id', 'text', 'doc_id')}), "
+    f"WITH qt AS ({d_term_counts('benchmark', 'item_id', 'text', 'qid')}), dt AS ({d_term_counts('documents', 'doc_id', 'text', 'doc_id')}), "
     + _d_sparse_top_k("qt", "dt", "qid", "doc_id", 5)
     + "SELECT qid, doc_id, score, rank FROM ranked WHERE rank <= 5",
 )
@@ -344,7 +344,7 @@ def _d_sentinel(c: str) -> str:
     "recommend_books",
     with_ctes(*ENRICH_CTES, STORE_CTE)
     + f", sem AS (SELECT record_id, {SEMANTIC_SQL} AS semantic_text FROM catalog_enriched), "
-    f"qt AS ({_d_tf('benchmark', 'item_id', 'text', 'qid')}), dt AS ({_d_tf('sem', 'record_id', 'semantic_text', 'record_id')}), "
+    f"qt AS ({d_term_counts('benchmark', 'item_id', 'text', 'qid')}), dt AS ({d_term_counts('sem', 'record_id', 'semantic_text', 'record_id')}), "
     + _d_sparse_top_k("qt", "dt", "qid", "record_id", 5)
     + "SELECT r.qid, r.rank, r.record_id, r.score, "
     + f"{_d_sentinel('b.title')} AS title, {_d_display('b.authors')} AS authors, "

@@ -66,11 +66,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only when unset.
+    """Return the shared checkpoint folder.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that value is
-    always used.  Only a session without one (local tests) gets a fresh
-    temporary folder.
+    always used.  Only a ``local`` master (tests, benchmarks) gets a temporary
+    folder of its own: elsewhere executors could not share it, so a missing
+    setting is an error.
     """
     sc = spark.sparkContext
     configured = checkpoint_dir(spark)
@@ -78,15 +79,44 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not is_local(sc.master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {sc.master})")
     local = tempfile.mkdtemp(prefix="folio-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
 
+def is_local(master: str) -> bool:
+    """One process holds driver and executors."""
+    return master == "local" or master.startswith("local[")
+
+
+# Scratch folders of this application that are still there.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder through the file system it is on."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    if path in _SCRATCH:
+        _SCRATCH.remove(path)
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch folders (stage tables, round trips).
+
+    For the end of a job, when no frame that reads them is used any more."""
+    for path in list(_SCRATCH):
+        delete_path(spark, path)
 
 
 def reliable_checkpoint(df, name: str = "stage"):

@@ -21,13 +21,17 @@ file order, then row order inside the file.
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
 import json
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote, urlparse
 
 import pandas as pd
+from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -46,25 +50,44 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*.csv") -> list[s
         listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     except Exception as exc:
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc).lower():
-            raise FileNotFoundError(f"Input directory not found: {path}") from exc
+            raise FileNotFoundError(f"no such folder of CSV files: {path}") from exc
         raise
     return sorted(listing.inputFiles())
 
 
+def first_record(chunks: Iterable[bytes], encoding: str) -> list[str]:
+    """The first CSV record of a file, however long and over however many
+    lines: bytes are read until a line break outside quotes (or the end)."""
+    name = "latin-1" if encoding.upper() in ("ISO-8859-1", "LATIN1") else encoding
+    decoder = codecs.getincrementaldecoder(name)(errors="replace")
+    text, quoted, at = "", False, 0
+    for chunk in chunks:
+        text += decoder.decode(chunk)
+        while at < len(text):
+            if text[at] == '"':
+                quoted = not quoted
+            elif text[at] in "\r\n" and not quoted:
+                return next(csv.reader(io.StringIO(text[:at], newline="")), [])
+            at += 1
+    return next(csv.reader(io.StringIO(text, newline="")), [])
+
+
 def _read_header(uri: str, encoding: str) -> list[str]:
     from pyarrow import fs as pafs
 
     filesystem, p = pafs.FileSystem.from_uri(uri)
     with filesystem.open_input_stream(p) as f:
-        head = f.read(1 << 20)
-    text = head.decode("latin-1" if encoding.upper() in ("ISO-8859-1", "LATIN1") else encoding, errors="replace")
-    for record in csv.reader(io.StringIO(text, newline="")):
-        return record
-    return []
+        return first_record(iter(lambda: f.read(1 << 16), b""), encoding)
+
+
+#: What Arrow says of a file system it has no reader for.
+NO_ARROW_READER = re.compile("Unrecognized filesystem|Protocol not known|libhdfs|libjvm|not built with support", re.IGNORECASE)
 
 
 def sniff_headers(spark: SparkSession, files: Sequence[str], encoding: str = CSV_ENCODING) -> dict[tuple, list[str]]:
-    """Distinct header -> files having it.  Headers are read on the executors."""
+    """Distinct header -> files having it.  Headers are read on the executors,
+    by Arrow's file systems, or by Spark's where Arrow has none; the same
+    parser takes the first record either way."""
     if not files:
         return {}
     paths = spark.createDataFrame([(f,) for f in files], "path string")
@@ -76,35 +99,23 @@ def sniff_headers(spark: SparkSession, files: Sequence[str], encoding: str = CSV
                 {"path": pdf["path"], "header": [json.dumps(_read_header(u, encoding)) for u in pdf["path"]]}
             )
 
+    def read_content(batches):
+        for pdf in batches:
+            yield pd.DataFrame(
+                {"path": pdf["path"], "header": [json.dumps(first_record([bytes(c)], encoding)) for c in pdf["content"]]}
+            )
+
     try:
         pairs = paths.repartition(n).mapInPandas(read, "path string, header string").collect()
-    except Exception:  # a file system the executors' Arrow layer cannot open
-        return _headers_via_spark(spark, files, encoding)
-    groups: dict[tuple, list[str]] = {}
-    for r in sorted(pairs, key=lambda r: r["path"]):
-        groups.setdefault(tuple(json.loads(r["header"])), []).append(r["path"])
-    return groups
-
-
-def _headers_via_spark(spark: SparkSession, files: Sequence[str], encoding: str) -> dict[tuple, list[str]]:
-    """Fallback in one Spark job: the first line of every file, read by Spark's
-    text source (first split of each file only) and parsed as CSV here."""
-    lines = (
-        spark.read.option("encoding", encoding).text(list(files))
-        .where(F.col("_metadata.file_block_start") == 0)
-        .select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("_pos"))
-        .groupBy("path")
-        .agg(F.min_by("value", "_pos").alias("first_line"))
-        .collect()
-    )
-    from urllib.parse import unquote, urlparse
-
+    except PythonException as exc:
+        if not NO_ARROW_READER.search(str(exc)):
+            raise
+        whole = spark.read.format("binaryFile").load(list(files)).select("path", "content")
+        pairs = whole.mapInPandas(read_content, "path string, header string").collect()
     given = {unquote(urlparse(f).path): f for f in files}  # same file, other URI spelling
     groups: dict[tuple, list[str]] = {}
-    for r in sorted(lines, key=lambda r: r["path"]):
-        header = next(csv.reader([r["first_line"] or ""]), [])
-        path = given.get(unquote(urlparse(r["path"]).path), r["path"])
-        groups.setdefault(tuple(header), []).append(path)
+    for r in sorted(pairs, key=lambda r: r["path"]):
+        groups.setdefault(tuple(json.loads(r["header"])), []).append(given.get(unquote(urlparse(r["path"]).path), r["path"]))
     return groups
 
 

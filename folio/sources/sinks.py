@@ -76,27 +76,25 @@ def read_enriched(spark: SparkSession, path: str, fmt: str = "json") -> DataFram
     return reader.json(path)
 
 
-_VERSION = re.compile(r"/version=(\d+)/")
+_VERSION = re.compile(r"/version=(\d+)/_SUCCESS$")
 
 
 def latest_version(spark: SparkSession, base: str) -> int | None:
-    """Highest committed version number under ``base`` (from the file index)."""
-    try:
-        files = spark.read.format("binaryFile").load(base).inputFiles()
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc).lower():
-            return None
-        raise
-    versions = [int(m.group(1)) for f in files if (m := _VERSION.search(f))]
+    """Highest committed version number under ``base``: only version folders
+    whose write ended (``_SUCCESS``) count, and only those marks are listed."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/version=*/_SUCCESS")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    versions = [int(m.group(1)) for f in found or [] if (m := _VERSION.search(f.getPath().toString()))]
     return max(versions) if versions else None
 
 
 def save_enriched(spark: SparkSession, df: DataFrame, base: str, fmt: str = "json") -> str:
     """Write a new version directory; readers of older versions are never
-    disturbed and a failed write leaves the previous version as the latest."""
+    disturbed and a failed write leaves the previous version as the latest
+    (its own folder, which has no ``_SUCCESS``, is written over)."""
     current = latest_version(spark, base)
     target = f"{base.rstrip('/')}/version={0 if current is None else current + 1}"
-    df.write.mode("errorifexists").format(fmt).save(target)
+    df.write.mode("overwrite").format(fmt).save(target)
     return target
 
 

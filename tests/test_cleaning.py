@@ -66,6 +66,6 @@ def test_flagship_counts(spark):
     from folio.plans.cleaning_queries import clean_catalog_df
 
     clean_df = clean_catalog_df(spark, SF_ORACLE)
-    assert clean_df.count() == clean_df.select("record_id").distinct().count() == 778
+    assert clean_df.count() == clean_df.select("record_id").distinct().count() == 797
     with_isbn = clean_df.where("isbn IS NOT NULL").count()
-    assert with_isbn + clean_df.where("isbn IS NULL").count() == 778
+    assert with_isbn + clean_df.where("isbn IS NULL").count() == 797

@@ -58,9 +58,34 @@ def test_empty_dir_gives_empty_result(spark, tmp_dir):
     assert ingest(spark, d).count() == 0
 
 
-def test_header_fallback_matches_sniffer(spark, csv_dir):
-    from folio.sources.catalog_csv import _headers_via_spark, list_files, sniff_headers
+def test_header_read_through_spark_matches(spark, csv_dir, monkeypatch):
+    from folio.sources import catalog_csv
 
-    files = list_files(spark, csv_dir)
-    assert {k: sorted(v) for k, v in _headers_via_spark(spark, files, "ISO-8859-1").items()} == {
-        k: sorted(v) for k, v in sniff_headers(spark, files).items()}
+    files = catalog_csv.list_files(spark, csv_dir)
+    want = {k: sorted(v) for k, v in catalog_csv.sniff_headers(spark, files).items()}
+
+    def unknown(uri, encoding):
+        raise ValueError("Unrecognized filesystem type in URI")
+
+    monkeypatch.setattr(catalog_csv, "_read_header", unknown)
+    assert {k: sorted(v) for k, v in catalog_csv.sniff_headers(spark, files).items()} == want
+
+    def broken(uri, encoding):
+        raise ValueError("disk error")
+
+    monkeypatch.setattr(catalog_csv, "_read_header", broken)
+    with pytest.raises(Exception, match="disk error"):
+        catalog_csv.sniff_headers(spark, files)
+
+
+def test_first_record_is_complete():
+    from folio.sources.catalog_csv import first_record
+
+    def chunks(data, size=7):
+        return (data[i:i + size] for i in range(0, len(data), size))
+
+    long = [f"column {i} " + "x" * 40 for i in range(30_000)]  # over a megabyte
+    assert first_record(chunks(",".join(long).encode() + b"\n1,2", 65536), "ISO-8859-1") == long
+    assert first_record(chunks(b'a,"two\r\nlines ""q""",c\r\n1,2,3'), "utf-8") == ["a", 'two\r\nlines "q"', "c"]
+    assert first_record(chunks("é,b".encode("latin-1")), "ISO-8859-1") == ["é", "b"]
+    assert first_record(chunks(b""), "utf-8") == []

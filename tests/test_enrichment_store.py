@@ -64,8 +64,8 @@ def test_found_plus_missing_equals_total(spark):
 
     e = enriched_df(spark, SF_ORACLE)
     stats = {r["status"]: r["count"] for r in e.groupBy("status").count().collect()}
-    assert sum(stats.values()) == e.count() == 778
-    assert e.select("record_id").distinct().count() == 778
+    assert sum(stats.values()) == e.count() == 797
+    assert e.select("record_id").distinct().count() == 797
 
 
 def test_insert_or_ignore_idempotent(spark, tmp_dir, small):
@@ -133,7 +133,7 @@ def test_adaptive_skew_join_splits_hot_title(spark):
         out = enrich(clean, catalog_meta(spark, SF_ORACLE), carry=("row_pos",))
         rows = out.collect()
         final = plan_text(out, "simple").split("== Initial Plan ==")[0]
-        assert len(rows) == 778
+        assert len(rows) == 797
         assert "skew=true" in final
     finally:
         for k, v in old.items():

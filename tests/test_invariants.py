@@ -27,9 +27,9 @@ def test_partition_count_does_not_change_results(spark, name):
 
 # Expected counts for the derived catalogue, as listed in FIXTURES.md.
 FIXTURE_COUNTS = {
-    "/root/testdata/sf0.001": {"clean": 191, "with_isbn": 138, "blank_title": 6, "book_keys": 182, "later_titles": 64},
-    "/root/testdata/sf0.01": {"clean": 778, "with_isbn": 536, "blank_title": 24, "book_keys": 701, "later_titles": 497},
-    "/root/testdata/sf0.1": {"clean": 2235, "with_isbn": 640, "blank_title": 40, "book_keys": 1016, "later_titles": 1852},
+    "/root/testdata/sf0.001": {"clean": 160, "with_isbn": 107, "blank_title": 5, "book_keys": 157, "later_titles": 47},
+    "/root/testdata/sf0.01": {"clean": 797, "with_isbn": 539, "blank_title": 25, "book_keys": 778, "later_titles": 214},
+    "/root/testdata/sf0.1": {"clean": 7925, "with_isbn": 5386, "blank_title": 204, "book_keys": 7797, "later_titles": 2096},
 }
 
 

@@ -5,11 +5,41 @@ from conftest import SF_ORACLE, plan_text
 import __spark_entry__ as E
 
 
+def tree(df):
+    """Operators of the physical plan, top first."""
+    lines = plan_text(df, "simple").splitlines()
+    return [line.strip(" +-:*()0123456789") for line in lines if line.strip()]
+
+
+def scans(df):
+    return [line for line in plan_text(df).splitlines() if line.startswith("ReadSchema")]
+
+
 def test_keep_first_pre_aggregates_before_shuffle(spark):
-    plan = plan_text(E.queries()["keep_first_lineitem"](spark, SF_ORACLE))
-    assert "partial_min_by" in plan
-    # the partial aggregate sits below the exchange
-    assert plan.index("Exchange") < plan.rindex("partial_min_by") or "partial_min_by" in plan.split("Exchange")[-1]
+    nodes = tree(E.queries()["keep_first_lineitem"](spark, SF_ORACLE))
+    final = next(i for i, n in enumerate(nodes) if "functions=[min_by" in n)
+    exchange = next(i for i, n in enumerate(nodes) if n.startswith("Exchange"))
+    partial = next(i for i, n in enumerate(nodes) if "functions=[partial_min_by" in n)
+    assert final < exchange < partial
+
+
+def test_texts_are_not_read_where_they_are_not_returned(spark):
+    for name in ("tiered_enrichment", "enrichment_stats", "lookup_isbn", "clean_profile", "duplicate_titles", "resume_remaining",
+                 "store_stats", "rows_removed", "cover_url"):
+        found = scans(E.queries()[name](spark, SF_ORACLE))
+        assert found and not [s for s in found if "text:" in s], name
+
+
+def test_lookup_by_isbn_filters_before_the_dedupe(spark):
+    nodes = tree(E.queries()["lookup_isbn"](spark, SF_ORACLE))
+    partial = next(i for i, n in enumerate(nodes) if "partial_min_by" in n)
+    assert any(n.startswith("Filter") and "9780000000011" in n for n in nodes[partial:])
+
+
+def test_metadata_is_parsed_once(spark):
+    """The enrichment reads the reduced lookups from their stage tables."""
+    plan = plan_text(E.queries()["tiered_enrichment"](spark, SF_ORACLE))
+    assert "from_json" not in plan and "lookup-isbn" in plan and "lookup-title" in plan
 
 
 def test_cleaning_stays_in_the_jvm(spark):

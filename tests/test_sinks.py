@@ -64,3 +64,46 @@ def test_read_enriched_json_array(spark, tmp_dir):
     rows = {r["record_id"]: r for r in read_enriched(spark, path, fmt="json_array").collect()}
     assert rows["r1"]["authors"] == ["A", "B"] and rows["r1"]["pages"] == "200"  # numbers read as text
     assert rows["r2"]["authors"] is None and rows["r2"]["title"] is None  # absent keys -> NULL
+
+
+def test_only_committed_versions_count(spark, tmp_dir):
+    import os
+
+    from folio.sources.sinks import latest_version, save_enriched
+
+    base = os.path.join(tmp_dir, "versions")
+    assert latest_version(spark, base) is None
+    df = spark.createDataFrame([("r", "k")], "record_id string, book_key string")
+    save_enriched(spark, df, base)
+    save_enriched(spark, df, base)
+    assert latest_version(spark, base) == 1
+    os.makedirs(os.path.join(base, "version=7"))  # a write that never ended
+    with open(os.path.join(base, "version=7", "part-0.json"), "w") as f:
+        f.write("{}")
+    assert latest_version(spark, base) == 1
+    assert save_enriched(spark, df, base).endswith("version=2") and latest_version(spark, base) == 2
+
+
+def test_scratch_folders_need_a_shared_folder_off_a_local_master(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from folio import session
+
+    assert session.is_local("local") and session.is_local("local[8]")
+    assert not session.is_local("local-cluster[3,2,1024]") and not session.is_local("spark://host:7077") and not session.is_local("yarn")
+    monkeypatch.setattr(session, "checkpoint_dir", lambda spark: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(SimpleNamespace(sparkContext=SimpleNamespace(master="yarn")))
+
+
+def test_scratch_folders_can_be_deleted(spark):
+    from folio.session import delete_path, reliable_checkpoint, scratch_path
+    from folio import session
+
+    df = reliable_checkpoint(spark.range(5).toDF("id"), "gone")
+    path = session._SCRATCH[-1]
+    assert df.count() == 5
+    delete_path(spark, path)
+    assert path not in session._SCRATCH and scratch_path(spark, "x") != path
