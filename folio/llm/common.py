@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.session import scratch_path
+from folio.session import delete_path, scratch_path
 from folio.sources.tables import read_table
 
 
@@ -40,11 +40,8 @@ class Stages:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
-            path.getFileSystem(conf).delete(path, True)
+            delete_path(self.spark, self.paths.pop(name))
 
 
 def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
