@@ -176,7 +176,7 @@ def read_catalog_csv(
                 F.monotonically_increasing_id().alias("row_pos"),
             )
         )
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return union_sources(parts)
 
 
 def union_sources(dfs: Sequence[DataFrame]) -> DataFrame:
