@@ -49,6 +49,9 @@ LARGE_BYTES = 1_500_000
 PIECE_BYTES = 1 << 20
 PERIOD = 32
 BROADCAST_BUCKETS = 500_000
+#: Rows and array entries (24 bytes at most each) of a side that is broadcast
+#: to the texts; a larger side is joined by a shuffle of the texts.
+BROADCAST_ENTRIES = 2_000_000
 
 
 def gram_length(length: int) -> int:
@@ -330,6 +333,12 @@ def _count_windows(pieces: DataFrame, length: int, st: Stages) -> DataFrame:
     return wins.join(twice, ["w1", "w2"]).select("bucket", "p1", "p2", F.col("win").alias("from_window"), F.col("win").alias("to_window"))
 
 
+def _entries(rows: DataFrame, column: str) -> int:
+    """Rows and array entries of a stage table, which bound its size."""
+    n, entries = rows.agg(F.count("*"), F.sum(F.size(column))).first()
+    return n + (entries or 0)
+
+
 def repeat_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, text_key and ``spans``: merged byte ranges [start, end) of the
     repeats of every text that has any."""
@@ -338,12 +347,13 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     runs = st.put(bucket_runs(docs, length), "runs")
     repeated = st.put(runs.groupBy("bucket").agg(F.sum("weight").alias("n")).filter("n > 1").drop("n"), "buckets")
-    todo = (runs.join(broadcast_if_small(repeated, repeated.count(), BROADCAST_BUCKETS), "bucket").groupBy("doc_id", "text_key")
-            .agg(F.collect_list(F.struct("bucket", "first", "last")).alias("runs")))
+    todo = st.put(runs.join(broadcast_if_small(repeated, repeated.count(), BROADCAST_BUCKETS), "bucket").groupBy("doc_id", "text_key")
+                  .agg(F.collect_list(F.struct("bucket", "first", "last")).alias("runs")), "todo")
+    todo = broadcast_if_small(todo, _entries(todo, "runs"), BROADCAST_ENTRIES)
     keyed = docs.withColumn("text_key", _text_key())
     same = [keyed["doc_id"].eqNullSafe(todo["doc_id"]), keyed["text_key"] == todo["text_key"]]
     found = st.put(_pieces(keyed.join(todo, same).select(keyed["doc_id"], keyed["text_key"], "text", "runs"), length), "pieces")
-    st.drop("runs", "buckets")
+    st.drop("runs", "buckets", "todo")
 
     once = st.put(found.groupBy("bucket", "p1", "p2").agg(F.count("*").alias("copies"), F.first("piece").alias("piece")), "once")
     large = st.put(once.groupBy("bucket").agg(F.sum(F.octet_length("piece")).alias("size")).filter(F.col("size") > LARGE_BYTES).drop("size"), "large")
@@ -369,7 +379,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ``kept_bytes`` (what is left, concatenated) and ``kept_text`` (the same as
     text, without parts of characters at a cut; null if nothing is cut).
     Columns of ``docs`` with one of these names are replaced."""
-    found = repeat_spans(docs, length).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("spans").alias("__spans"))
+    found = repeat_spans(docs, length)
+    found = broadcast_if_small(found, _entries(found, "spans"), BROADCAST_ENTRIES).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("spans").alias("__spans"))
     row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"))
     joined = row.join(found, [F.col("__row.doc_id").cast("long").eqNullSafe(F.col("__id")),
                               F.xxhash64(F.col("__row.text").cast("string")) == F.col("__key")], "left")

@@ -56,6 +56,7 @@ def test_buckets_beyond_a_block_and_pieces_of_long_texts(spark, monkeypatch):
     monkeypatch.setattr(sd, "LARGE_BYTES", 300)
     monkeypatch.setattr(sd, "PIECE_BYTES", 64)
     monkeypatch.setattr(sd, "BROADCAST_BUCKETS", -1)
+    monkeypatch.setattr(sd, "BROADCAST_ENTRIES", -1)
     rows = list(enumerate(texts(9)))
     check(sd.remove_repeats(crowded(spark, rows), 24).collect(), rows, 24)
 
