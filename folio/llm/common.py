@@ -15,7 +15,7 @@ from folio.sources.tables import read_table
 
 
 #: Most bytes of an Arrow batch that a Python worker is sent.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
