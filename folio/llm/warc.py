@@ -18,8 +18,8 @@ writer's files hold ``FILE_RECORDS`` records.
 Defined results: a null html is an empty payload; pages without page_id are
 written and come back without one, and are a response unless a page with an
 id has the same payload; repeated rows with one page_id are all responses if
-that id is the largest; line breaks in urls become spaces; other columns are
-ignored; an empty table writes and returns nothing; an empty file has neither
+that id is the largest; line breaks in urls become spaces; headers (urls) have any
+length; other columns are ignored; an empty table writes and returns nothing; an empty file has neither
 records nor gaps.
 """
 
@@ -39,7 +39,6 @@ from folio.session import scratch_path
 
 LEAST = 1000
 FILE_RECORDS = 2000
-HEADER_BYTES = 1 << 16
 DATE = "1970-01-01T00:00:00Z"
 END = "\r\n\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -90,21 +89,27 @@ def _plain(data: bytes, at: int) -> tuple[int, dict[str, str], bytes] | str:
     """Record at ``at``: its end, headers and block, or why it fails."""
     if data[at:at + 7] != b"WARC/1." or data[at + 8:at + 10] != b"\r\n":
         return "no version line"
-    head = data.find(b"\r\n\r\n", at, at + HEADER_BYTES)
-    if head < 0:
-        return "header without end"
     fields: dict[str, str] = {}
-    for line in data[at + 10:head].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
+    # Lines are read up to the empty one; a version line of a later record has
+    # no colon, so a damaged header ends there.
+    begin = at + 10
+    while (stop := data.find(b"\r\n", begin)) != begin:
+        if stop < 0:
+            return "header without end"
+        name, colon, value = data[begin:stop].partition(b":")
         if not colon:
             return "bad header line"
-        fields[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
+        name = name.strip().lower().decode("utf-8", "replace")
+        if name in fields and name in ("warc-type", "warc-record-id", "content-length"):
+            return "repeated header field"  # a cut header ran on into the next one
+        fields[name] = value.strip().decode("utf-8", "replace")
+        begin = stop + 2
+    begin += 2
     size = fields.get("content-length", "")
     if not size.isdigit():
         return "bad content length"
     if "warc-type" not in fields or "warc-record-id" not in fields:
         return "mandatory field missing"
-    begin = head + 4
     end = begin + int(size)
     if end > len(data):
         return "truncated block"
