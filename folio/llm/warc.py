@@ -7,8 +7,8 @@ duplicated digests are joined back.  A record ends in two line breaks, which
 is the line separator of the text sink, so the archives are written and
 committed by Spark on any file system it knows.
 
-Reading.  Archives (plain records or one gzip member per record) are read as
-binary files and parsed inside tasks.  Version line, header, length, end mark
+Reading.  Archives (plain records or gzip members of any number of records)
+are read as binary files and parsed inside tasks.  Version line, header, length, end mark
 and block digest of every record are checked.  After a failed check the
 reader looks for the next member or version line that passes all checks,
 goes on from there, and reports the bytes between as a gap with the reason.
@@ -39,6 +39,7 @@ from folio.session import scratch_path
 
 LEAST = 1000
 FILE_RECORDS = 2000
+STEP = 1 << 12
 DATE = "1970-01-01T00:00:00Z"
 END = "\r\n\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -121,56 +122,98 @@ def _plain(data: bytes, at: int) -> tuple[int, dict[str, str], bytes] | str:
     return end + 4, fields, block
 
 
-def _member(data: bytes, at: int) -> tuple[int, list[tuple[dict[str, str], bytes]]] | str:
-    """Gzip member at ``at``: its end and its records, or why it fails."""
+def _member(data: bytes, at: int) -> tuple[int, bytes, str]:
+    """Gzip member at ``at``: its end (0 if that is not known), the bytes
+    decompressed up to there or to the damage, and why they end."""
     unzip = zlib.decompressobj(31)
-    parts, pos = [], at
+    parts, pos, why = [], at, ""
     try:
         while not unzip.eof and pos < len(data):
-            parts.append(unzip.decompress(data[pos:pos + 65536]))
-            pos += 65536
+            # Small steps: what a step that fails has decompressed is lost.
+            parts.append(unzip.decompress(data[pos:pos + STEP]))
+            pos += STEP
     except zlib.error:
-        return "damaged gzip member"
-    if not unzip.eof:
-        return "truncated gzip member"
-    end = min(pos, len(data)) - len(unzip.unused_data)
-    plain, p, out = b"".join(parts), 0, []
-    while p < len(plain):
-        got = _plain(plain, p)
-        if isinstance(got, str):
-            return got
-        out.append(got[1:])
-        p = got[0]
-    return (end, out) if out else "empty gzip member"
+        # Again byte by byte, up to the one that fails.
+        unzip = zlib.decompressobj(31)
+        parts, why = [], "damaged gzip member"
+        try:
+            parts.append(unzip.decompress(data[at:pos]))
+            for i in range(pos, min(pos + STEP, len(data))):
+                parts.append(unzip.decompress(data[i:i + 1]))
+        except zlib.error:
+            pass
+    plain = b"".join(parts)
+    if not why and unzip.eof:
+        return min(pos, len(data)) - len(unzip.unused_data), plain, "" if plain else "empty gzip member"
+    return 0, plain, why or "truncated gzip member"
+
+
+def _plain_parts(data: bytes, why: str = "") -> Iterator[tuple]:
+    """Records and gaps of plain bytes; ``why`` the bytes end, if not whole."""
+    at, gap, reason = 0, -1, ""
+    while at < len(data):
+        got = _plain(data, at)
+        if not isinstance(got, str):
+            if gap >= 0:
+                yield "gap", gap, at, reason, None
+                gap = -1
+            yield "record", at, got[0], got[1], got[2]
+            at = got[0]
+            continue
+        if gap < 0:
+            gap, reason = at, why if why and got.startswith(("truncated", "header without")) else got
+        at = data.find(b"WARC/1.", at + 1)
+        if at < 0:
+            at = len(data)
+    if gap >= 0:
+        yield "gap", gap, len(data), reason, None
 
 
 def salvage(data: bytes) -> Iterator[tuple]:
     """('record', start, stop, headers, block) for every record that passes
-    the checks and ('gap', start, stop, reason, None) for the bytes between."""
+    the checks and ('gap', start, stop, reason, None) for the bytes between.
+
+    A gzip member gives its records, also if it is damaged or cut after them;
+    they and the gaps between them have the compressed bytes of the member.  A
+    member without an end reaches to the next member or version line."""
     at, gap, why = 0, -1, ""
     while at < len(data):
+        inner: list[tuple] = []
         if data[at:at + 2] == b"\x1f\x8b":
-            got = _member(data, at)
-            found = None if isinstance(got, str) else (got[0], got[1])
+            end, plain, got = _member(data, at)
+            inner = list(_plain_parts(plain, got))
+            found = any(x[0] == "record" for x in inner)
+            if not found and inner and not got:
+                got = inner[0][3]
         else:
-            got = _plain(data, at)
-            found = None if isinstance(got, str) else (got[0], [(got[1], got[2])])
+            one = _plain(data, at)
+            found = not isinstance(one, str)
+            end, got = (one[0], "") if found else (0, one)
+            inner = [("record", at, end, one[1], one[2])] if found else []
         if found:
             if gap >= 0:
                 yield "gap", gap, at, why, None
                 gap = -1
-            for fields, block in found[1]:
-                yield "record", at, found[0], fields, block
-            at = found[0]
+            stop = end or _next(data, at)
+            for kind, _, _, info, block in inner:
+                yield kind, at, stop, info, block
+            if not end and inner[-1][0] == "record":
+                yield "gap", at, stop, got, None
+            at = stop
             continue
         if gap < 0:
             gap, why = at, got
-        nexts = [p for p in (data.find(b"WARC/1.", at + 1), data.find(b"\x1f\x8b\x08", at + 1)) if p > 0]
-        at = min(nexts, default=len(data))
+        at = _next(data, at)
     if gap >= 0:
         yield "gap", gap, len(data), why, None
 
 
+def _next(data: bytes, at: int) -> int:
+    """Where the next version line or gzip member may be."""
+    nexts = [p for p in (data.find(b"WARC/1.", at + 1), data.find(b"\x1f\x8b\x08", at + 1)) if p > 0]
+    return min(nexts, default=len(data))
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """All records and gaps of the archives under ``path`` (see SCHEMA).
     Payload digest and length of a response are computed from what was read;
