@@ -123,6 +123,13 @@ def contaminated(docs: DataFrame, items: DataFrame, size: int = SIZE, least: int
     """One row per (doc_id, item_id) that is found: ``n_windows`` matched
     along the best alignment, and ``verbatim`` (false: all alignments fill a
     slot with another value)."""
+    return found_lines(docs, items, size, least, windows).groupBy("doc_id", "item_id").agg(
+        F.max("found").alias("n_windows"),
+        F.max(F.forall("pairs", lambda p: p["i"] == p["d"])).alias("verbatim"))
+
+
+def found_lines(docs: DataFrame, items: DataFrame, size: int = SIZE, least: int = LEAST, windows: int = WINDOWS) -> DataFrame:
+    """doc_id, doc_key, item_id, found, pairs of every alignment that counts."""
     hit = matched_windows(docs, items, size, least)
     pair = F.struct("i", "d")
     slots = F.filter(F.zip_with("itoks", "toks", lambda a, b: F.struct(a.alias("i"), b.alias("d"))), lambda s: s["i"] < POINT)
@@ -132,18 +139,16 @@ def contaminated(docs: DataFrame, items: DataFrame, size: int = SIZE, least: int
                   F.array_distinct(F.flatten(F.collect_set("slots"))).alias("pairs")))
     one_to_one = ((F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))))
                   & (F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["d"])))))
-    good = lines.filter(one_to_one & (F.col("found") >= F.least(F.lit(windows), F.col("n_windows"))))
-    return good.groupBy("doc_id", "item_id").agg(
-        F.max("found").alias("n_windows"),
-        F.max(F.forall("pairs", lambda p: p["i"] == p["d"])).alias("verbatim"))
+    return lines.filter(one_to_one & (F.col("found") >= F.least(F.lit(windows), F.col("n_windows"))))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` in which no item is found."""
+    """The rows of ``docs`` in which no item is found.  A row goes for its own
+    text (doc_id and hash of the text), not for another row's with its id."""
     st = Stages(docs.sparkSession, "decontam")
-    bad = st.put(contaminated(docs, items, **options).select(F.col("doc_id").alias("__bad")).distinct(), "bad")
+    bad = st.put(found_lines(docs, items, **options).select(F.col("doc_id").alias("__bad"), F.col("doc_key").alias("__key")).distinct(), "bad")
     few = broadcast_if_small(bad, bad.count(), BROADCAST_DOCS)
-    return docs.join(few, docs["doc_id"].eqNullSafe(F.col("__bad")), "left_anti")
+    return docs.join(few, docs["doc_id"].eqNullSafe(F.col("__bad")) & (F.xxhash64(docs["text"]) == F.col("__key")), "left_anti")
 
 
 def oracle_sql(size: int = SIZE, least: int = LEAST, windows: int = WINDOWS) -> str:

@@ -27,7 +27,8 @@ nothing; texts shorter than a shingle are one shingle.  Rows that repeat a
 doc_id are one document for linking and all come back.  A row without doc_id
 takes part through its text, gets the component of the smallest doc_id it is
 linked with (null if there is none) and is not ``kept`` unless alone.
-Columns besides doc_id and text are ignored.  An empty table gives none.
+(``keep_one`` goes by texts, see there.)  Columns besides doc_id and text are
+ignored.  An empty table gives none.
 """
 
 from __future__ import annotations
@@ -82,8 +83,8 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, fingerprint of the set (f1, f2) and signature."""
+def signatures(docs: DataFrame, size: int, ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``ids``, n_shingles, fingerprint of the set (f1, f2) and signature."""
 
     def fn(batch: pa.RecordBatch):
         n, f1, f2, sigs = [], [], [], []
@@ -96,12 +97,12 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
         flat = pa.array(np.concatenate(sigs))
         offsets = pa.array(np.arange(len(n) + 1, dtype=np.int32) * COORDINATES)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
+            [*(batch.column(c) for c in ids), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
              pa.ListArray.from_arrays(offsets, flat)],
-            names=["doc_id", "n_shingles", "f1", "f2", "sig"])
+            names=[*ids, "n_shingles", "f1", "f2", "sig"])
 
-    return map_text(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), fn,
-                    "doc_id long, n_shingles long, f1 long, f2 long, sig array<int>")
+    return map_text(docs.select(*(F.col(c).cast("long") for c in ids), F.col("text").cast("string")), fn,
+                    "".join(f"{c} long, " for c in ids) + "n_shingles long, f1 long, f2 long, sig array<int>")
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -158,13 +159,31 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, matche
     Links hold where 100 * intersection >= ``percent`` * union.  ``matches``
     of the 64 coordinates is the collision threshold; it suits percent >= 85.
     """
-    spark = docs.sparkSession
-    st = Stages(spark, "near-dup")
+    st = Stages(docs.sparkSession, "near-dup")
     sigs = st.put(signatures(docs, shingle), "sigs")
     classes = st.put(
         sigs.filter("n_shingles > 0 and doc_id is not null").groupBy("f1", "f2")
         .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "classes")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string"))
 
+    def texts_of(members: DataFrame, n_members: int) -> DataFrame:
+        ids = broadcast_if_small(members.select("node").distinct(), n_members, BROADCAST_IDS)
+        return texts.join(ids, "node", "left_semi")
+
+    linked = linked_classes(classes, texts_of, st, shingle, percent, matches)
+    ids = classes.select("f1", "f2", "node").join(linked, "node", "left").select(
+        "f1", "f2", F.coalesce("component", "node").alias("class_id"))
+    ids = st.put(ids, "ids")
+    st.drop("linked", "classes")
+    out = sigs.drop("sig").join(ids, ["f1", "f2"], "left")
+    component = F.coalesce("class_id", "doc_id")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"),
+                      F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+
+
+def linked_classes(classes: DataFrame, texts_of, st: Stages, shingle: int, percent: int, matches: int) -> DataFrame:
+    """node and component of every class (node, n, sig, f1, f2) that is linked
+    with another.  ``texts_of(members, rows)`` gives node and text of them."""
     # Postings: one row per class and coordinate; values held once are dropped.
     tokens = classes.select("node", F.posexplode("sig").alias("k", "v")).select(
         "node", (F.shiftleft(F.col("k").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))).alias("token"))
@@ -189,9 +208,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, matche
         .select("component", F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).alias("blocks")), "cuts")
     members = st.put(nodes.join(cuts, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))), "members")
     n_members = members.count()
-    ids = broadcast_if_small(members.select(F.col("node").alias("doc_id")).distinct(), n_members, BROADCAST_IDS)
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
-    sets = full_sets(texts.select(F.col("doc_id").alias("node"), "text"), shingle)
+    sets = full_sets(texts_of(members, n_members).select("node", "text"), shingle)
     # A doc_id may stand for several texts: each set joins its own class.
     held = classes.select("node", "n", "sig", "f1", "f2")
     full = st.put(sets.withColumn("n", F.expr("octet_length(shingles) div 8")), "sets")
@@ -215,31 +232,46 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, matche
     links = st.put(rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(confirm, "a long, b long"), "links")
     linked = st.put(connected_components(links, st, "final"), "linked")
     st.drop("clusters", "nodes", "cuts", "members", "sets", "links")
+    return linked
 
-    ids = classes.select("f1", "f2", "node").join(linked, "node", "left").select(
-        "f1", "f2", F.coalesce("component", "node").alias("class_id"))
-    ids = st.put(ids, "ids")
-    st.drop("linked", "classes")
-    out = sigs.drop("sig").join(ids, ["f1", "f2"], "left")
-    component = F.coalesce("class_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
 
-
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are the one kept document of their class; of
-    rows that repeat a doc_id one stays.  Rows without doc_id all stay."""
+def keep_one(docs: DataFrame, shingle: int = 3, percent: int = 85, matches: int = MATCHES) -> DataFrame:
+    """The rows of ``docs`` that are the one kept document of their group: the
+    smallest doc_id's.  Every distinct shingle set is a node of its own, so
+    rows that share a doc_id but not the text are grouped by their texts
+    alone; of rows that repeat a doc_id and its set (or are wordless) one
+    stays.  Rows without doc_id all stay."""
     st = Stages(docs.sparkSession, "near-dup-keep")
-    verdict = st.put(near_duplicates(docs, **options).filter("doc_id is not null").groupBy(F.col("doc_id").alias("__id"))
-                     .agg(F.count("*").alias("n"), F.max("kept").alias("kept")), "verdict")
-    gone = verdict.filter("not kept").select("__id")
-    out = docs.join(broadcast_if_small(gone, gone.count(), BROADCAST_IDS), F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
-    again = verdict.filter("kept and n > 1").select("__id")
+    keys = ["doc_id", "doc_key"]
+    keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("doc_key"), F.col("text").cast("string")).filter("doc_id is not null")
+    sigs = st.put(signatures(keyed, shingle, ("doc_id", "doc_key")), "sigs")
+    classes = st.put(
+        sigs.filter("n_shingles > 0").groupBy("f1", "f2")
+        .agg(F.min(F.struct(*keys)).alias("one"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+        .select(F.col("f1").alias("node"), "f1", "f2", "n", "sig", "one.*"), "classes")
+
+    def texts_of(members: DataFrame, n_members: int) -> DataFrame:
+        ids = classes.select("node", *keys).join(members.select("node"), "node")
+        return keyed.join(broadcast_if_small(ids, n_members, BROADCAST_IDS), keys)
+
+    linked = linked_classes(classes, texts_of, st, shingle, percent, matches)
+    one = F.min(F.struct("doc_id", "f1", "f2")).alias("one")
+    best = (classes.join(linked, "node", "left").groupBy(F.coalesce("component", "node").alias("c")).agg(one)
+            .select("one.*", F.lit(True).alias("best")))
+    rows = sigs.groupBy(*keys, "f1", "f2").agg(F.count("*").alias("n"), F.max("n_shingles").alias("words"))
+    first = F.min("doc_key").over(Window.partitionBy("doc_id", "f1", "f2"))
+    kept = (F.col("words") == 0) | F.col("best").isNotNull()
+    verdict = st.put(rows.withColumn("first", first).join(best, ["doc_id", "f1", "f2"], "left")
+                     .select(F.col("doc_id").alias("__id"), F.col("doc_key").alias("__key"), "n", (kept & (F.col("doc_key") == F.col("first"))).alias("kept")),
+                     "verdict")
+    same = (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64("text") == F.col("__key"))
+    gone = verdict.filter("not kept").select("__id", "__key")
+    out = docs.join(broadcast_if_small(gone, gone.count(), BROADCAST_IDS), same, "left_anti")
+    again = verdict.filter("kept and n > 1").select("__id", "__key")
     n_again = again.count()
     if n_again:
         again = broadcast_if_small(again, n_again, BROADCAST_IDS)
-        same = F.col("doc_id").cast("long") == F.col("__id")
-        first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-        one = out.join(again, same, "left_semi").withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
-        out = out.join(again, same, "left_anti").unionByName(one)
+        first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text")
+        single = out.join(again, same, "left_semi").withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
+        out = out.join(again, same, "left_anti").unionByName(single)
     return out
