@@ -7,7 +7,9 @@ window logits of a text are averaged, weighted by the bytes in each window.
 
 Training rows are a bounded sample: per label the ``per_label`` rows with the
 smallest hash of doc_id, and from each at most ``windows_per_text`` windows
-spread over the whole text.  Prediction covers all rows and all bytes.
+spread over the whole text.  Any number of labels is learned; beyond
+``FULL_LABELS`` of them each has a smaller share of the same sample, one row
+at least.  Prediction covers all rows and all bytes.
 
 Defined results: a null text, or one without a letter, is ``und`` with score
 0; extra columns are ignored; a missing or blank label is not learned from;
@@ -19,18 +21,21 @@ order.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm import bytecnn
-from folio.llm.common import map_column, map_text, row_chunks, text_bytes
+from folio.llm.common import Stages, broadcast_if_small, map_column, map_text, row_chunks, text_bytes
 
 LENGTH = 256
 PER_LABEL = 800
 WINDOWS_PER_TEXT = 3
-MOST_LABELS = 500
+FULL_LABELS = 500
+BROADCAST_LABELS = 1_000_000
 STEPS = 600
 UNDETERMINED = "und"
 
@@ -50,24 +55,26 @@ def sample_labelled(docs: DataFrame, label: str, per_label: int) -> DataFrame:
 
     Labels are counted first, which gives a hash below which twice as many
     rows are expected; only those are ranked, so no task sees a whole label.
-    Texts are read for the chosen rows only."""
+    Counts and cuts are stage tables joined to the rows, so any number of
+    labels will do.  Texts are read for the chosen rows only."""
+    st = Stages(docs.sparkSession, "sample")
     h = F.xxhash64(F.col("doc_id").cast("string"))
     docs = docs.filter(F.col("doc_id").isNotNull())
-    counts = docs.groupBy(F.col(label).alias("label")).count().limit(MOST_LABELS + 1).collect()  # one row per label, bounded
-    if len(counts) > MOST_LABELS:
-        raise ValueError(f"more than {MOST_LABELS} labels")
+    counts = st.put(docs.groupBy(F.col(label).alias("__label")).agg(F.count("*").alias("n")), "counts")
+    n = counts.count()
+    if n > FULL_LABELS:
+        per_label = max(1, per_label * FULL_LABELS // n)
 
-    def below(most: dict) -> Column:
-        keep = F.lit(False)
-        for value, cut in most.items():
-            keep = keep | ((F.col(label) == F.lit(value)) & (h <= F.lit(cut)))
-        return keep
+    def below(cuts: DataFrame) -> DataFrame:
+        cuts = broadcast_if_small(cuts, n, BROADCAST_LABELS)
+        return docs.join(cuts, (F.col(label) == F.col("__label")) & (h <= F.col("__most")), "left_semi")
 
-    first = {r["label"]: min(2**63 - 1, 2**64 * 2 * per_label // r["count"] - 2**63) for r in counts}
-    ranks = docs.filter(below(first)).select(F.col(label).alias("label"), h.alias("h")).withColumn(
-        "r", F.row_number().over(Window.partitionBy("label").orderBy("h"))).filter(F.col("r") <= per_label)
-    cuts = {r["label"]: r["most"] for r in ranks.groupBy("label").agg(F.max("h").alias("most")).collect()}
-    return docs.filter(below(cuts))
+    # 2**64 * 2 * per_label / n - 2**63 as a decimal, within the longs.
+    most = F.floor(F.lit(Decimal(2**65 * per_label)).cast("decimal(30,0)") / F.col("n").cast("decimal(19,0)")) - F.lit(Decimal(2**63))
+    first = counts.select("__label", F.when(F.col("n") <= 2 * per_label, F.lit(2**63 - 1)).otherwise(most.cast("long")).alias("__most"))
+    ranks = below(first).select(F.col(label).alias("__label"), h.alias("h")).withColumn(
+        "r", F.row_number().over(Window.partitionBy("__label").orderBy("h"))).filter(F.col("r") <= per_label)
+    return below(st.put(ranks.groupBy("__label").agg(F.max("h").alias("__most")), "cuts"))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: int) -> DataFrame:
@@ -132,14 +139,14 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
     def best(texts: pa.Array) -> pa.Array:
         net, labels, length = model_.value
         data, offs = text_bytes(texts)
-        probs = np.zeros((len(texts), len(labels)))
+        at, top = np.zeros(len(texts), np.int64), np.zeros(len(texts))
         for lo, hi in row_chunks(offs, 1 << 18):
             x, owner, filled = bytecnn.windows(fold_case(data[offs[lo]:offs[hi]]), offs[lo:hi + 1] - offs[lo], length, length)
             z = np.zeros((hi - lo, len(labels)))
             np.add.at(z, owner, bytecnn.logits(net, x) * filled[:, None])
-            probs[lo:hi] = bytecnn.softmax(z / np.bincount(owner, weights=filled)[:, None])
-        at = probs.argmax(axis=1)
-        return pa.StructArray.from_arrays([pa.array([labels[i] for i in at], pa.string()), pa.array(probs[np.arange(len(at)), at], pa.float64())],
+            probs = bytecnn.softmax(z / np.bincount(owner, weights=filled)[:, None])
+            at[lo:hi], top[lo:hi] = probs.argmax(axis=1), probs.max(axis=1)
+        return pa.StructArray.from_arrays([pa.array([labels[i] for i in at], pa.string()), pa.array(top, pa.float64())],
                                           names=["lang_pred", "score"])
 
     out = docs.select(*kept, letters.alias("__letters"), map_column(docs.sparkSession, best, "struct<lang_pred:string,score:double>", F.col(text)).alias("__best"))
