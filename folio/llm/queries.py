@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import decontam, langid, licenses, quality_cnn, quality_rules, toxicity, warc
+from folio.llm import decontam, hard_negatives, langid, licenses, quality_cnn, quality_rules, toxicity, vector_dup, warc, whitening
 from folio.llm.common import documents, held_out
 from folio.llm.near_dup import near_duplicates
 from folio.llm.packing import pack
@@ -88,9 +88,31 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), corpus_pipeline.TOKENIZER)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive of ``embeddings``; the label
+    of every seventh vec_id is moved on first."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every row of ``embeddings``."""
+    rows = whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+    rows = rows.select("*", F.posexplode("whitened").alias("at", "white"))
+    return rows.select("vec_id", (F.col("at") + 1).alias("component"), "n", F.expr("try_cast(deviation as long)").alias("deviation"),
+                       F.col("white").alias("whitened"), F.col("explained")[F.col("at")].alias("explained"), "identity_error")
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every row of ``embeddings``."""
+    return vector_dup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_warc, op2_toxicity, op3_language_id, op4_suffix_array_dedup, op5_license_scan, op6_quality_rules, op7_minhash_near_dedup,
-    op8_quality_classifier, op9_benchmark_decontamination, op10_packing)}
+    op8_quality_classifier, op9_benchmark_decontamination, op10_packing, op11_hard_negatives,
+    op12_embedding_whitening, op13_embedding_near_dedup)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLES: dict[str, str] = {

@@ -1,0 +1,113 @@
+import numpy as np
+import pytest
+
+from folio.llm import vector_dup as vd
+from folio.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, embedding array<double>"
+
+
+def brute(rows, cosine=0.95):
+    """(vec_id, links, component) of every row, comparing all pairs."""
+    width = max([len(v or []) for _, v in rows] + [1])
+    x = np.zeros((len(rows), width))
+    for k, (_, v) in enumerate(rows):
+        if v and all(c is not None and np.isfinite(c) for c in v) and any(v):
+            x[k, :len(v)] = v
+    some = np.flatnonzero(x.any(axis=1))
+    linked = np.zeros((len(rows), len(rows)), bool)
+    if len(some):
+        u = vd.normalised(x[some])
+        linked[np.ix_(some, some)] = u @ u.T >= cosine
+    np.fill_diagonal(linked, False)
+    up = list(range(len(rows)))
+    for a, b in zip(*np.nonzero(linked)):
+        old, new = up[a], up[b]
+        up = [new if c == old else c for c in up]
+    ids = {}
+    for (i, _), c in zip(rows, up):
+        if i is not None:
+            ids[c] = min(ids.get(c, i), i)
+    return sorted(((-1 if i is None else i, int(linked[k].sum()), ids.get(c)) for k, ((i, _), c) in enumerate(zip(rows, up))), key=str)
+
+
+def result(df, **kw):
+    return sorted(((-1 if r.vec_id is None else r.vec_id, r.n_links, r.component_id) for r in vd.near_vectors(df, **kw).collect()), key=str)
+
+
+def turned(rng, x, cosine):
+    z = rng.normal(size=len(x))
+    x = x / np.linalg.norm(x)
+    z -= (z @ x) * x
+    return cosine * x + np.sqrt(1 - cosine**2) * z / np.linalg.norm(z)
+
+
+def vectors(seed=4, hot=120, dims=48):
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=(200, dims))
+    rows = [(i, (v * rng.uniform(0.1, 9)).tolist()) for i, v in enumerate(base)]
+    rows += [(1000 + i, turned(rng, base[i % 40], 0.985).tolist()) for i in range(100)]
+    rows += [(2000 + i, turned(rng, base[3], 0.99).tolist()) for i in range(hot)]  # a hot group of near copies
+    rows += [(3000 + i, base[5].tolist()) for i in range(60)]  # and one of exact copies
+    rows += [(4000 + i, turned(rng, base[50 + i], 0.94).tolist()) for i in range(20)]  # just too far
+    rng.shuffle(rows)
+    return [(int(i), v) for i, v in rows]
+
+
+@pytest.mark.parametrize("block", [512, 16])
+def test_brute_force(spark, monkeypatch, block):
+    """Components are equal; of links, which an index may miss, none is
+    invented and at most one in a thousand is missed."""
+    monkeypatch.setattr(vd, "BLOCK_ROWS", block)
+    monkeypatch.setattr(vd, "BROADCAST_ROWS", -1 if block == 16 else 10**6)
+    rows = vectors()
+    got, want = ({i: (n, c) for i, n, c in r} for r in (result(spark.createDataFrame(rows, SCHEMA).repartition(6)), brute(rows)))
+    assert {i: c for i, (_, c) in got.items()} == {i: c for i, (_, c) in want.items()}
+    assert all(n <= want[i][0] for i, (n, _) in got.items())
+    assert sum(n for n, _ in got.values()) >= 0.999 * sum(n for n, _ in want.values())
+
+
+def test_recall_at_the_threshold(spark):
+    """Pairs at the threshold itself are the hardest: 600 pairs at 0.951."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(600, 64))
+    rows = [(2 * i, v.tolist()) for i, v in enumerate(base)] + [(2 * i + 1, turned(rng, v, 0.951).tolist()) for i, v in enumerate(base)]
+    got = vd.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    found = sum(r.n_links for r in got) / 1200
+    assert 0.97 <= found <= 1
+
+
+def test_a_shared_pair_is_counted_in_one_list():
+    unit = np.array([[1.0, 0.0], [1.0, 0.0], [1.0, 0.0]])
+    ranks = np.array([[1, 2, 3, 9], [1, 2, 3, 9], [0, 1, 2, 9]])
+    one = np.ones(3, int)
+    block = np.zeros(3, int)
+    count, forest = vd.verify(unit[:2], ranks[:2], one[:2], block[:2], np.array([1, 2, 9]), 0.95)
+    assert count.tolist() == [0, 0] and forest == []  # both share 3, which is smaller: not their list
+    count, forest = vd.verify(unit[:2], ranks[:2], one[:2], block[:2], np.array([1, 2, 3]), 0.95)
+    assert count.tolist() == [1, 1] and forest == [(0, 1)]
+
+
+def test_undefined_vectors_repeats_widths_and_extra_columns(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0]), (3, [0.0, 0.0]), (4, None), (5, [None, 1.0]), (6, [nan, 1.0]), (7, [1.0, inf]), (8, []),
+            (None, [1.0, 0.01]), (9, [0.0, 1.0]), (9, [0.0, 1.0]), (10, [-0.0, 1e-300]), (11, [1e300, 1e300]), (None, [-1.0, -1.0])]
+    df = spark.createDataFrame([(*r, 1, "x", 2.0) for r in rows], SCHEMA + ", node int, v string, links double")
+    assert result(df) == brute(rows)
+    kept = {(r.vec_id, r.kept) for r in vd.near_vectors(df).collect()}
+    assert (2, False) in kept and (None, True) in kept and (None, False) in kept and (3, True) in kept
+    assert vd.near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert result(spark.createDataFrame([(1, None), (2, [0.0])], SCHEMA)) == [(1, 0, 1), (2, 0, 2)]
+
+
+def test_pivots_grow_with_the_cube_root():
+    assert [vd.pivot_count(n) for n in (0, 10**6, 10**7, 10**9)] == [512, 512, 1024, 4096]
+    near = np.tile([[1.0, 0.0, 0.0]], (50, 1))
+    points = vd.choose_pivots(near, 8, 3)
+    assert (points @ near[0] > 0.999).sum() == 1 and np.allclose(np.linalg.norm(points, axis=1), 1)
+
+
+def test_query_equals_brute_force(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()]
+    got = QUERIES["op13_embedding_near_dedup"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == brute(rows)
