@@ -11,7 +11,9 @@ Method
      solution within ``gap`` of the optimum, or that no whole sequence can be
      saved.  The first basis takes knapsack
      patterns of the lengths that are left, each until one is used up.
-     Levels are rounded down; a greedy run packs the few pieces left over.
+     Levels are rounded down; the few pieces left over are packed by a greedy
+     run or first fit, whichever takes fewer sequences (and a small histogram
+     by first fit alone, should rounding cost more than that).
   3. Pieces are ranked within their length (bucket counts and offsets, no
      global sort); rank r of a length takes slot r of the patterns' slots
      for it, which names its sequence and offset.
@@ -37,6 +39,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +48,8 @@ from folio.llm.common import Stages, map_text
 SIZE = 1024
 GAP = 2e-4
 BUCKET_ROWS = 50_000
+#: Path of the vocabulary file that the registered queries use.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 MOST_ROUNDS = 2_000
 
 _ENCODERS: dict[str, object] = {}
@@ -54,7 +59,6 @@ PROBE = "It's 3.14 km, naïve ÉÀ  tabs\t\tand\n\nlines…   end 12345 #!?  
 def load_encoder(path: str):
     """``text -> uint32 ids`` for a byte-level BPE vocabulary file."""
     if path not in _ENCODERS:
-        import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
 
@@ -181,6 +185,34 @@ def greedy(lengths: np.ndarray, need: np.ndarray, size: int) -> list[tuple[dict[
     return out
 
 
+def first_fit(lengths: np.ndarray, need: np.ndarray, size: int) -> list[tuple[dict[int, int], int]]:
+    """Patterns of first-fit decreasing; sequences that look alike are one
+    group, so the work grows with the lengths, not with the pieces."""
+    groups: list[list] = []  # room, pattern, how many
+    for k in range(len(lengths) - 1, -1, -1):
+        v, n = int(lengths[k]), int(need[k])
+        opened = []
+        for room, pattern, times in groups:
+            fit = min(room // v, n) if n else 0
+            if fit:
+                full = min(times, n // fit)
+                n -= full * fit
+                opened.append([room - fit * v, pattern | {k: fit}, full])
+                if full < times and n and n < fit:
+                    opened.append([room - n * v, pattern | {k: n}, 1])
+                    full, n = full + 1, 0
+                times -= full
+            if times:
+                opened.append([room, pattern, times])
+        each = size // v
+        if n // each:
+            opened.append([size - each * v, {k: each}, n // each])
+        if n % each:
+            opened.append([size - n % each * v, {k: n % each}, 1])
+        groups = opened
+    return [(pattern, times) for _, pattern, times in groups]
+
+
 def first_basis(lengths: np.ndarray, need: np.ndarray, size: int) -> tuple[list[dict[int, int]], np.ndarray]:
     """A feasible basis: knapsack patterns of the lengths left, each at the
     (fractional) level that uses up one of them, which it is the column of.
@@ -202,12 +234,13 @@ def first_basis(lengths: np.ndarray, need: np.ndarray, size: int) -> tuple[list[
     return basis, level
 
 
-def solve_patterns(lengths: np.ndarray, need: np.ndarray, size: int, gap: float = GAP) -> list[tuple[dict[int, int], int]]:
+def solve_patterns(lengths: np.ndarray, need: np.ndarray, size: int, gap: float = GAP, stats: dict | None = None) -> list[tuple[dict[int, int], int]]:
     """Patterns and multiplicities that pack every piece: the linear program
-    by column generation, rounded down, and the greedy run for the rest."""
+    by column generation, rounded down, and the rest on top.  ``stats`` takes
+    the rounds, the program's objective and the proven bound."""
     basis, x = first_basis(lengths, need, size)
     rhs = need.astype(float)
-    floor = float(need @ lengths) / size
+    bound = float(need @ lengths) / size
 
     def column(pattern: dict[int, int]) -> np.ndarray:
         col = np.zeros(len(lengths))
@@ -217,9 +250,9 @@ def solve_patterns(lengths: np.ndarray, need: np.ndarray, size: int, gap: float
 
     inv = np.linalg.inv(np.stack([column(p) for p in basis], axis=1))
     for step in range(1, MOST_ROUNDS + 1):
-        price = np.maximum(inv.sum(axis=0), 0)  # every sequence costs one
+        price = inv.sum(axis=0)  # every sequence costs one; negative for a length that only gets in the way
         best, last = knapsack(lengths, price, size)
-        bound = max(floor, float(price @ rhs) / max(1.0, best[size]))
+        bound = max(bound, float(price @ rhs) / max(1.0, best[size]))
         if x.sum() <= bound * (1 + gap) or np.ceil(x.sum() - 1e-6) <= np.ceil(bound - 1e-6) or best[size] <= 1 + 1e-9:
             break
         enter = read_pattern(lengths, last, size)
@@ -229,7 +262,10 @@ def solve_patterns(lengths: np.ndarray, need: np.ndarray, size: int, gap: float
             break
         ratio = np.full(len(x), np.inf)
         ratio[up] = np.maximum(x[up], 0) / move[up]
-        out = int(ratio.argmin())
+        # Of equal ratios the largest step in the entering column: no cycle of
+        # steps of length zero on rounding errors.
+        near = ratio <= ratio.min() + 1e-9
+        out = int(np.where(near, move, -np.inf).argmax())
         x -= ratio[out] * move
         x[out] = ratio[out]
         basis[out] = enter
@@ -239,6 +275,10 @@ def solve_patterns(lengths: np.ndarray, need: np.ndarray, size: int, gap: float
         if step % 200 == 0:  # keep rounding errors small
             inv = np.linalg.inv(np.stack([column(p) for p in basis], axis=1))
             x = inv @ rhs
+    else:
+        raise RuntimeError(f"column generation did not end in {MOST_ROUNDS} rounds: {x.sum():.2f} sequences, bound {bound:.2f}")
+    if stats is not None:
+        stats.update(rounds=step, objective=float(x.sum()), bound=bound)
     left = need.copy()
     whole = []
     for pattern, level in zip(basis, x):
@@ -247,7 +287,10 @@ def solve_patterns(lengths: np.ndarray, need: np.ndarray, size: int, gap: float
             for k, a in pattern.items():
                 left[k] -= a * times
             whole.append((pattern, times))
-    return whole + greedy(lengths, left, size)
+    # What rounding down leaves, in the better of two ways.  On a few dozen
+    # pieces rounding can cost more than first fit does in all.
+    ways = [whole + greedy(lengths, left, size), whole + first_fit(lengths, left, size), first_fit(lengths, need, size)]
+    return min(ways, key=lambda way: sum(times for _, times in way))
 
 
 def slots(lengths: np.ndarray, patterns: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:

@@ -39,7 +39,34 @@ def test_patterns_pack_every_piece_near_the_bound(hist):
         for k, a in p.items():
             got[k] += a * times
     assert (got == need).all()
-    assert sum(t for _, t in patterns) <= first_fit(lengths, need, 64) + 1
+    assert sum(t for _, t in patterns) <= first_fit(lengths, need, 64)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 63), st.integers(1, 200), min_size=1, max_size=25))
+def test_first_fit_by_groups(hist):
+    lengths, need = np.array(sorted(hist)), np.array([hist[k] for k in sorted(hist)])
+    patterns = packing.first_fit(lengths, need, 64)
+    got = np.zeros(len(need), int)
+    for p, times in patterns:
+        assert sum(lengths[k] * a for k, a in p.items()) <= 64
+        for k, a in p.items():
+            got[k] += a * times
+    assert (got == need).all() and sum(t for _, t in patterns) == first_fit(lengths, need, 64)
+
+
+def test_random_histograms_reach_the_bound():
+    """200 histograms: never above first fit, and the linear program's bound
+    (the least of the rounds) is reached within two sequences."""
+    rng = np.random.default_rng(17)
+    for t in range(200):
+        lengths = np.sort(rng.choice(np.arange(1, 64), rng.integers(1, 40), replace=False))
+        need = rng.integers(1, [5, 30, 80][t % 3], len(lengths))
+        stats: dict = {}
+        patterns = packing.solve_patterns(lengths, need, 64, stats=stats)
+        n = sum(times for _, times in patterns)
+        assert n <= first_fit(lengths, need, 64)
+        assert n <= np.ceil(stats["bound"] * (1 + packing.GAP) - 1e-6) + 2, (t, n, stats)
 
 
 def test_column_generation_beats_a_poor_start():
@@ -71,13 +98,11 @@ def test_slots_do_not_overlap():
 @pytest.mark.parametrize("text", [packing.PROBE, "", "  a  b ", "<|endoftext|> x", "naïve ÉÀ  日本語 \U0001f600", "\x00\x1c'll 've  \n\n 12345abc"])
 def test_fast_ids_equal_those_of_tokenizers(text):
     slow = Tokenizer.from_file(PATH)
-    slow.encode_special_tokens = True
     assert list(packing.load_encoder(PATH)(text)) == slow.encode(text, add_special_tokens=False).ids
 
 
 def check(rows, got, size=1024):
     slow = Tokenizer.from_file(PATH)
-    slow.encode_special_tokens = True
     want = {}
     for d, t in rows:
         ids = np.array(slow.encode(t or "", add_special_tokens=False).ids + [0], "<u4")
