@@ -101,7 +101,7 @@ def test_undefined_vectors_repeats_widths_and_extra_columns(spark):
 
 
 def test_pivots_grow_with_the_cube_root():
-    assert [vd.pivot_count(n) for n in (0, 10**6, 10**7, 10**9)] == [512, 512, 1024, 4096]
+    assert [vd.pivot_count(n) for n in (0, 10**6, 10**7, 10**9)] == [1024, 1024, 2048, 8192]
     near = np.tile([[1.0, 0.0, 0.0]], (50, 1))
     points = vd.choose_pivots(near, 8, 3)
     assert (points @ near[0] > 0.999).sum() == 1 and np.allclose(np.linalg.norm(points, axis=1), 1)
