@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from folio.llm import decontam, hard_negatives, langid, licenses, quality_cnn, quality_rules, toxicity, vector_dup, warc, whitening
 from folio.llm.common import documents, held_out
 from folio.llm.near_dup import near_duplicates
-from folio.llm.packing import pack
-from folio.llm.suffix_dedup import remove_repeats
+from folio.llm.packing import TOKENIZER, pack
+from folio.llm.suffix_dedup import PASSAGE, remove_repeats
 from folio.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -46,9 +46,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What 400-byte repeats take from every document, and a digest of the rest."""
-    out = remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+    """What 400-byte repeats take from every document, and a digest of the
+    rest.  Beside it, ``n_passage``: bytes under repeats of the length of some
+    50 words, which op4's 400 bytes leave alone."""
+    out = remove_repeats(documents(spark, sf_dir).select("doc_id", "text"), passage=PASSAGE)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"), "n_passage")
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +87,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token pieces of all documents, packed into sequences of 1024."""
-    return pack(documents(spark, sf_dir), corpus_pipeline.TOKENIZER)
+    return pack(documents(spark, sf_dir), TOKENIZER)
 
 
 def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:

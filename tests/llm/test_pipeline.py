@@ -44,14 +44,14 @@ def test_language_keeps_clean_documents(stages):
 
 def test_near_dedup_keeps_one_of_each_group(stages):
     before, after = stages[1][1], stages[2][1]
-    want = components([(r.doc_id, r.text) for r in before])
+    want = components([(r.doc_id, r.text) for r in before], 5, 80)
     assert sorted(r.doc_id for r in after) == sorted(d for d, c in want.items() if d == c)
 
 
 def test_repeats_are_cut(stages):
     before, after = stages[2][1], {r.doc_id: r for r in stages[3][1]}
     assert len(after) == len(before)
-    for r, (gone, _, left) in zip(before, cut_repeats([r.text for r in before], 400)):
+    for r, (gone, _, left) in zip(before, cut_repeats([r.text for r in before], corpus_pipeline.PASSAGE)):
         text = left.decode("utf-8", "ignore") if gone else r.text
         assert after[r.doc_id].text == text
         assert after[r.doc_id].n_chars == (len(text) if gone else r.n_chars)

@@ -61,6 +61,15 @@ def test_buckets_beyond_a_block_and_pieces_of_long_texts(spark, monkeypatch):
     check(sd.remove_repeats(crowded(spark, rows), 24).collect(), rows, 24)
 
 
+@pytest.mark.parametrize("length,passage", [(40, 16), (24, 20)])
+def test_shorter_passages_beside(spark, length, passage):
+    rows = list(enumerate(texts(4)))
+    got = sd.remove_repeats(frame(spark, rows), length, passage).collect()
+    check(got, rows, length)
+    want = {d: r[0] for (d, _), r in zip(rows, cut_repeats([t for _, t in rows], passage))}
+    assert {r.doc_id: r.n_passage for r in got} == want
+
+
 def test_repeated_rows_null_ids_and_empty_table(spark):
     rows = [(1, "abcdefghij" * 3 + "q"), (1, "abcdefghij" * 3 + "q"), (None, "0123456789abcdef"), (None, "xx0123456789abcdef"), (3, None)]
     got = sd.remove_repeats(frame(spark, rows), 16).collect()
@@ -76,3 +85,45 @@ def test_kept_text_leaves_out_broken_characters(spark):
     cut = [(1, "a" + "\u0101" * 9), (2, "\u0101" * 8 + "b")]
     for r in sd.remove_repeats(frame(spark, cut), 15).collect():
         assert r.kept_text == bytes(r.kept_bytes).decode("utf-8", "ignore")
+
+
+def test_hot_piece_and_equal_rows_stay_linear(spark, monkeypatch):
+    """5,000 rows of one text, and one passage in 300 texts: a row per
+    distinct piece, and at most one per piece and text."""
+    made = {}
+    put = sd.Stages.put
+
+    def spy(self, df, name):
+        made[name] = put(self, df, name)
+        return made[name]
+
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    same, passage = word(900), word(120)
+    rows = [(7, same)] * 5000 + [(100 + i, word(150) + passage + word(150)) for i in range(300)]
+    monkeypatch.setattr(sd.Stages, "put", spy)
+    counted = {}
+    drop = sd.Stages.drop
+
+    def note(self, *names):
+        counted.update({n: made[n].count() for n in names if n in made})
+        drop(self, *names)
+
+    monkeypatch.setattr(sd.Stages, "drop", note)
+    got = sd.remove_repeats(frame(spark, rows), 100).collect()
+    assert {(r.n_bytes, r.n_removed) for r in got if r.doc_id == 7} == {(900, 900)}
+    check([r for r in got if r.doc_id != 7], rows[5000:], 100)
+    assert counted["todo"] <= 301 and counted["pieces"] <= 3000 and counted["hits"] <= counted["once"] <= counted["pieces"]
+
+
+@pytest.mark.parametrize("large", [150, 2000])
+def test_large_buckets_are_cut_into_sub_buckets(spark, monkeypatch, large):
+    """Many different pieces around one gram: sorted in sub-buckets, down to
+    single windows."""
+    monkeypatch.setattr(sd, "LARGE_BYTES", large)
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = word(60)
+    rows = [(i, word(rng.randint(0, 40)) + passage[rng.randint(0, 9):] + word(rng.randint(0, 40))) for i in range(120)]
+    rows += [(500 + i, "ab" * (40 + i)) for i in range(20)]  # one gram at many places
+    check(sd.remove_repeats(frame(spark, rows), 50).collect(), rows, 50)
