@@ -9,9 +9,9 @@ next one.  All stages but the last return the columns of ``documents``.
 2. MinHash near-dedup: one document of each near-duplicate group stays.
    Unlike op7 (three words, 0.85) the stage links texts whose sets of
    five-word shingles have a Jaccard similarity of 0.8 or more.
-3. suffix-array dedup: repeated 400-byte strings are cut out of the texts (a
-   character that loses a byte goes whole); n_chars follows.  No row goes;
-   a text may become empty.
+3. suffix-array dedup: repeated strings of ``PASSAGE`` bytes, some 50 words,
+   are cut out of the texts (a character that loses a byte goes whole);
+   n_chars follows.  No row goes; a text may become empty.
 4. benchmark decontamination: documents that hold a benchmark item go.
 5. packing: token pieces, packed into sequences of 1024.
 
@@ -20,7 +20,6 @@ Null and repeated rows: see the operators; rows without doc_id pass through.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +32,11 @@ LEAST_LANGUAGE = 0.3
 #: collision threshold: a pair at 0.8 agrees in 37 of the 64 coordinates with
 #: probability 1 - 1.4e-5 (42, which suits 0.85, would miss one in 450).
 NEAR_SHINGLE, NEAR_PERCENT, NEAR_MATCHES = 5, 80, 37
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Bytes of a passage that repeats (op4 has 400): 51 words are 280 bytes or more
+#: in 99 of 100 documents that share as many with another one; 400 bytes would
+#: leave a quarter of them.
+PASSAGE = suffix_dedup.PASSAGE
+TOKENIZER = packing.TOKENIZER
 
 #: The rows cannot be stated in SQL (trained network, tokenizer).
 ORACLE_SQL = None
@@ -51,7 +54,7 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = suffix_dedup.remove_repeats(docs)
+    out = suffix_dedup.remove_repeats(docs, PASSAGE)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     out = out.withColumn("text", text).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
