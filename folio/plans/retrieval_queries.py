@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from folio.constants import HASH_BUCKETS, TOKEN_SPLIT_PATTERN, UI_PAGE_SIZE
 from folio.functions import clean_sentinel, display_list, normalize_isbn, round_vector
+from folio.operators.ann import build_index, choose_probes, recall, top_k_approx
 from folio.operators.cleaning import clean, keep_first
 from folio.operators.quality import index_metadata
 from folio.operators.search import browse, browse_deep, fetch_with_scores, lookup_isbn, page_results, search, search_any, with_pages
@@ -33,6 +34,7 @@ from folio.plans.registry import (
     register,
     with_ctes,
 )
+from folio.session import reliable_checkpoint, scratch_path
 from folio.sources.catalog_views import catalog_raw
 from folio.sources.tables import read_table
 
@@ -286,6 +288,46 @@ def q_dense_top_k(spark, sf_dir):
     return top_k_similar(queries, emb, 5, query_id="qid", query_vec="vector", item_id="vec_id", item_vec="embedding")
 
 
+def _approx(spark, sf_dir, k=5):
+    """The index of all embeddings, its queries (every hundredth vector) and
+    the approximate top k of them."""
+    emb = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    asked = emb.where(F.col("vec_id") % 100 == 0).withColumnRenamed("vec_id", "qid")
+    index = build_index(emb, scratch_path(spark, "ann-index"), "vec_id")
+    probes = choose_probes(asked, emb, index, k)
+    return emb, asked, top_k_approx(asked, index, k, probes)
+
+
+@register("approx_top_k")
+def q_approx_top_k(spark, sf_dir):
+    """V7: approximate 5 closest vectors of every hundredth one, from the
+    probed buckets of an index, exactly scored."""
+    return _approx(spark, sf_dir)[2].select("qid", "vec_id", "score", "rank")
+
+
+@register(
+    "approx_top_k_recall",
+    "SELECT CAST(count(*) FILTER (WHERE vec_id % 100 = 0) AS BIGINT) AS n_queries, "
+    "CAST(count(*) FILTER (WHERE vec_id % 100 = 0) * least(5, count(*)) AS BIGINT) AS n_exact, "
+    "true AS recall_reached, true AS scores_exact, true AS fewer_scored FROM embeddings",
+)
+def q_approx_top_k_recall(spark, sf_dir):
+    """V7 against V4: at least nine tenths of the exact top 5 are found, with
+    the exact scores, and fewer rows scored than the exact search scores in
+    as many hash tables."""
+    emb, asked, approx = _approx(spark, sf_dir)
+    approx = reliable_checkpoint(approx, "ann-found")
+    exact = reliable_checkpoint(top_k_similar(asked, emb, 5, query_id="qid", item_id="vec_id"), "ann-exact")
+    hits = recall(approx, exact, "qid", "vec_id").agg(F.count("*").alias("n_queries"), F.sum("n_exact").alias("n_exact"), F.sum("n_hits").alias("n_hits"))
+    wrong = (approx.join(exact.select("qid", "vec_id", F.col("score").alias("_exact")), ["qid", "vec_id"])
+             .agg(F.coalesce(F.max(F.abs(F.col("score") - F.col("_exact"))), F.lit(0.0)).alias("off")))
+    scored = approx.groupBy("qid").agg(F.max("n_scored").alias("n")).agg(F.sum("n").alias("scored"))
+    size = emb.agg(F.count("*").alias("items"))
+    return hits.crossJoin(wrong).crossJoin(scored).crossJoin(size).select(  # four rows of one line each
+        "n_queries", "n_exact", (F.col("n_hits") >= 0.9 * F.col("n_exact")).alias("recall_reached"), (F.col("off") <= 1e-6).alias("scores_exact"),
+        (F.col("scored") < 2 * F.col("items") * F.col("n_queries")).alias("fewer_scored"))
+
+
 @register(
     "hashed_bag_of_words",
     d_term_counts("documents", "doc_id", "text", "doc_id"),
