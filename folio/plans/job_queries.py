@@ -38,6 +38,7 @@ from folio.sources.sinks import (
 )
 from folio.sources.tables import read_table
 from folio.streaming.incremental import enrich_stream
+from folio.streaming.keyed import enrich_stream_keyed, read_output
 
 def _d_na(c: str) -> str:
     tokens = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS)
@@ -84,17 +85,9 @@ STORED_ENRICHED = ", ".join(["row_pos", *ENRICHED_COLUMNS, "match_tier"])
 DELIVERIES = 4
 
 
-@register(
-    "incremental_enrichment",
-    with_ctes(*ENRICH_CTES)
-    + f"SELECT {STORED_ENRICHED} FROM (SELECT *, row_number() OVER (PARTITION BY book_key ORDER BY row_pos) AS rn "
-    "FROM catalog_enriched) x WHERE rn = 1",
-)
-def q_incremental_enrichment(spark, sf_dir):
-    """Clean records arrive in four deliveries that repeat the keys of the
-    one before; after each a scheduled streaming run (``availableNow``)
-    enriches the new files, skipping keys already in the output (resume-safe)."""
-    base = scratch_path(spark, "incremental")
+def _deliveries(spark, sf_dir, base):
+    """Clean records staged as four deliveries; yields after each landed, with
+    the schema and the metadata lookup."""
     # Each delivery holds the new keys of its turn and once more those of the
     # turn before.  Staging needs no shuffle: each task writes its own rows, so
     # a key holding many rows is still written by all tasks.
@@ -107,11 +100,38 @@ def q_incremental_enrichment(spark, sf_dir):
     for d in range(DELIVERIES):
         delivery = spark.read.parquet(staged).where(F.col("_turn").isin(d, d - 1)).drop("_turn")
         delivery.write.parquet(f"{base}/source/d{d}")
+        yield schema, lookup
+
+
+INCREMENTAL_SQL = with_ctes(*ENRICH_CTES) + (
+    f"SELECT {STORED_ENRICHED} FROM (SELECT *, row_number() OVER (PARTITION BY book_key ORDER BY row_pos) AS rn "
+    "FROM catalog_enriched) x WHERE rn = 1"
+)
+
+
+@register("incremental_enrichment", INCREMENTAL_SQL)
+def q_incremental_enrichment(spark, sf_dir):
+    """Clean records arrive in four deliveries that repeat the keys of the
+    one before; after each a scheduled streaming run (``availableNow``)
+    enriches the new files, skipping keys already in the output (resume-safe)."""
+    base = scratch_path(spark, "incremental")
+    for schema, lookup in _deliveries(spark, sf_dir, base):
         enrich_stream(spark, f"{base}/source/*", schema, lookup, f"{base}/out", f"{base}/checkpoint",
                       files_per_batch=None)
     return spark.read.parquet(f"{base}/out").select(*STORED_ENRICHED.split(", "))
 
 
+@register("incremental_enrichment_keyed", INCREMENTAL_SQL)
+def q_incremental_enrichment_keyed(spark, sf_dir):
+    """X6 with the finished keys in streaming state: the same deliveries and
+    rows, but no run reads the output."""
+    base = scratch_path(spark, "incremental-keyed")
+    for schema, lookup in _deliveries(spark, sf_dir, base):
+        enrich_stream_keyed(spark, f"{base}/source/*", schema, lookup, f"{base}/out", f"{base}/checkpoint",
+                            files_per_batch=None)
+    return read_output(spark, f"{base}/out").select(*STORED_ENRICHED.split(", "))
+
+
 STORED_ROWS = (
     "row_pos, record_id, book_key, status, accession_no, class_no_book_no, pages, title, "
     "CAST(to_json(authors) AS VARCHAR) AS authors, isbn, year, CAST(to_json(subjects) AS VARCHAR) AS subjects, "
