@@ -28,9 +28,10 @@ from folio.operators.quality import (
     store_stats,
 )
 from folio.operators.store import insert_or_ignore, to_store_rows
+from folio.operators.store_filter import append_filtered
 from folio.plans.cleaning_queries import KEY_COLUMNS, clean_catalog_df
 from folio.plans.raw_csv import ingested_catalog
-from folio.session import reliable_checkpoint
+from folio.session import reliable_checkpoint, scratch_path
 from folio.plans.registry import (
     CATALOG_CTE,
     CLEAN_CTE,
@@ -199,6 +200,26 @@ def q_store_insert_or_ignore(spark, sf_dir):
     )
 
 
+@register(
+    "store_insert_filtered",
+    with_ctes(*ENRICH_CTES)
+    + ", existing AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY book_key ORDER BY row_pos) AS rn "
+    f"FROM catalog_enriched WHERE {EARLIER_RUN}) x WHERE rn = 1), "
+    "incoming AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY book_key ORDER BY row_pos) AS rn "
+    "FROM catalog_enriched) x WHERE rn = 1) "
+    f"SELECT {STORED} FROM existing UNION ALL "
+    f"SELECT {STORED} FROM incoming i WHERE NOT EXISTS "
+    "(SELECT 1 FROM existing e WHERE e.book_key = i.book_key)",
+)
+def q_store_insert_filtered(spark, sf_dir):
+    """S12, J4 with the key filter: the English records are stored, then all
+    records are inserted; only files that may hold one of their keys are read."""
+    enriched = enriched_table(spark, sf_dir)
+    path = scratch_path(spark, "filtered-store")
+    append_filtered(spark, to_store_rows(enriched.where(EARLIER_RUN), keep=["row_pos"]), path)
+    return append_filtered(spark, to_store_rows(enriched, keep=["row_pos"]), path)
+
+
 @register(
     "features",
     with_ctes(*ENRICH_CTES)
