@@ -13,6 +13,7 @@ from folio.operators.cleaning import (
     normalize_catalog,
     require,
 )
+from folio.operators.increments import FirstRows
 from folio.plans.registry import (
     CATALOG_CTE,
     CLEAN_CTE,
@@ -21,6 +22,7 @@ from folio.plans.registry import (
     register,
     with_ctes,
 )
+from folio.session import reliable_checkpoint, scratch_path
 from folio.sources.catalog_views import catalog_raw
 from folio.sources.tables import read_table
 
@@ -132,3 +134,28 @@ def q_keep_first_lineitem(spark, sf_dir):
         "l_partkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
     )
     return keep_first(li, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber"])
+
+
+#: Deliveries of the incremental queries; they arrive from the last to the first.
+DELIVERIES = 4
+
+
+@register(
+    "dedupe_catalog_increments",
+    with_ctes(CATALOG_CTE, NORMALIZED_CTE, CLEAN_CTE)
+    + f"SELECT {CATALOG_COLUMNS} FROM catalog_clean",
+)
+def q_dedupe_catalog_increments(spark, sf_dir):
+    """D1-D3 over deliveries: every catalogue row arrives in one of four,
+    dealt by a hash, so that later rows come before earlier ones; after a compaction halfway the stored table equals
+    one two-tier dedupe over everything."""
+    norm = require(normalize_catalog(catalog_raw(spark, sf_dir)))
+    no_isbn = F.col("isbn").isNull()
+    tiers = {"d_isbn": F.col("isbn"), "d_title": F.when(no_isbn, F.col("title")), "d_author": F.when(no_isbn, F.col("author_editor"))}
+    norm = reliable_checkpoint(norm.withColumns(tiers), "deliveries")
+    table = FirstRows(spark, scratch_path(spark, "first-rows"), list(tiers), buckets=8)
+    for i in reversed(range(DELIVERIES)):
+        table.deliver(norm.where(F.pmod(F.xxhash64("row_pos"), F.lit(DELIVERIES)) == i), f"d{i}")
+        if i == DELIVERIES // 2:
+            table.compact()
+    return table.rows().select(*CATALOG_COLUMNS.split(", "))
