@@ -2,20 +2,28 @@
 only).
 
 Method
-  1. Every whole text becomes tokens.  Numbers, units after a number, and
-     names (capitalised words inside a sentence) are typed slots: the token
-     keeps its value behind a type mark, its canonical form is the mark
-     alone.  Other tokens are lower-cased words.
+  1. Every whole text becomes tokens, in two views.  In the *template* view
+     numbers, units after a number, and names are typed slots: the token keeps
+     its value behind a type mark, its canonical form is the mark alone.  A
+     name is a capitalised word anywhere, also at the start of a sentence,
+     but for common words that sentences start with (``STARTERS``); words of a
+     name that follow each other are one slot, so "Anna" and "Mary Jane" align.
+     In the *plain* view all tokens are lower-cased words and numbers: copies
+     in any case, and items that are mostly slots, are found there.
   2. Benchmark items and documents are cut into windows of ``size`` canonical
      tokens (an item of ``least`` to size - 1 tokens is one window of its own
-     length).  Windows with fewer than ``least`` literal tokens say nothing
-     and are left out.  The windows are joined on their 64-bit hash, the
-     canonical tokens are compared afterwards.
-  3. Matches are grouped by document, item and alignment.  Slots must be
+     length).  Template windows with fewer than ``least`` literal tokens say
+     nothing and are left out; plain windows are all kept.  The windows are
+     joined on their 64-bit hash, the canonical tokens are compared afterwards.
+  3. Matches are grouped by document, item, view and alignment.  Slots must be
      filled consistently: along one alignment equal slot values of the item
      meet equal values of the document and different ones different values.
-     An alignment with ``windows`` matches (or all of a shorter item) counts
-     as the item, verbatim or with other parameters.
+     A template alignment with ``windows`` matches (or all of a shorter item)
+     counts as the item, verbatim or with other parameters; a plain one counts
+     if all windows of the item match, that is, if the whole item is there.
+
+Not found: items re-worded outside their slots, and re-parameterised ones all of
+whose windows are mostly slots ("What is 12 + 45?" with other numbers).
 
 Item windows are broadcast only if their count is within ``BROADCAST_ROWS``;
 beyond that the join shuffles.
@@ -46,29 +54,59 @@ UNITS = (
     "s", "ms", "second", "seconds", "minute", "minutes", "hour", "hours", "day", "days", "week", "weeks", "month", "months",
     "year", "years", "dollar", "dollars", "euro", "euros", "cent", "cents", "degree", "degrees",
 )
+# Words that often start a sentence and are no names.
+STARTERS = (
+    "A", "After", "All", "Also", "Although", "An", "And", "Any", "Are", "As", "At", "Because", "Before", "But", "By", "Calculate",
+    "Can", "Choose", "Compute", "Consider", "Could", "Describe", "Determine", "Did", "Do", "Does", "During", "Each", "Every", "Explain",
+    "Find", "For", "From", "Given", "Has", "Have", "He", "Her", "Here", "His", "How", "However", "I", "If", "In", "Is", "It", "Its", "Let",
+    "Many", "Most", "My", "No", "Not", "Now", "Of", "On", "Once", "One", "Or", "Our", "Select", "She", "Should", "Since", "So", "Some",
+    "Solve", "Suppose", "That", "The", "Their", "Then", "There", "These", "They", "This", "Those", "To", "Two", "Under", "Until", "Was",
+    "We", "Were", "What", "When", "Where", "Which", "While", "Who", "Whose", "Why", "Will", "With", "Would", "Write", "You", "Your",
+)
 NAME, NUMBER, UNIT, POINT = "\x01", "\x02", "\x03", "\x04"
+#: Between the words of one name; around a starter.
+JOIN, PLAIN = "\x05", "\x06"
+TEMPLATE_VIEW, PLAIN_VIEW = 0, 1
 
 
-def slot_tokens(text: Column) -> Column:
-    """Tokens of a text, slots as mark + value."""
+def _numbers(text: Column) -> Column:
+    """The text with marks before numbers and units."""
     units = "|".join(sorted(UNITS, key=len, reverse=True))
     t = F.regexp_replace(text, "(?<=[0-9])[.,](?=[0-9])", POINT)
     t = F.regexp_replace(t, f"([0-9][0-9{POINT}]*)", f" {NUMBER}$1 ")
     t = F.regexp_replace(t, f"({NUMBER}[0-9{POINT}]+ ) ?(?i:({units}))(?![\\p{{L}}0-9])", f"$1{UNIT}$2 ")
-    t = F.when(text.rlike("[0-9]"), t).otherwise(text)
-    t = F.regexp_replace(t, "(?<=[\\p{Ll},;] )(\\p{Lu}\\p{L}*)", f"{NAME}$1")
-    parts = F.split(F.lower(t), f"[^\\p{{L}}0-9%{NAME}{NUMBER}{UNIT}{POINT}]+")
+    return F.when(text.rlike("[0-9]"), t).otherwise(text)
+
+
+def _names(marked: Column) -> Column:
+    """A marked text with marks before names."""
+    starters = "|".join(STARTERS)
+    t = F.regexp_replace(marked, f"(^|[^\\p{{L}}])(?=\\p{{Lu}})({starters})(?!\\p{{L}})", f"$1{PLAIN}$2{PLAIN}")
+    t = F.regexp_replace(t, "(\\p{Lu}\\p{L}*) (?=\\p{Lu})", f"$1{JOIN}")
+    return F.regexp_replace(t, f"(^|[^\\p{{L}}{JOIN}{PLAIN}{UNIT}])(\\p{{Lu}}[\\p{{L}}{JOIN}]*)", f"$1{NAME}$2")
+
+
+def _split(text: Column) -> Column:
+    parts = F.split(F.lower(text), f"[^\\p{{L}}0-9%{NAME}{NUMBER}{UNIT}{POINT}{JOIN}]+")
     return F.filter(F.coalesce(parts, F.array().cast("array<string>")), lambda x: x != "")
 
 
+def _views(rows: DataFrame, *keep: str) -> DataFrame:
+    """view and toks of every row with a ``text``, beside the columns kept.
+    Slots are mark + value in the template view."""
+    marked = rows.withColumn("__marked", _numbers(F.col("text")))
+    both = F.array(_split(_names(F.col("__marked"))), _split(F.translate(F.col("__marked"), NUMBER + UNIT, "")))
+    return marked.select(*keep, F.posexplode(both).alias("view", "toks"))
+
+
 def canonical(tokens: Column) -> Column:
     return F.transform(tokens, lambda x: F.when(x < POINT, F.substring(x, 1, 1)).otherwise(x))
 
 
-def _window_hashes(canon: Column, size: int) -> Column:
-    """xxhash64 of every ``size`` consecutive tokens (none if there are fewer)."""
+def _window_hashes(view: Column, canon: Column, size: int) -> Column:
+    """xxhash64 of the view and every ``size`` consecutive tokens (none if there are fewer)."""
     n = F.size(canon)
-    return F.when(n >= size, F.transform(F.sequence(F.lit(1), n - F.lit(size - 1)), lambda i: F.xxhash64(F.slice(canon, i, size))))
+    return F.when(n >= size, F.transform(F.sequence(F.lit(1), n - F.lit(size - 1)), lambda i: F.xxhash64(view, F.slice(canon, i, size))))
 
 
 def _literals(canon: Column) -> Column:
@@ -76,18 +114,19 @@ def _literals(canon: Column) -> Column:
 
 
 def item_windows(items: DataFrame, size: int, least: int) -> DataFrame:
-    """item_id, ipos, width, h, canon, slots, n_windows of the item."""
-    toks = items.select("item_id", F.xxhash64("text").alias("item_key"), slot_tokens(F.col("text").cast("string")).alias("toks")).filter(F.size("toks") >= least)
+    """item_id, item_key, view, width, ipos, itoks, icanon, h."""
+    items = items.select("item_id", F.xxhash64("text").alias("item_key"), F.col("text").cast("string").alias("text"))
+    toks = _views(items, "item_id", "item_key").filter(F.size("toks") >= least)
     toks = toks.withColumn("width", F.least(F.lit(size), F.size("toks")))
-    cut = toks.select("item_id", "item_key", "width", "toks", F.explode(F.sequence(F.lit(1), F.size("toks") - F.col("width") + 1)).alias("ipos"))
-    cut = cut.select("item_id", "item_key", "width", "ipos", F.slice("toks", F.col("ipos"), F.col("width")).alias("itoks"))
-    cut = cut.withColumn("icanon", canonical(F.col("itoks"))).filter(_literals(F.col("icanon")) >= least)
-    return cut.withColumn("h", F.xxhash64("icanon"))
+    cut = toks.select("item_id", "item_key", "view", "width", "toks", F.explode(F.sequence(F.lit(1), F.size("toks") - F.col("width") + 1)).alias("ipos"))
+    cut = cut.select("item_id", "item_key", "view", "width", "ipos", F.slice("toks", F.col("ipos"), F.col("width")).alias("itoks"))
+    cut = cut.withColumn("icanon", canonical(F.col("itoks"))).filter((F.col("view") == PLAIN_VIEW) | (_literals(F.col("icanon")) >= least))
+    return cut.withColumn("h", F.xxhash64("view", "icanon"))
 
 
 def matched_windows(docs: DataFrame, items: DataFrame, size: int = SIZE, least: int = LEAST) -> DataFrame:
-    """Aligned window matches: doc_id, doc_key, pos, toks (of the document),
-    item_id, ipos, itoks, n_windows (of the item)."""
+    """Aligned window matches: doc_id, doc_key, view, pos, toks (of the document),
+    item_id, item_key, ipos, itoks, n_windows (of the item in that view)."""
     st = Stages(docs.sparkSession, "decontam")
     docs = docs.select("doc_id", F.xxhash64("text").alias("doc_key"), F.col("text").cast("string").alias("text"))
     wins = st.put(item_windows(items, size, least).distinct(), "items")
@@ -95,27 +134,29 @@ def matched_windows(docs: DataFrame, items: DataFrame, size: int = SIZE, least:
     # `width` takes at most size - least + 1 values.
     widths = sorted(r["width"] for r in wins.select("width").distinct().collect())
     small = broadcast_if_small(wins.select("h", "width").distinct(), n_wins, BROADCAST_ROWS)
-    canon = docs.select("doc_id", "doc_key", canonical(slot_tokens(F.col("text"))).alias("canon"))
-    hashes = F.array(*[F.struct(F.lit(w).alias("width"), _window_hashes(F.col("canon"), w).alias("hs")) for w in widths or [size]])
+    canon = _views(docs, "doc_id", "doc_key").select("doc_id", "doc_key", "view", canonical(F.col("toks")).alias("canon"))
     if widths in ([], [size]):
-        flat = canon.select("doc_id", "doc_key", F.posexplode(_window_hashes(F.col("canon"), size)).alias("p", "h")).withColumn("width", F.lit(size))
+        flat = (canon.select("doc_id", "doc_key", "view", F.posexplode(_window_hashes(F.col("view"), F.col("canon"), size)).alias("p", "h"))
+                .withColumn("width", F.lit(size)))
     else:
-        flat = (canon.select("doc_id", "doc_key", F.explode(hashes).alias("w"))
-                .select("doc_id", "doc_key", "w.width", F.posexplode("w.hs").alias("p", "h")))
-    hits = st.put(flat.join(small, ["h", "width"], "left_semi").select("doc_id", "doc_key", (F.col("p") + 1).alias("pos"), "h", "width"), "hits")
+        hashes = F.array(*[F.struct(F.lit(w).alias("width"), _window_hashes(F.col("view"), F.col("canon"), w).alias("hs")) for w in widths])
+        flat = (canon.select("doc_id", "doc_key", "view", F.explode(hashes).alias("w"))
+                .select("doc_id", "doc_key", "view", "w.width", F.posexplode("w.hs").alias("p", "h")))
+    hits = st.put(flat.join(small, ["h", "width"], "left_semi").select("doc_id", "doc_key", "view", (F.col("p") + 1).alias("pos"), "h", "width"), "hits")
     keys = st.put(hits.select(F.col("doc_id").alias("d"), F.col("doc_key").alias("k")).distinct(), "keys")
     keys = broadcast_if_small(keys, keys.count(), BROADCAST_DOCS)
-    full = (docs.join(keys, docs["doc_id"].eqNullSafe(F.col("d")) & (docs["doc_key"] == F.col("k")), "left_semi")
-            .select(F.col("doc_id").alias("d"), F.col("doc_key").alias("k"), slot_tokens(F.col("text")).alias("all")).dropDuplicates(["d", "k"]))
-    at = hits.distinct().groupBy("doc_id", "doc_key").agg(F.collect_list(F.struct("pos", "h", "width")).alias("at"))
-    spots = (at.join(full, at["doc_id"].eqNullSafe(full["d"]) & (at["doc_key"] == full["k"]))
-             .select("doc_id", "doc_key", F.transform("at", lambda a: F.struct(
+    found = docs.join(keys, docs["doc_id"].eqNullSafe(F.col("d")) & (docs["doc_key"] == F.col("k")), "left_semi").dropDuplicates(["doc_id", "doc_key"])
+    full = _views(found, "doc_id", "doc_key").select(F.col("doc_id").alias("d"), F.col("doc_key").alias("k"), F.col("view").alias("v"), F.col("toks").alias("all"))
+    at = hits.distinct().groupBy("doc_id", "doc_key", "view").agg(F.collect_list(F.struct("pos", "h", "width")).alias("at"))
+    spots = (at.join(full, at["doc_id"].eqNullSafe(full["d"]) & (at["doc_key"] == full["k"]) & (at["view"] == full["v"]))
+             .select("doc_id", "doc_key", "view", F.transform("at", lambda a: F.struct(
                  a["pos"].alias("pos"), a["h"].alias("h"), F.slice("all", a["pos"], a["width"]).alias("toks"))).alias("at"))
-             .select("doc_id", "doc_key", F.explode("at").alias("a")).select("doc_id", "doc_key", "a.*"))
-    count = wins.groupBy(F.col("item_id").alias("c_id"), F.col("item_key").alias("c_key")).agg(F.count("*").alias("n_windows"))
-    sized = st.put(wins.join(count, F.col("item_id").eqNullSafe(F.col("c_id")) & (F.col("item_key") == F.col("c_key")))
-                   .select("item_id", "item_key", "ipos", "h", "itoks", "icanon", "n_windows"), "sized")
-    return (spots.join(broadcast_if_small(sized, n_wins, BROADCAST_ROWS), "h")
+             .select("doc_id", "doc_key", "view", F.explode("at").alias("a")).select("doc_id", "doc_key", "view", "a.*"))
+    count = (wins.groupBy(F.col("item_id").alias("c_id"), F.col("item_key").alias("c_key"), F.col("view").alias("c_view"))
+             .agg(F.count("*").alias("n_windows")))
+    same = F.col("item_id").eqNullSafe(F.col("c_id")) & (F.col("item_key") == F.col("c_key")) & (F.col("view") == F.col("c_view"))
+    sized = st.put(wins.join(count, same).select("item_id", "item_key", "view", "ipos", "h", "itoks", "icanon", "n_windows"), "sized")
+    return (spots.join(broadcast_if_small(sized, n_wins, BROADCAST_ROWS), ["h", "view"])
             .filter(canonical(F.col("toks")) == F.col("icanon")).drop("icanon", "h"))
 
 
@@ -134,12 +175,13 @@ def found_lines(docs: DataFrame, items: DataFrame, size: int = SIZE, least: int
     pair = F.struct("i", "d")
     slots = F.filter(F.zip_with("itoks", "toks", lambda a, b: F.struct(a.alias("i"), b.alias("d"))), lambda s: s["i"] < POINT)
     lines = (hit.withColumn("slots", slots)
-             .groupBy("doc_id", "doc_key", "item_id", "item_key", (F.col("pos") - F.col("ipos")).alias("shift"))
+             .groupBy("doc_id", "doc_key", "item_id", "item_key", "view", (F.col("pos") - F.col("ipos")).alias("shift"))
              .agg(F.countDistinct("ipos").alias("found"), F.max("n_windows").alias("n_windows"),
                   F.array_distinct(F.flatten(F.collect_set("slots"))).alias("pairs")))
     one_to_one = ((F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))))
                   & (F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["d"])))))
-    return lines.filter(one_to_one & (F.col("found") >= F.least(F.lit(windows), F.col("n_windows"))))
+    enough = F.when(F.col("view") == PLAIN_VIEW, F.col("n_windows")).otherwise(F.least(F.lit(windows), F.col("n_windows")))
+    return lines.filter(one_to_one & (F.col("found") >= enough))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
@@ -154,35 +196,53 @@ def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 def oracle_sql(size: int = SIZE, least: int = LEAST, windows: int = WINDOWS) -> str:
     """DuckDB SQL for ``contaminated`` over the given tables."""
     units = "|".join(sorted(UNITS, key=len, reverse=True))
+    starters = "|".join(STARTERS)
 
-    def toks(c: str) -> str:
+    # No look-around: where neighbours share a character, two passes.
+    def marked(c: str) -> str:
         t = c
-        for _ in range(2):  # no look-around: neighbours share a digit, so two passes
+        for _ in range(2):
             t = rf"regexp_replace({t}, '([0-9])[.,]([0-9])', '\1' || chr(4) || '\2', 'g')"
         t = rf"regexp_replace({t}, '([0-9][0-9\x04]*)', ' ' || chr(2) || '\1 ', 'g')"
-        t = rf"regexp_replace({t}, '(\x02[0-9\x04]+ ) ?((?i:{units}))([^\p{{L}}0-9]|$)', '\1' || chr(3) || '\2 \3', 'g')"
+        return rf"regexp_replace({t}, '(\x02[0-9\x04]+ ) ?((?i:{units}))([^\p{{L}}0-9]|$)', '\1' || chr(3) || '\2 \3', 'g')"
+
+    def names(c: str) -> str:
+        t = c
+        for _ in range(2):
+            t = rf"regexp_replace({t}, '(^|[^\p{{L}}\x06])({starters})([^\p{{L}}\x06]|$)', '\1' || chr(6) || '\2' || chr(6) || '\3', 'g')"
         for _ in range(2):
-            t = rf"regexp_replace({t}, '([\p{{Ll}},;] )(\p{{Lu}}\p{{L}}*)', '\1' || chr(1) || '\2', 'g')"
-        return rf"list_filter(string_split_regex(lower(coalesce({t}, '')), '[^\p{{L}}0-9%\x01\x02\x03\x04]+'), lambda x: x <> '')"
+            t = rf"regexp_replace({t}, '(\p{{Lu}}\p{{L}}*) (\p{{Lu}})', '\1' || chr(5) || '\2', 'g')"
+        return rf"regexp_replace({t}, '(^|[^\p{{L}}\x03\x05\x06])(\p{{Lu}}[\p{{L}}\x05]*)', '\1' || chr(1) || '\2', 'g')"
+
+    def toks(c: str) -> str:
+        return rf"list_filter(string_split_regex(lower(coalesce({c}, '')), '[^\p{{L}}0-9%\x01\x02\x03\x04\x05]+'), lambda x: x <> '')"
+
+    template, plain = toks(names("marked")), toks("translate(marked, chr(2) || chr(3), '')")
+
+    def views(table: str, keep: str) -> str:
+        return (f"SELECT {keep}, {TEMPLATE_VIEW} AS view, {template} AS toks FROM {table} UNION ALL "
+                f"SELECT {keep}, {PLAIN_VIEW} AS view, {plain} AS toks FROM {table}")
 
     canon = "list_transform({0}, lambda x: CASE WHEN x < chr(4) THEN x[1] ELSE x END)"
     return f"""
-WITH it AS (SELECT DISTINCT item_id, text AS item_key, {toks('text')} AS toks FROM benchmark),
+WITH im AS (SELECT DISTINCT item_id, text AS item_key, {marked('text')} AS marked FROM benchmark),
+it AS ({views('im', 'item_id, item_key')}),
 iw AS (SELECT *, least({size}, len(toks)) AS width FROM it WHERE len(toks) >= {least}),
-ix AS (SELECT item_id, item_key, width, ipos, toks[ipos:ipos + width - 1] AS itoks
+ix AS (SELECT item_id, item_key, view, width, ipos, toks[ipos:ipos + width - 1] AS itoks
        FROM (SELECT *, unnest(range(1, len(toks) - width + 2)) AS ipos FROM iw)),
 iy AS (SELECT *, {canon.format('itoks')} AS canon FROM ix),
-items AS (SELECT *, count(*) OVER (PARTITION BY item_id, item_key) AS n_items FROM iy
-          WHERE len(list_filter(canon, lambda x: x >= chr(4))) >= {least}),
-d AS (SELECT DISTINCT doc_id, text AS doc_key, {toks('text')} AS toks FROM documents),
+items AS (SELECT *, count(*) OVER (PARTITION BY item_id, item_key, view) AS n_items FROM iy
+          WHERE view = {PLAIN_VIEW} OR len(list_filter(canon, lambda x: x >= chr(4))) >= {least}),
+dm AS (SELECT DISTINCT doc_id, text AS doc_key, {marked('text')} AS marked FROM documents),
+d AS ({views('dm', 'doc_id, doc_key')}),
 dc AS (SELECT *, {canon.format('toks')} AS canon FROM d),
-dx AS (SELECT doc_id, doc_key, pos, width, canon[pos:pos + width - 1] AS canon, toks[pos:pos + width - 1] AS toks
+dx AS (SELECT doc_id, doc_key, view, pos, width, canon[pos:pos + width - 1] AS canon, toks[pos:pos + width - 1] AS toks
        FROM (SELECT *, unnest(range(1, len(canon) - width + 2)) AS pos
              FROM dc, (SELECT DISTINCT width FROM items) WHERE len(canon) >= width)),
-hit AS (SELECT doc_id, doc_key, item_id, item_key, pos - ipos AS shift, ipos, n_items,
+hit AS (SELECT doc_id, doc_key, item_id, item_key, view, pos - ipos AS shift, ipos, n_items,
                list_filter(list_transform(list_zip(itoks, toks), lambda z: {{'i': z[1], 'd': z[2]}}), lambda s: s.i < chr(4)) AS slots
-        FROM dx JOIN items USING (canon, width)),
-line AS (SELECT doc_id, doc_key, item_id, item_key, shift, count(DISTINCT ipos) AS found, max(n_items) AS n_items,
+        FROM dx JOIN items USING (canon, width, view)),
+line AS (SELECT doc_id, doc_key, item_id, item_key, view, shift, count(DISTINCT ipos) AS found, max(n_items) AS n_items,
                 list_distinct(flatten(list(slots))) AS pairs
          FROM hit GROUP BY ALL)
 SELECT doc_id, item_id, max(found) AS n_windows,
@@ -190,6 +250,6 @@ SELECT doc_id, item_id, max(found) AS n_windows,
 FROM line
 WHERE len(pairs) = len(list_distinct(list_transform(pairs, lambda p: p.i)))
   AND len(pairs) = len(list_distinct(list_transform(pairs, lambda p: p.d)))
-  AND found >= least({windows}, n_items)
+  AND found >= CASE WHEN view = {PLAIN_VIEW} THEN n_items ELSE least({windows}, n_items) END
 GROUP BY doc_id, item_id
 """
