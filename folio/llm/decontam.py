@@ -64,8 +64,8 @@ STARTERS = (
     "We", "Were", "What", "When", "Where", "Which", "While", "Who", "Whose", "Why", "Will", "With", "Would", "Write", "You", "Your",
 )
 NAME, NUMBER, UNIT, POINT = "\x01", "\x02", "\x03", "\x04"
-#: Between the words of one name; around a starter.
-JOIN, PLAIN = "\x05", "\x06"
+#: Between the words of one name.
+JOIN = "\x05"
 TEMPLATE_VIEW, PLAIN_VIEW = 0, 1
 
 
@@ -79,16 +79,17 @@ def _numbers(text: Column) -> Column:
 
 
 def _names(marked: Column) -> Column:
-    """A marked text with marks before names."""
-    starters = "|".join(STARTERS)
-    t = F.regexp_replace(marked, f"(^|[^\\p{{L}}])(?=\\p{{Lu}})({starters})(?!\\p{{L}})", f"$1{PLAIN}$2{PLAIN}")
-    t = F.regexp_replace(t, "(\\p{Lu}\\p{L}*) (?=\\p{Lu})", f"$1{JOIN}")
-    return F.regexp_replace(t, f"(^|[^\\p{{L}}{JOIN}{PLAIN}{UNIT}])(\\p{{Lu}}[\\p{{L}}{JOIN}]*)", f"$1{NAME}$2")
+    """A marked text with marks before names.  Every pattern starts with a test
+    of one character, which fails fast at nearly all places."""
+    starter = f"(?:{'|'.join(STARTERS)})(?!\\p{{L}})"
+    t = F.regexp_replace(marked, f"(?=\\p{{Lu}})(?!(?<!\\p{{L}}){starter})(\\p{{Lu}}\\p{{L}}*) (?=\\p{{Lu}})(?!{starter})", f"$1{JOIN}")
+    t = F.regexp_replace(t, f"(?=\\p{{Lu}})(?<![\\p{{L}}{JOIN}{UNIT}])([\\p{{L}}{JOIN}]+)", f"{NAME}$1")
+    return F.regexp_replace(t, f"{NAME}((?:{'|'.join(STARTERS)})(?![\\p{{L}}{JOIN}]))", "$1")
 
 
 def _split(text: Column) -> Column:
     parts = F.split(F.lower(text), f"[^\\p{{L}}0-9%{NAME}{NUMBER}{UNIT}{POINT}{JOIN}]+")
-    return F.filter(F.coalesce(parts, F.array().cast("array<string>")), lambda x: x != "")
+    return F.array_remove(F.coalesce(parts, F.array().cast("array<string>")), "")
 
 
 def _views(rows: DataFrame, *keep: str) -> DataFrame:
@@ -103,10 +104,28 @@ def canonical(tokens: Column) -> Column:
     return F.transform(tokens, lambda x: F.when(x < POINT, F.substring(x, 1, 1)).otherwise(x))
 
 
-def _window_hashes(view: Column, canon: Column, size: int) -> Column:
-    """xxhash64 of the view and every ``size`` consecutive tokens (none if there are fewer)."""
-    n = F.size(canon)
-    return F.when(n >= size, F.transform(F.sequence(F.lit(1), n - F.lit(size - 1)), lambda i: F.xxhash64(view, F.slice(canon, i, size))))
+def _with_hashes(rows: DataFrame, canon: Column, widths: list[int]) -> DataFrame:
+    """``rows`` with an array column h<width> for every width: a hash of every
+    ``width`` consecutive tokens (empty if there are fewer).  A token is hashed
+    once; longer spans are put together from two shorter ones.  Each span is a
+    column of its own, so that none is computed twice."""
+    rows = rows.withColumn("h1", F.transform(canon, lambda x: F.xxhash64(x)))
+    done = {1}
+
+    def add(k: int) -> None:
+        nonlocal rows
+        if k in done:
+            return
+        head = 1 << (k - 1).bit_length() - 1  # the largest power of two below k
+        add(head)
+        add(k - head)
+        n = F.greatest(F.lit(0), F.size("h1") - (k - 1))
+        rows = rows.withColumn(f"h{k}", F.zip_with(F.slice(f"h{head}", F.lit(1), n), F.slice(f"h{k - head}", F.lit(head + 1), n), lambda x, y: F.xxhash64(x, y)))
+        done.add(k)
+
+    for w in widths:
+        add(w)
+    return rows
 
 
 def _literals(canon: Column) -> Column:
@@ -121,7 +140,10 @@ def item_windows(items: DataFrame, size: int, least: int) -> DataFrame:
     cut = toks.select("item_id", "item_key", "view", "width", "toks", F.explode(F.sequence(F.lit(1), F.size("toks") - F.col("width") + 1)).alias("ipos"))
     cut = cut.select("item_id", "item_key", "view", "width", "ipos", F.slice("toks", F.col("ipos"), F.col("width")).alias("itoks"))
     cut = cut.withColumn("icanon", canonical(F.col("itoks"))).filter((F.col("view") == PLAIN_VIEW) | (_literals(F.col("icanon")) >= least))
-    return cut.withColumn("h", F.xxhash64("view", "icanon"))
+    widths = list(range(min(least, size), size + 1))
+    cut = _with_hashes(cut, F.col("icanon"), widths)
+    h = F.coalesce(*(F.when(F.col("width") == w, F.get(f"h{w}", F.lit(0))) for w in widths))
+    return cut.select("item_id", "item_key", "view", "width", "ipos", "itoks", "icanon", h.alias("h"))
 
 
 def matched_windows(docs: DataFrame, items: DataFrame, size: int = SIZE, least: int = LEAST) -> DataFrame:
@@ -133,16 +155,16 @@ def matched_windows(docs: DataFrame, items: DataFrame, size: int = SIZE, least:
     n_wins = wins.count()
     # `width` takes at most size - least + 1 values.
     widths = sorted(r["width"] for r in wins.select("width").distinct().collect())
-    small = broadcast_if_small(wins.select("h", "width").distinct(), n_wins, BROADCAST_ROWS)
+    small = broadcast_if_small(wins.select("h", "width", "view").distinct(), n_wins, BROADCAST_ROWS)
+    widths = widths or [size]
     canon = _views(docs, "doc_id", "doc_key").select("doc_id", "doc_key", "view", canonical(F.col("toks")).alias("canon"))
-    if widths in ([], [size]):
-        flat = (canon.select("doc_id", "doc_key", "view", F.posexplode(_window_hashes(F.col("view"), F.col("canon"), size)).alias("p", "h"))
-                .withColumn("width", F.lit(size)))
+    spans = _with_hashes(canon, F.col("canon"), widths)
+    if len(widths) == 1:
+        flat = spans.select("doc_id", "doc_key", "view", F.lit(widths[0]).alias("width"), F.posexplode(f"h{widths[0]}").alias("p", "h"))
     else:
-        hashes = F.array(*[F.struct(F.lit(w).alias("width"), _window_hashes(F.col("view"), F.col("canon"), w).alias("hs")) for w in widths])
-        flat = (canon.select("doc_id", "doc_key", "view", F.explode(hashes).alias("w"))
+        flat = (spans.select("doc_id", "doc_key", "view", F.explode(F.array(*[F.struct(F.lit(w).alias("width"), F.col(f"h{w}").alias("hs")) for w in widths])).alias("w"))
                 .select("doc_id", "doc_key", "view", "w.width", F.posexplode("w.hs").alias("p", "h")))
-    hits = st.put(flat.join(small, ["h", "width"], "left_semi").select("doc_id", "doc_key", "view", (F.col("p") + 1).alias("pos"), "h", "width"), "hits")
+    hits = st.put(flat.join(small, ["h", "width", "view"], "left_semi").select("doc_id", "doc_key", "view", (F.col("p") + 1).alias("pos"), "h", "width"), "hits")
     keys = st.put(hits.select(F.col("doc_id").alias("d"), F.col("doc_key").alias("k")).distinct(), "keys")
     keys = broadcast_if_small(keys, keys.count(), BROADCAST_DOCS)
     found = docs.join(keys, docs["doc_id"].eqNullSafe(F.col("d")) & (docs["doc_key"] == F.col("k")), "left_semi").dropDuplicates(["doc_id", "doc_key"])
