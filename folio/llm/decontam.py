@@ -159,11 +159,10 @@ def matched_windows(docs: DataFrame, items: DataFrame, size: int = SIZE, least:
     widths = widths or [size]
     canon = _views(docs, "doc_id", "doc_key").select("doc_id", "doc_key", "view", canonical(F.col("toks")).alias("canon"))
     spans = _with_hashes(canon, F.col("canon"), widths)
-    if len(widths) == 1:
-        flat = spans.select("doc_id", "doc_key", "view", F.lit(widths[0]).alias("width"), F.posexplode(f"h{widths[0]}").alias("p", "h"))
-    else:
-        flat = (spans.select("doc_id", "doc_key", "view", F.explode(F.array(*[F.struct(F.lit(w).alias("width"), F.col(f"h{w}").alias("hs")) for w in widths])).alias("w"))
-                .select("doc_id", "doc_key", "view", "w.width", F.posexplode("w.hs").alias("p", "h")))
+    # One path for any number of widths: exploding an array column itself would
+    # have Spark test its size below, which computes all hashes a second time.
+    flat = (spans.select("doc_id", "doc_key", "view", F.explode(F.array(*[F.struct(F.lit(w).alias("width"), F.col(f"h{w}").alias("hs")) for w in widths])).alias("w"))
+            .select("doc_id", "doc_key", "view", "w.width", F.posexplode("w.hs").alias("p", "h")))
     hits = st.put(flat.join(small, ["h", "width", "view"], "left_semi").select("doc_id", "doc_key", "view", (F.col("p") + 1).alias("pos"), "h", "width"), "hits")
     keys = st.put(hits.select(F.col("doc_id").alias("d"), F.col("doc_key").alias("k")).distinct(), "keys")
     keys = broadcast_if_small(keys, keys.count(), BROADCAST_DOCS)
