@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.operators.cleaning import keep_first
-from folio.session import delete_path
+from folio.session import delete_path, finished_parts
 
 BUCKETS = 64
 BUCKET = "key_bucket"
@@ -95,18 +95,9 @@ class FirstRows:
         # The schema is kept beside the rows, so that a part without rows can be read.
         dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
-    def _fs(self):
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
     def parts(self) -> list[str]:
         """Finished parts.  One listing of the table's folder: a name per delivery since the last compaction."""
-        root, fs = self._fs()
-        if not fs.exists(root):
-            return []
-        make = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        found = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
-        return sorted(p.toString() for p in found if fs.exists(make(p, "_SUCCESS")))
+        return finished_parts(self.spark, self.path)
 
     def _stored(self, parts: Sequence[str]) -> DataFrame | None:
         out = None

@@ -27,6 +27,7 @@ from folio.operators.quality import (
     stage_summary,
     store_stats,
 )
+from folio.operators.sketches import SketchTable, error
 from folio.operators.store import insert_or_ignore, to_store_rows
 from folio.operators.store_filter import append_filtered
 from folio.plans.cleaning_queries import KEY_COLUMNS, clean_catalog_df
@@ -425,3 +426,29 @@ def q_stage_summary(spark, sf_dir):
 def q_store_stats(spark, sf_dir):
     """A9."""
     return store_stats(enriched_df(spark, sf_dir))
+
+
+# Deliveries of order lines that are sketched one by one.
+SKETCHED = 4
+
+
+@register(
+    "distinct_by_month",
+    "SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS n_rows, count(DISTINCT l_partkey) AS n_parts, "
+    "count(DISTINCT l_orderkey) AS n_orders, true AS within_bound FROM lineitem GROUP BY 1",
+)
+def q_distinct_by_month(spark, sf_dir):
+    """A2, A9 from sketches of four deliveries, stored by day and put together
+    by month, held against exact counts."""
+    lines = read_table(spark, sf_dir, "lineitem").withColumn("day", F.col("l_shipdate").cast("date"))
+    lines = lines.select("day", "l_partkey", "l_orderkey", "l_linenumber")
+    table = SketchTable(spark, scratch_path(spark, "sketches"), ["l_partkey", "l_orderkey"], by=["month", "day"])
+    lines = lines.withColumn("month", F.trunc("day", "month"))
+    for i in range(SKETCHED):
+        table.deliver(lines.where(F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(SKETCHED)) == i), f"d{i}")
+    exact = lines.groupBy("month").agg(F.count_distinct("l_partkey").alias("n_parts"), F.count_distinct("l_orderkey").alias("n_orders"))
+    got = table.estimates(by=["month"]).withColumnRenamed("month", "_month")
+    near = F.lit(True)
+    for est, want in (("n_distinct_l_partkey", "n_parts"), ("n_distinct_l_orderkey", "n_orders")):
+        near = near & (F.abs(F.col(est) - F.col(want)) <= error() * F.col(want))
+    return exact.join(got, F.col("month").eqNullSafe(F.col("_month"))).select("month", "n_rows", "n_parts", "n_orders", near.alias("within_bound"))

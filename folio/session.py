@@ -111,6 +111,17 @@ def delete_path(spark: SparkSession, path: str) -> None:
         _SCRATCH.remove(path)
 
 
+def finished_parts(spark: SparkSession, path: str) -> list[str]:
+    """Folders under ``path`` whose write was finished (they have a success mark), by name; none if there is no ``path``."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    root = make(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
+    return sorted(p.toString() for p in found if fs.exists(make(p, "_SUCCESS")))
+
+
 def clean_scratch(spark: SparkSession) -> None:
     """Delete this application's scratch folders (stage tables, round trips).
 
