@@ -22,6 +22,8 @@ from folio.operators.vectors import (
     top_k_similar,
     validate_embeddings,
 )
+from folio.operators.digests import validate_by_digests
+from folio.operators.paging import PageIndex
 from folio.plans.cleaning_queries import KEY_COLUMNS
 from folio.plans.enrichment_queries import enriched_df, enriched_table
 from folio.plans.registry import (
@@ -172,6 +174,29 @@ def q_browse_deep_page(spark, sf_dir):
     return browse_deep(lines, LINE_ORDER, skip=lines.count() * 9 // 10, limit=50)
 
 
+_AFTER_NINE_TENTHS = (
+    "WITH m AS (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, l_quantity, l_extendedprice FROM lineitem) "
+    "SELECT * FROM m ORDER BY l_orderkey, l_linenumber, l_partkey, l_shipdate LIMIT 50 OFFSET (SELECT count(*) * 9 // 10{more} FROM lineitem)"
+)
+
+
+@register("browse_indexed_page", _AFTER_NINE_TENTHS.format(more=""))
+def q_browse_indexed_page(spark, sf_dir):
+    """L1 from a stored range index of all order lines: the page after nine tenths."""
+    lines = _lines(spark, sf_dir)
+    index = PageIndex.build(lines, scratch_path(spark, "page-index"), LINE_ORDER)
+    return index.page(lines.count() * 9 // 10, 50)
+
+
+@register("browse_seek_page", _AFTER_NINE_TENTHS.format(more=" + 1"))
+def q_browse_seek_page(spark, sf_dir):
+    """L1 by key: the 50 order lines after the one that follows nine tenths of them."""
+    lines = _lines(spark, sf_dir)
+    index = PageIndex.build(lines, scratch_path(spark, "page-index"), LINE_ORDER)
+    seen = index.page(lines.count() * 9 // 10, 1).first()
+    return index.seek([seen[c] for c in LINE_ORDER], 50)
+
+
 @register(
     "browse_catalog",
     with_ctes(*ENRICH_CTES, STORE_CTE)
@@ -270,6 +295,14 @@ def q_validate_repeated_ids(spark, sf_dir):
     return validate_embeddings(ids, emb.select("id", "embedding"), "id")
 
 
+@register("validate_by_digests", _d_validate("SELECT doc_id AS id FROM documents"))
+def q_validate_by_digests(spark, sf_dir):
+    """V6 of documents vs embeddings; only key ranges whose digests differ are joined."""
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    emb = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return validate_by_digests(docs, emb, "id").drop("n_ranges_joined")
+
+
 @register(
     "dense_top_k",
     "WITH u AS (SELECT label, unnest(embedding) AS x, unnest(generate_series(1, len(embedding))) AS i FROM embeddings), "
