@@ -5,12 +5,15 @@ micro-batch does not read the output table: whether a key is finished is asked
 of the stream's state store, so a batch costs what its own rows cost, however
 large the output has grown.
 
-* Before the shuffle every task reduces its rows to the first per key, so a
-  key that holds a third of a batch sends a row per task and Arrow batch.
-* ``applyInPandasWithState`` keeps one flag per key.  A key that is new gives
-  its first row by position; its later rows, in this batch or any other, give
-  nothing.  The state lives in RocksDB (off heap, spilled to disk) with its
-  change log in the checkpoint, and is restored after a failure.
+* The state is that of a streaming ``dropDuplicates`` over the keys alone: one
+  entry per key, no record.  Before its shuffle every task sends a key once per
+  Arrow batch, however many rows hold it.  The state lives in RocksDB (off
+  heap, spilled to disk) with its files in the checkpoint, and is restored
+  after a failure.
+* A micro-batch holds its rows, the keys it has seen for the first time and the
+  seeds (below).  It is written once; the first row by position of every new
+  key is then taken from it by joins and aggregates, which spill and are
+  planned for the batch's own size.  No code runs per key.
 * The accepted rows are enriched and written as one folder per micro-batch.
   A batch that is run again after a failure replaces its own folder, so no
   row is stored twice.
@@ -29,67 +32,54 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from folio.functions import book_key
+from folio.operators.cleaning import keep_first
 from folio.operators.enrichment import MetadataLookup, build_lookup, enrich
 from folio.operators.store import read_store
 from folio.session import delete_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-#: Groups that rows without a key are spread over.
-KEYLESS = 256
+#: What a row of a micro-batch is: a record, a key seen for the first time, or
+#: a key that counts as seen.
+RECORD, FRESH, SEED = "record", "fresh", "seed"
 
 
-def _keyed(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    """state_key, the order columns, the record as JSON, and seed (false)."""
-    record = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
-    spread = F.concat(F.lit("n|"), F.pmod(F.xxhash64(record), F.lit(KEYLESS)).cast("string"))
-    key = F.coalesce(F.concat(F.lit("k|"), book_key()), spread)
-    return rows.select(key.alias("state_key"), *order, record.alias("record"), F.lit(False).alias("seed"))
+def _distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        yield pdf.drop_duplicates()
 
 
-def _first_rows(pdf: pd.DataFrame, order: list[str]) -> pd.DataFrame:
-    """The first row per key by position; all rows without a key."""
-    keyless = pdf["state_key"].str.startswith("n|")
-    keyed = pdf[~keyless].sort_values([*order, "record"], kind="stable", na_position="first")
-    seeded = keyed.groupby("state_key")["seed"].transform("max")
-    keyed = keyed.assign(seed=seeded).drop_duplicates("state_key")
-    return pd.concat([keyed, pdf[keyless]]) if keyless.any() else keyed
+def marked(rows: DataFrame, seeds: DataFrame) -> DataFrame:
+    """kind, state_key and record of everything that a micro-batch needs.
+    ``rows`` and ``seeds`` are streams; ``seeds`` has keys that count as seen.
+    The state says which keys no earlier batch had."""
+    def kind(df: DataFrame, name: str, record=F.lit(None)) -> DataFrame:
+        return df.select(F.lit(name).alias("kind"), "state_key", record.cast(rows.schema).alias("record"))
 
+    records = rows.select(book_key().alias("state_key"), F.struct(*rows.columns).alias("record"))
+    keys = rows.select(book_key().alias("state_key")).where(F.col("state_key").isNotNull())
+    seen = seeds.select(F.col("book_key").alias("state_key"))
+    new = keys.mapInPandas(_distinct, keys.schema).unionByName(seen).dropDuplicates(["state_key"])
+    return kind(records, RECORD, F.col("record")).unionByName(kind(new, FRESH)).unionByName(kind(seen, SEED))
 
-def _combine(rows: DataFrame, order: list[str]) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield _first_rows(pdf, order)
 
-    return rows.mapInPandas(run, rows.schema)
+def new_records(batch: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The first row of every key of a written micro-batch (see :func:`marked`)
+    that no earlier batch had and that is no seed; all rows without a key.
+    Rows at equal positions go by their JSON."""
+    def keys(name: str) -> DataFrame:
+        return batch.where(F.col("kind") == name).select("state_key")
 
-
-def new_records(rows: DataFrame, seeds: DataFrame, order: Sequence[str]) -> DataFrame:
-    """record (JSON) of the first row of every key that no earlier batch had.
-    ``rows`` and ``seeds`` are streams; ``seeds`` has keys that count as seen."""
-    order = list(order)
-    empty = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in order]
-    seen = seeds.select(F.concat(F.lit("k|"), F.col("book_key")).alias("state_key"), *empty, F.lit(None).cast("string").alias("record"), F.lit(True).alias("seed"))
-    both = _combine(_keyed(rows, order).unionByName(seen), order)
-
-    def accept(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if key[0].startswith("n|"):
-            for pdf in batches:
-                yield pdf[["record"]]
-            return
-        first = None
-        for pdf in batches:  # one running first row, however many come
-            first = _first_rows(pdf if first is None else pd.concat([first, pdf]), order)
-        if not state.exists:
-            state.update((True,))
-            if not bool(first["seed"].iloc[0]):
-                yield first[["record"]]
-
-    return both.groupBy("state_key").applyInPandasWithState(accept, "record string", "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    rows = batch.where(F.col("kind") == RECORD).select("state_key", "record")
+    text = F.to_json("record", {"ignoreNullFields": "false"})
+    position = [F.col("record")[c] for c in order]
+    first = keep_first(rows.where(F.col("state_key").isNotNull()), ["state_key"], [*position, text])
+    fresh = keys(FRESH).join(keys(SEED), "state_key", "left_anti")
+    keyless = rows.where(F.col("state_key").isNull())
+    return first.join(fresh, "state_key", "left_semi").unionByName(keyless).select("record.*")
 
 
 def _write_seeds(spark: SparkSession, out_dir: str, path: str) -> None:
@@ -126,7 +116,9 @@ def enrich_stream_keyed(
     order = list(order)
     batches = {"n": 0}
     lookup = meta if isinstance(meta, MetadataLookup) else build_lookup(meta).materialize()
-    seeds = f"{checkpoint}/seeds"
+    # Folders of their own: the state of an earlier form of this job, one flag
+    # per key and group, can't be read as that of dropDuplicates.
+    seeds = f"{checkpoint}/known"
     if not _exists(spark, f"{seeds}/run/_SUCCESS"):
         if _exists(spark, seeds):
             delete_path(spark, seeds)  # left by a start that failed
@@ -134,9 +126,12 @@ def enrich_stream_keyed(
     run = spark.read.parquet(f"{seeds}/run").first()["run"]
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        rows = batch.select(F.from_json("record", source_schema).alias("r")).select("r.*").withColumn("book_key", book_key())
-        done = enrich(rows, lookup, carry=tuple(order))
+        # Once, as the state is written along; a batch run again replaces it.
+        written = f"{checkpoint}/batches/{epoch_id}"
+        batch.write.mode("overwrite").parquet(written)
+        done = enrich(new_records(spark.read.parquet(written), order), lookup, carry=tuple(order))
         done.write.mode("overwrite").parquet(f"{out_dir}/batch={run}-{epoch_id}")
+        delete_path(spark, written)
         batches["n"] += 1
 
     reader = spark.readStream.schema(source_schema)
@@ -147,8 +142,8 @@ def enrich_stream_keyed(
     before = spark.conf.get(PROVIDER, None)
     spark.conf.set(PROVIDER, ROCKSDB)
     try:
-        writer = (new_records(reader.parquet(source_dir), known, order).writeStream.foreachBatch(process).outputMode("append")
-                  .option("checkpointLocation", f"{checkpoint}/stream"))
+        writer = (marked(reader.parquet(source_dir), known).writeStream.foreachBatch(process).outputMode("append")
+                  .option("checkpointLocation", f"{checkpoint}/keys"))
         if processing_time is not None:
             return writer.trigger(processingTime=processing_time).start()
         query = writer.trigger(availableNow=True).start()
