@@ -103,15 +103,22 @@ def hashed_bag_of_words(
     )
 
 
+# Rows of an Arrow batch that a Python worker turns into vectors at a time.
+BATCH_ROWS = 512
+
+
 def bucket_counts(ids: Sequence, buckets: int = HASH_BUCKETS) -> np.ndarray:
-    """Count matrix (rows x buckets) of a batch of bucket-id arrays, as one
-    ``bincount`` over the whole batch."""
-    sizes = np.array([0 if v is None else len(v) for v in ids], dtype=np.int64)
-    if not sizes.sum():
-        return np.zeros((len(sizes), buckets))
-    flat = np.concatenate([np.asarray(v, dtype=np.int64) for v in ids if v is not None and len(v)])
-    at = np.repeat(np.arange(len(sizes)) * buckets, sizes) + flat
-    return np.bincount(at, minlength=len(sizes) * buckets).astype(np.float64).reshape(len(sizes), buckets)
+    """Count matrix (rows x buckets) of a batch of bucket-id arrays, by one
+    ``bincount`` per ``BATCH_ROWS`` rows."""
+    out = np.zeros((len(ids), buckets))
+    for i in range(0, len(ids), BATCH_ROWS):
+        part = ids[i:i + BATCH_ROWS]
+        sizes = np.array([0 if v is None else len(v) for v in part], dtype=np.int64)
+        if sizes.sum():
+            flat = np.concatenate([np.asarray(v, dtype=np.int64) for v in part if v is not None and len(v)])
+            at = np.repeat(np.arange(len(sizes)) * buckets, sizes) + flat
+            out[i:i + BATCH_ROWS] = np.bincount(at, minlength=len(sizes) * buckets).reshape(len(sizes), buckets)
+    return out
 
 
 def _bincount_udf(buckets: int):
@@ -165,6 +172,9 @@ def encode(
     in that worker for the following tasks.  ``text_col`` may also be an array
     (e.g. :func:`term_buckets`); the model then gets a list of arrays.  Output
     vectors are L2-normalised float arrays.
+
+    The encoder gets at most ``BATCH_ROWS`` rows at a time, so that a worker
+    holds the vectors of so many rows only, however large its Arrow batches.
     """
     schema = df.select(id_col).schema.add(out, ArrayType(FloatType()))
     is_text = df.schema[text_col].dataType.typeName() == "string"
@@ -181,11 +191,13 @@ def encode(
                 MODELS[cache_key] = encoder_factory()
             model = MODELS[cache_key]
         for pdf in batches:
-            texts = pdf[text_col].fillna("").astype(str).tolist() if is_text else pdf[text_col].tolist()
-            mat = np.asarray(model(texts), dtype=np.float64)
-            norms = np.linalg.norm(mat, axis=1, keepdims=True)
-            mat = np.divide(mat, norms, out=np.zeros_like(mat), where=norms > 0)
-            yield pd.DataFrame({id_col: pdf[id_col].values, out: list(mat.astype(np.float32))})
+            for i in range(0, len(pdf), BATCH_ROWS):
+                part = pdf.iloc[i:i + BATCH_ROWS]
+                texts = part[text_col].fillna("").astype(str).tolist() if is_text else part[text_col].tolist()
+                mat = np.asarray(model(texts), dtype=np.float64)
+                norms = np.linalg.norm(mat, axis=1, keepdims=True)
+                mat = np.divide(mat, norms, out=np.zeros_like(mat), where=norms > 0)
+                yield pd.DataFrame({id_col: part[id_col].values, out: list(mat.astype(np.float32))})
 
     return df.select(id_col, text_col).mapInPandas(run, schema)
 
